@@ -66,7 +66,7 @@ def _alert_columns(alerts: DataFrame) -> DataFrame:
         "destination_ip",
         "destination_port",
         "attack_type",
-        F.round("confidence", 3).alias("confidence"),
+        "confidence",
         "flow_duration",
         "total_fwd_packets",
         "severity",
@@ -76,7 +76,7 @@ def _alert_columns(alerts: DataFrame) -> DataFrame:
 # raw[1], raw[2], raw[3]: destination port, flow duration, forward packets
 _ALERTS_SQL = f"""{_DETECTED}
 SELECT vec_id, source_ip, destination_ip, CAST(raw[1] AS INTEGER) AS destination_port,
-       attack_type, round(round(conf, 4), 3) AS confidence,
+       attack_type, round(conf, 4) AS confidence,
        CAST(raw[2] AS BIGINT) AS flow_duration, CAST(raw[3] AS INTEGER) AS total_fwd_packets,
        {severity_sql('attack_type')} AS severity
 FROM predicted WHERE {_NOT_NORMAL}"""

@@ -37,14 +37,11 @@ def scaled(
 
 
 def linear(
-    vector: str, weights: Sequence[Sequence[float]], bias: Sequence[float]
+    inputs: Sequence[str], weights: Sequence[Sequence[float]], bias: Sequence[float]
 ) -> list[str]:
-    """``W'x + b`` in double, one text per class; ``weights[i][j]`` is input ``i``, class ``j``."""
+    """``W'x + b`` over double columns, one text per class; ``weights[i][j]`` is input ``i``, class ``j``."""
     return [
-        " + ".join(
-            f"CAST(get({vector}, {i}) AS double) * {_double(w[j])}" for i, w in enumerate(weights)
-        )
-        + f" + {_double(b)}"
+        " + ".join(f"{x} * {_double(w[j])}" for x, w in zip(inputs, weights)) + f" + {_double(b)}"
         for j, b in enumerate(bias)
     ]
 

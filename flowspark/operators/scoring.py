@@ -34,11 +34,17 @@ def score_linear(
     out: str = "probabilities",
 ) -> DataFrame:
     """Softmax over a linear layer, in column arithmetic: no Python worker, no exchange."""
-    z = {f"_z{j}": text for j, text in enumerate(linear(vector, weights, bias))}
-    e = {f"_e{j}": f"exp({c} - greatest({', '.join(z)}))" for j, c in enumerate(z)}
+    n, k = len(weights), len(bias)
+    # a NULL element becomes NaN: no probability then, and no null checks in the sums
+    x = {f"_x{i}": f"coalesce(CAST(get({vector}, {i}) AS double), double('NaN'))" for i in range(n)}
+    z = [F.expr(text).alias(f"_z{j}") for j, text in enumerate(linear(list(x), weights, bias))]
+    e = {f"_e{j}": f"exp(_z{j} - greatest({', '.join(f'_z{i}' for i in range(k))}))" for j in range(k)}
     total = " + ".join(e)
     p = f"array({', '.join(f'{c} / ({total})' for c in e)})"
-    return fence(fence(df, **z), **e).select(*df.columns, F.expr(p).alias(out))
+    # The sums stay a projection, which is always compiled; the fence behind it
+    # keeps filters on the result from reaching them.
+    sums = fence(df, **x).select(*df.columns, *z)
+    return fence(sums, **e).select(*df.columns, F.expr(p).alias(out))
 
 
 @cache
