@@ -1,6 +1,6 @@
 """The registered queries."""
 
-from . import flows
+from . import flows, metrics
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "flows"]
+__all__ = ["QUERIES", "SQL", "flows", "metrics"]
