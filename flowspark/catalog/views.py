@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a file stream."""
+    schema = table(spark, sf_dir, name).schema
+    # a pattern, since a stream takes a single file by no other name
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vec_id, actual_index, features``: scaled flow vectors."""
     e = table(spark, sf_dir, "embeddings")
@@ -55,9 +62,9 @@ def raw_values(embedding: str) -> dict[str, Column]:
     }
 
 
-def flow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flow_records(spark: SparkSession, sf_dir: str, *, stream: bool = False) -> DataFrame:
     """``vec_id, value``: one JSON flow record per vector."""
-    e = table(spark, sf_dir, "embeddings")
+    e = (stream_table if stream else table)(spark, sf_dir, "embeddings")
     values = [c.alias(k) for k, c in raw_values("embedding").items()]
     record = F.struct(*values, *addresses(F.col("vec_id")))
     return e.select("vec_id", F.to_json(record).alias("value"))
