@@ -136,11 +136,11 @@ FROM embeddings""",
 )
 def argmax_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Largest of the first seven elements; rounded to whole numbers nearly all tie."""
-    seven = F.slice("embedding", 1, 7)
-    return table(spark, sf_dir, "embeddings").select(
+    seven = "slice(embedding, 1, 7)"
+    return table(spark, sf_dir, "embeddings").selectExpr(
         "vec_id",
-        argmax(seven).alias("best"),
-        argmax(F.transform(seven, lambda x: F.round(x, 0) + F.lit(0.0))).alias("first_tie"),
+        f"{argmax(seven)} AS best",
+        f"{argmax(f'transform({seven}, y -> round(y, 0) + 0.0F)')} AS first_tie",
     )
 
 

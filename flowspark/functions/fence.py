@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def fence(df: DataFrame, **columns: Column | str) -> DataFrame:
-    """``withColumns`` whose expressions Catalyst will not copy.
+def fence(df: DataFrame, drop: tuple[str, ...] = (), **columns: str) -> DataFrame:
+    """Add SQL expressions as columns that Catalyst will not copy; ``drop`` others.
 
     Catalyst moves filters below a projection by substituting the projected
     expressions into them, and derives constraints from every alias. For JSON
@@ -15,8 +14,13 @@ def fence(df: DataFrame, **columns: Column | str) -> DataFrame:
     reference, and planning for minutes. A one-element ``inline`` yields the same
     columns, and the optimizer leaves generators where they are.
     """
-    exprs = [
-        (F.expr(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()
-    ]
-    kept = [c for c in df.columns if c not in columns]
-    return df.select(*kept, F.inline(F.array(F.struct(*exprs))))
+    record = ", ".join(f"'{name}', {text}" for name, text in columns.items())
+    return df.selectExpr(
+        all_but(df, {*drop, *columns}), f"inline(array(named_struct({record})))"
+    )
+
+
+def all_but(df: DataFrame, names: set[str] | tuple[str, ...]) -> str:
+    """``*`` without the columns of ``names`` that ``df`` has."""
+    gone = [c for c in df.columns if c in names]
+    return f"* EXCEPT ({', '.join(f'`{c}`' for c in gone)})" if gone else "*"

@@ -9,9 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def _double(x: float) -> str:
     return f"{float(x)!r}D"
@@ -46,15 +43,12 @@ def linear(
     ]
 
 
-def argmax(vector: Column) -> Column:
+def argmax(vector: str) -> str:
     """Index of the first largest element.
 
     NaN never beats a number; a NaN in front stays the maximum, since no number
     compares greater than it.
     """
-    numbers = F.transform(
-        vector, lambda x: F.when(F.isnan(x), F.lit(float("-inf"))).otherwise(x)
-    )
-    first = F.get(vector, F.lit(0))
-    best = (F.array_position(numbers, F.array_max(numbers)) - 1).cast("int")
-    return F.when(F.isnan(first), F.lit(0)).otherwise(best)
+    numbers = f"transform({vector}, x -> if(isnan(x), CAST('-Infinity' AS double), CAST(x AS double)))"
+    best = f"array_position({numbers}, array_max({numbers})) - 1"
+    return f"CAST(if(isnan(get({vector}, 0)), 0, {best}) AS int)"

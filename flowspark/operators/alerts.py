@@ -19,7 +19,7 @@ def predict(
     """Add ``class_index``, ``label`` and ``confidence`` of the most probable class."""
     p = F.col(probabilities)
     return (
-        fence(df, class_index=argmax(p))
+        fence(df, class_index=argmax(probabilities))
         .withColumn("label", decode_label(F.col("class_index"), classes))
         .withColumn("confidence", F.get(p, F.col("class_index")))
     )
@@ -36,14 +36,12 @@ def is_alert(
     return F.coalesce((label != NORMAL) & sure, F.lit(False))
 
 
-def rounded_probabilities(probabilities: Column, classes: Sequence[str] = CLASSES) -> Column:
+def rounded_probabilities(probabilities: str, classes: Sequence[str] = CLASSES) -> Column:
     """Struct of the probabilities by class name, 4 decimals each."""
-    return F.struct(
-        *[
-            F.round(F.get(probabilities, F.lit(i)).cast("double"), 4).alias(c)
-            for i, c in enumerate(classes)
-        ]
+    fields = ", ".join(
+        f"'{c}', round(CAST(get({probabilities}, {i}) AS double), 4)" for i, c in enumerate(classes)
     )
+    return F.expr(f"named_struct({fields})")
 
 
 def now_ms() -> Column:
@@ -72,7 +70,7 @@ def to_alerts(
         F.col("destinationPort").alias("destination_port"),
         F.col("label").alias("attack_type"),
         F.round(F.col("confidence").cast("double"), 4).alias("confidence"),
-        rounded_probabilities(F.col("probabilities"), classes).alias("all_probabilities"),
+        rounded_probabilities("probabilities", classes).alias("all_probabilities"),
         F.col("flowDuration").alias("flow_duration"),
         F.col("totalFwdPackets").alias("total_fwd_packets"),
         severity(F.col("label")).alias("severity"),

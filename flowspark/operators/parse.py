@@ -13,14 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coercion import lenient_number
 from ..functions.fence import fence
-from ..functions.schema import (
-    FEATURES,
-    FLOW_SCHEMA,
-    MEANS,
-    N_FEATURES,
-    UNKNOWN_HOST,
-    Feature,
-)
+from ..functions.schema import FEATURES, MEANS, N_FEATURES, UNKNOWN_HOST, Feature
 
 _CORRUPT = "_corrupt_record"
 # "NaN" and "Infinity" outside quotes are no JSON.
@@ -34,12 +27,14 @@ def _names(prefix: str, keys: list[str]) -> dict[str, str]:
     return {k: f"{prefix}{i}" for i, k in enumerate(keys)}
 
 
-def _expand(df: DataFrame, value: Column, kinds: dict[str, str], names: dict[str, str]) -> DataFrame:
+def _expand(df: DataFrame, value: str, kinds: dict[str, str], names: dict[str, str]) -> DataFrame:
     """Read ``value`` as a record of ``kinds`` (JSON key -> type) into columns ``names``."""
-    record = F.from_json(value, ", ".join(f"`{k}` {t}" for k, t in kinds.items()), _OPTIONS)
-    renamed = ", ".join(f"{names[k]} {t}" for k, t in kinds.items())
+    ddl = ", ".join(f"`{k}` {t}" for k, t in kinds.items())
+    options = ", ".join(f"'{k}', '{v}'" for k, v in _OPTIONS.items())
+    renamed = ", ".join(f"{names[k]}: {t}" for k, t in kinds.items())
+    record = f"from_json({value}, '{ddl}', map({options}))"
     # a generator, for the reason given at functions.fence
-    return df.select("*", F.inline(F.array(record.cast(f"struct<{renamed}>"))))
+    return df.selectExpr("*", f"inline(array(CAST({record} AS struct<{renamed}>)))")
 
 
 def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -> DataFrame:
@@ -55,10 +50,11 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
     lenient_kinds = {**{k: "variant" for k in lenient_keys}, **context}
     s, l = _names("_s", list(strict_kinds)), _names("_l", list(lenient_kinds))
 
-    first = _expand(df, F.col(value), strict_kinds, s)
+    text = f"`{value}`"
+    first = _expand(df, text, strict_kinds, s)
     complete = " AND ".join(f"{s[k]} IS NOT NULL" for k in _KEYS)
     marked = fence(first, _again=f"NOT ({complete} AND {s[_CORRUPT]} IS NULL)")
-    both = _expand(marked, F.when(F.col("_again"), F.col(value)), lenient_kinds, l)
+    both = _expand(marked, f"CASE WHEN _again THEN {text} END", lenient_kinds, l)
 
     def raw(f: Feature) -> str:
         return f"coalesce({l[f.key]}, {l[f.alias]})" if aliases and f.alias else l[f.key]
@@ -66,10 +62,11 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
     def either(key: str) -> str:
         return f"coalesce({s[key]}, {l[key]})"
 
-    malformed = f"({l[_CORRUPT]} IS NOT NULL OR trim(`{value}`) = '')"
+    malformed = f"({l[_CORRUPT]} IS NOT NULL OR trim({text}) = '')"
     absent = ", ".join(f"CASE WHEN {raw(f)} IS NULL THEN '{f.key}' END" for f in FEATURES)
     typed = fence(
         both,
+        drop=(*s.values(), *l.values()),
         **{f.column: f"coalesce({s[f.key]}, {lenient_number(raw(f), f.kind)})" for f in FEATURES},
         source_ip=f"coalesce({either('source_ip')}, '{UNKNOWN_HOST}')",
         destination_ip=f"coalesce({either('destination_ip')}, '{UNKNOWN_HOST}')",
@@ -85,8 +82,9 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
     overflow = ", ".join(
         f"CASE WHEN {f.column} IS NULL THEN 'overflow:{f.key}' END" for f in FEATURES
     )
-    checked = fence(
+    return fence(
         typed,
+        drop=("_again", "_malformed", "_probe"),
         parse_error=(
             "CASE WHEN NOT _again THEN CAST(NULL AS string) WHEN _malformed THEN 'malformed_json' "
             "WHEN size(missing_features) > 0 "
@@ -94,12 +92,6 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
             f"ELSE coalesce({overflow}) END"
         ),
     )
-    return checked.select(
-        *df.columns,
-        *[f.name for f in FLOW_SCHEMA],
-        "missing_features",
-        "parse_error",
-    )
 
 
 def impute_missing(records: DataFrame) -> DataFrame:

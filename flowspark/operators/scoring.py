@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fence import fence
+from ..functions.fence import all_but, fence
 from ..functions.schema import N_CLASSES, N_FEATURES
 from ..functions.vectors import linear
 from .parse import bad_length
@@ -37,14 +37,16 @@ def score_linear(
     n, k = len(weights), len(bias)
     # a NULL element becomes NaN: no probability then, and no null checks in the sums
     x = {f"_x{i}": f"coalesce(CAST(get({vector}, {i}) AS double), double('NaN'))" for i in range(n)}
-    z = [F.expr(text).alias(f"_z{j}") for j, text in enumerate(linear(list(x), weights, bias))]
+    z = [f"{text} AS _z{j}" for j, text in enumerate(linear(list(x), weights, bias))]
     e = {f"_e{j}": f"exp(_z{j} - greatest({', '.join(f'_z{i}' for i in range(k))}))" for j in range(k)}
     total = " + ".join(e)
     p = f"array({', '.join(f'{c} / ({total})' for c in e)})"
     # The sums stay a projection, which is always compiled; the fence behind it
     # keeps filters on the result from reaching them.
-    sums = fence(df, **x).select(*df.columns, *z)
-    return fence(sums, **e).select(*df.columns, F.expr(p).alias(out))
+    sums = fence(df, **x)
+    sums = sums.selectExpr(all_but(sums, tuple(x)), *z)
+    powers = fence(sums, drop=tuple(f"_z{j}" for j in range(k)), **e)
+    return powers.selectExpr(all_but(powers, tuple(e)), f"{p} AS `{out}`")
 
 
 @cache
