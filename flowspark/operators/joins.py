@@ -68,7 +68,9 @@ def lookup_join(
             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
             .drop("_salts")
         )
-    return _left(salted, copies, [*keys, "_salt"], residual).drop("_salt")
+    joined = _left(salted, copies, [*keys, "_salt"], residual)
+    added = [c for c in dim.columns if c not in keys]
+    return joined.select(*fact.columns, *added)
 
 
 def _salted(fact: DataFrame, salts: Column) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions.fence import all_but, fence
 from ..functions.schema import N_CLASSES, N_FEATURES
 from ..functions.vectors import linear
+from ..session import ship_package
 from .parse import bad_length
 
 Matrix = Sequence[Sequence[float]]
@@ -33,18 +34,20 @@ def score_linear(
     vector: str = "features",
     out: str = "probabilities",
 ) -> DataFrame:
-    """Softmax over a linear layer, in column arithmetic: no Python worker, no exchange."""
-    n, k = len(weights), len(bias)
-    # a NULL element becomes NaN: no probability then, and no null checks in the sums
-    x = {f"_x{i}": f"coalesce(CAST(get({vector}, {i}) AS double), double('NaN'))" for i in range(n)}
-    z = [f"{text} AS _z{j}" for j, text in enumerate(linear(list(x), weights, bias))]
+    """Softmax over a linear layer, in column arithmetic: no Python worker, no exchange.
+
+    A vector with a NULL element gets NULL probabilities.
+    """
+    k = len(bias)
+    inputs = [f"get(_v, {i})" for i in range(len(weights))]
+    z = [f"{text} AS _z{j}" for j, text in enumerate(linear(inputs, weights, bias))]
     e = {f"_e{j}": f"exp(_z{j} - greatest({', '.join(f'_z{i}' for i in range(k))}))" for j in range(k)}
     total = " + ".join(e)
     p = f"array({', '.join(f'{c} / ({total})' for c in e)})"
-    # The sums stay a projection, which is always compiled; the fence behind it
-    # keeps filters on the result from reaching them.
-    sums = fence(df, **x)
-    sums = sums.selectExpr(all_but(sums, tuple(x)), *z)
+    # The vector is made once in front of the sums. These stay a projection, which is
+    # always compiled; the fence behind it keeps filters on the result from reaching them.
+    whole = fence(df, _v=f"`{vector}`")
+    sums = whole.selectExpr(all_but(whole, ("_v",)), *z)
     powers = fence(sums, drop=tuple(f"_z{j}" for j in range(k)), **e)
     return powers.selectExpr(all_but(powers, tuple(e)), f"{p} AS `{out}`")
 
@@ -84,6 +87,7 @@ def score_onnx(
     else:
         df.sparkSession.sparkContext.addFile(model)
         name = model.rstrip("/").rsplit("/", 1)[-1]
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

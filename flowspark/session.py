@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,3 +38,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="flowspark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="flowspark-"), "flowspark_package")
+    root, name = os.path.split(package)
+    spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, name))
+    _shipped.add(app)

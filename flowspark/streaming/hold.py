@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.series import SECOND
+from ..session import ship_package
 
 
 def hold_stream(
@@ -55,6 +56,7 @@ def hold_stream(
         if out:
             yield pd.DataFrame(out, columns=[*keys, "since_us", "us", "state"])
 
+    ship_package(points.sparkSession)
     rows = points.select(*[F.col(k).cast("string") for k in keys], "us", F.coalesce("condition", F.lit(False)).alias("condition"))
     return rows.groupBy(*keys).applyInPandasWithState(
         advance,
