@@ -524,7 +524,7 @@ RULES = {
     "high_cpu_usage": (_tuned("HighCPUUsage", limit=98), _SLOW, "node_cpu_seconds_total"),
     "high_memory_usage": (_tuned("HighMemoryUsage"), EV, None),
     "high_fraud_flag_rate": (_tuned("HighFraudFlagRate", limit=0.01), replace(EV, hold_s=0), "flagged_sessions_total"),
-    "pipeline_latency_breach": (_tuned("PipelineLatencySLABreach", limit=900), replace(_SLOW, hold_s=0), "latency_ms_bucket"),
+    "latency_breach": (_tuned("PipelineLatencySLABreach", limit=900), replace(_SLOW, hold_s=0), "latency_ms_bucket"),
 }
 
 
@@ -566,8 +566,8 @@ _RULE_SQL = {
         ),
         "ff_h",
     ),
-    "pipeline_latency_breach": (
-        _rule_sql(f"{_P95}, lp AS (SELECT '{{}}' AS series, us, value FROM p95)", "lp", "value > 900", "pipeline_latency_breach"),
+    "latency_breach": (
+        _rule_sql(f"{_P95}, lp AS (SELECT '{{}}' AS series, us, value FROM p95)", "lp", "value > 900", "latency_breach"),
         "lp_h",
     ),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .prefix import prefix_sum
+from .prefix import null_safe_join, prefix_sum
 
 INFINITE = float("inf")
 
@@ -84,7 +84,7 @@ def exact_quantiles(
     )
     running = prefix_sum(counts, by, ["v"], F.col("n"), chunk, "upto")
     totals = counts.groupBy(*by).agg(F.sum("n").alias("total"))
-    ranked = running.join(totals, list(by))
+    ranked = null_safe_join(running, totals, by)
     wanted = F.array(*[F.lit(float(q)) for q in qs])
     rows = ranked.withColumn("q", F.explode(wanted)).withColumn(
         "pos", F.col("q") * (F.col("total") - 1)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ BROADCAST_ROWS = 200_000
 HOT_ROWS = 2_000_000
 STREAM_SALTS = 16
 PINNED_ROWS = 10_000
+NULL_SALTS = 4096
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -62,7 +65,10 @@ def lookup_join(
         # at most (facts / hot_rows) keys
         hot = pinned(hot, PINNED_ROWS)
         salts = F.coalesce("_salts", F.lit(1))
-        salted = _salted(fact.join(hot, list(keys), "left"), salts).drop("_salts")
+        # rows without a key match nothing, and must not all meet in one task
+        unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
+        spread = F.when(unkeyed, F.lit(NULL_SALTS)).otherwise(salts)
+        salted = _salted(fact.join(hot, list(keys), "left"), spread).drop("_salts")
         copies = (
             dim.join(hot, list(keys), "left")
             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))

@@ -121,17 +121,23 @@ def parse_flows(
     df: DataFrame, *, aliases: bool = True, impute: str | None = None, value: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """``(flows, quarantine)``: typed good records, and raw text plus reason of the rest."""
-    if impute not in (None, "mean"):
-        raise ValueError(f"unknown imputation {impute!r}")
-    records = read_records(df.filter(F.col(value).isNotNull()), aliases=aliases, value=value)
-    if impute:
-        records = impute_missing(records)
+    records = read_all(df, aliases=aliases, impute=impute, value=value)
     kept = [c for c in df.columns if c != value]
     flows = records.filter(F.col("parse_error").isNull()).drop("parse_error", value)
     bad = records.filter(F.col("parse_error").isNotNull())
     return flows, bad.select(*kept, value, "parse_error", "missing_features")
 
 
+def read_all(
+    df: DataFrame, *, aliases: bool = True, impute: str | None = None, value: str = "value"
+) -> DataFrame:
+    """All records, good and bad, with absent features filled if asked for; NULL texts are none."""
+    if impute not in (None, "mean"):
+        raise ValueError(f"unknown imputation {impute!r}")
+    records = read_records(df.filter(F.col(value).isNotNull()), aliases=aliases, value=value)
+    return impute_missing(records) if impute else records
+
+
 def bad_length(vector: Column, n: int = N_FEATURES) -> Column:
     """Reason ``bad_length`` if a vector has not exactly ``n`` elements, else NULL."""
     return F.when(F.coalesce(F.size(vector), F.lit(-1)) != n, F.lit("bad_length"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -37,7 +39,14 @@ def prefix_sum(
     within = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     running = rows.withColumn("_running", F.sum("_value").over(within))
     return (
-        running.join(offsets, by)
+        null_safe_join(running, offsets, by)
         .withColumn(out, F.col("_running") + F.col("_before"))
         .drop("_value", "_chunk", "_running", "_before")
     )
+
+
+def null_safe_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join in which NULL keys match each other, as they do when grouping."""
+    right = groups.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(and_, [rows[k].eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return rows.join(right, condition).drop(*[f"_right_{k}" for k in keys])

@@ -7,12 +7,14 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schema import ALERT_THRESHOLD, MEANS, SCALES
 from ..operators.alerts import alert_json, is_alert, predict, to_alerts
 from ..operators.features import assemble, identity_scaler, scale
-from ..operators.parse import parse_flows
+from ..operators.parse import parse_flows, read_all
 from ..operators.scoring import bad_probabilities
+from ..sources.records import start
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -73,6 +75,39 @@ def detect_intrusions(
     return Detection(alerts, bad)
 
 
+def run_detection(
+    raw: DataFrame,
+    scorer: Scorer,
+    write_alerts: Callable[[DataFrame, int], None],
+    write_quarantine: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    *,
+    available_now: bool = False,
+    **options,
+) -> StreamingQuery:
+    """Run detection as one stream with two outputs, parsing each record once.
+
+    The writers get alerts and quarantined records of a batch with its number, under
+    which they should replace what an earlier attempt wrote. The parsed batch is kept
+    on memory and disk between the two; lost parts are computed again.
+    """
+    parse = {k: options.pop(k) for k in ("aliases", "impute") if k in options}
+    scaler = options.pop("scaler", "trained")
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        records = read_all(batch, **parse).persist()
+        try:
+            flows = records.filter("parse_error IS NULL")
+            scored = score_flows(flows, scorer, scaler=scaler)
+            write_alerts(to_alerts(scored.filter(bad_probabilities().isNull()), **options), batch_id)
+            bad = records.filter("parse_error IS NOT NULL")
+            write_quarantine(bad.select("value", "parse_error", "missing_features"), batch_id)
+        finally:
+            records.unpersist()
+
+    return start(raw.writeStream.foreachBatch(both), checkpoint, available_now=available_now)
+
+
 def counters(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
     """The two job counters over a table of records with ``label`` and ``confidence``.
 

@@ -32,7 +32,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     Only where that is unset, as in local tests, a temporary folder is made, and
     a session with more than one machine is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")

@@ -1,13 +1,16 @@
 """Stores, joins, splits, streams and their restarts."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from flowspark.catalog.metrics import all_metrics
+from flowspark.functions.schema import FEATURES
 from flowspark.operators.enrich import enrich_geo, enrich_lookup, flag_sessions
 from flowspark.operators.evaluate import class_metrics, compare_predictions, mismatches, stratified_split
+from flowspark.operators.prefix import prefix_sum
 from flowspark.operators.windows import require_nonempty, windowed_counts
 from flowspark.plans.alerting import (
     Evaluation,
@@ -17,6 +20,8 @@ from flowspark.plans.alerting import (
     intrusion_rules,
     session_rules,
 )
+from flowspark.plans.intrusions import run_detection
+from flowspark.session import work_dir
 from flowspark.sources.hash_store import read_hash, upsert_hash
 from flowspark.sources.records import read_text_records, to_json_records, write_text_records
 from flowspark.streaming.hold import hold_stream
@@ -158,6 +163,45 @@ def test_hold_stream_over_batches(spark, tmp_path):
     assert [(r[0] // SECOND, r[1] // SECOND, r[2]) for r in got] == [(0, 30, "firing"), (0, 60, "resolved")]
 
 
+def test_detection_stream_has_two_outputs(spark, tmp_path):
+    good = json.dumps({f.key: 1 for f in FEATURES})
+    source = str(tmp_path / "in")
+    write_text_records(spark.createDataFrame([(good,), ("{",)], "value string"), source, format="text")
+
+    def dos(df):
+        return df.withColumn("probabilities", F.array(*[F.lit(float(i == 3)) for i in range(7)]))
+
+    def writer(name):
+        return lambda df, batch: df.write.mode("overwrite").json(str(tmp_path / name / f"batch={batch}"))
+
+    raw = read_text_records(spark, source, format="text")
+    run_detection(
+        raw, dos, writer("alerts"), writer("bad"), str(tmp_path / "check"), available_now=True, now=F.lit(5)
+    ).awaitTermination()
+    alert = spark.read.json(str(tmp_path / "alerts")).first()
+    assert (alert["attack_type"], alert["timestamp"], alert["destination_port"]) == ("DoS", 5, 1)
+    assert [r["parse_error"] for r in spark.read.json(str(tmp_path / "bad")).collect()] == ["malformed_json"]
+
+
+def test_null_keys_are_kept(spark):
+    fact = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(40)], "id int, key string")
+    dim = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "key string, risk double")
+    got = enrich_lookup(fact, dim, "key", {"risk": 0.0}, max_broadcast_rows=1, hot_rows=5).collect()
+    assert sorted((r["id"], r["risk"]) for r in got) == [(i, 0.0 if i % 2 else 1.0) for i in range(40)]
+    total = prefix_sum(fact, ["key"], ["id"], F.lit(1), F.floor(F.col("id") / 7), "n")
+    assert total.count() == 40 and total.agg(F.max("n")).first()[0] == 20
+
+
+def test_work_folder_is_the_named_one(tmp_path):
+    named = {"spark.checkpoint.dir": "hdfs://shared/"}
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=named, sparkContext=context)
+    assert work_dir(session, "x").startswith("hdfs://shared/x-")
+    named.clear()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(session, "x")
+
+
 def test_progress_samples(spark, tmp_path):
     progress = {
         "id": "x", "name": "job", "timestamp": "2025-01-01T00:00:00.000Z", "batchId": 3, "numInputRows": 5,
