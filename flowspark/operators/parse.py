@@ -53,7 +53,7 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
     text = f"`{value}`"
     first = _expand(df, text, strict_kinds, s)
     complete = " AND ".join(f"{s[k]} IS NOT NULL" for k in _KEYS)
-    marked = fence(first, _again=f"NOT ({complete} AND {s[_CORRUPT]} IS NULL)")
+    marked = first.selectExpr("*", f"NOT ({complete} AND {s[_CORRUPT]} IS NULL) AS _again")
     both = _expand(marked, f"CASE WHEN _again THEN {text} END", lenient_kinds, l)
 
     def raw(f: Feature) -> str:
