@@ -20,8 +20,8 @@ from .common import stored
 DICTIONARY_WORDS, DICTIONARY_BYTES = 200_000, 32
 #: Pre-tokens above this many bytes take a heap instead of the fold, whose work grows with the square.
 FOLD_BYTES = 400
-_BUCKETS = 1 << 16
-_MIX, _SHIFT = 40_503, 1 << 20
+_BUCKETS, _PLACE_BITS = 1 << 16, 10
+_MIX_1, _MIX_2 = 40_503, 2_654_435
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,35 @@ def _literal(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
+def _perfect_hash(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """The rank map as two flat arrays in which a pair is found in one probe.
+
+    Pairs of one bucket share a shift, chosen so that no two pairs of the map get the
+    same slot. A slot holds left id, right id and rank, of 16 bits each; an empty one
+    holds a pair of ids that do not exist.
+    """
+    buckets: dict[int, list[tuple[int, int, int]]] = {}
+    for a, b, rank in pairs:
+        if max(a, b, rank) >= _BUCKETS - 1:
+            raise ValueError("ids above 16 bits")
+        buckets.setdefault((a * _MIX_1 + b) % _BUCKETS, []).append((a, b, rank))
+    size = 1 << (2 * len(pairs)).bit_length()
+    slots, shifts = [(1 << 48) - 1] * size, [0] * _BUCKETS
+    free = [True] * size
+    for bucket, members in sorted(buckets.items(), key=lambda x: -len(x[1])):
+        places = [a * _MIX_2 + b for a, b, _ in members]
+        for shift in range(size):
+            at = [(p + shift) % size for p in places]
+            if len(set(at)) == len(at) and all(free[i] for i in at):
+                break
+        else:
+            raise ValueError("no perfect hash")
+        shifts[bucket] = shift
+        for i, (a, b, rank) in zip(at, members):
+            slots[i], free[i] = a << 32 | b << 16 | rank, False
+    return shifts, slots
+
+
 def java_pattern(pattern: str) -> str:
     """The pattern with white space as Unicode has it, which Java's ``\\s`` leaves out."""
     inside = pattern.replace(r"[^\s", r"[^\p{IsWhite_Space}")
@@ -63,12 +92,9 @@ class Codec:
 
     def __init__(self, ranks: ByteRanks, pattern: str):
         self.ranks, self.pattern = ranks, java_pattern(pattern)
-        # a bucket is null, key, rank, key, rank, ...: what stands behind a key's place is its
-        # rank, and behind place 0, of no key, stands null; keys lie above all ranks
-        buckets: list[list[int | None]] = [[None] for _ in range(_BUCKETS)]
-        for a, b, rank in ranks.pairs():
-            buckets[(a * _MIX + b) % _BUCKETS] += [(a + 1) * _SHIFT + b, rank]
-        self._pairs = _literal(buckets, "array<array<bigint>>")
+        shifts, slots = _perfect_hash([(a, b, rank) for a, b, rank in ranks.pairs()])
+        self._mask = len(slots) - 1
+        self._shifts, self._slots = _literal(shifts, "array<bigint>"), _literal(slots, "array<bigint>")
         self._bytes = _literal([ranks.tokens[bytes([b])] for b in range(256)], "array<bigint>")
         hexes = [""] * (max(ranks.tokens.values()) + 1)
         for token, rank in ranks.tokens.items():
@@ -81,8 +107,8 @@ class Codec:
     def fold(self, word: Column) -> Column:
         """Ids of one pre-token: its bytes, with the lowest-ranked pair merged again and again.
 
-        The leftmost goes first among equals. A step finds ``rank * 2^20 + place`` of the
-        best pair; the fold stands still once no pair is left.
+        The leftmost goes first among equals. A step finds the least rank with its place;
+        the fold stands still once no pair is left.
         """
         as_bytes = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
         start = F.transform(F.split(as_bytes, ""), lambda c: F.get(self._bytes, F.ascii(c)))
@@ -90,18 +116,20 @@ class Codec:
         def best(p: Column) -> Column:
             def key(x: Column, i: Column) -> Column:
                 y = F.get(p, i + 1)
-                found = F.get(self._pairs, (x * _MIX + y).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int"))
-                rank = F.get(found, F.array_position(found, (x + 1) * _SHIFT + y).cast("int"))
-                return F.shiftleft(rank, 20).bitwiseOR(i.cast("bigint"))
+                shift = F.get(self._shifts, (x * _MIX_1 + y).bitwiseAND(F.lit(_BUCKETS - 1)))
+                slot = F.get(self._slots, (x * _MIX_2 + y + shift).bitwiseAND(F.lit(self._mask)))
+                # a slot of this very pair leaves its rank, any other leaves something above all ranks
+                rest = slot.bitwiseXOR(F.shiftleft(x, 32).bitwiseOR(F.shiftleft(y, 16)))
+                return F.shiftleft(rest, _PLACE_BITS).bitwiseOR(i.cast("bigint"))
 
             return F.array_min(F.transform(p, key))
 
         def step(acc: Column, _: Column) -> Column:
             p, at = acc["p"], acc["at"]
-            place = at.bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
-            merged = F.concat(F.slice(p, 1, place), F.array(F.shiftright(at, 20)), F.slice(p, place + 3, F.size(p)))
+            place = at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
+            merged = F.concat(F.slice(p, 1, place), F.array(F.shiftright(at, _PLACE_BITS)), F.slice(p, place + 3, F.size(p)))
             then = F.transform(F.array(merged), lambda q: F.struct(q.alias("p"), best(q).alias("at")))[0]
-            return F.when(at.isNull(), acc).otherwise(then)
+            return F.when(at < (1 << 16 + _PLACE_BITS), then).otherwise(acc)
 
         first = F.transform(F.array(start), lambda q: F.struct(q.alias("p"), best(q).alias("at")))[0]
         steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))

@@ -16,7 +16,7 @@ from flowspark.session import ship_package
 SPACE = "▁"
 _NONE = np.int64(1 << 40)
 _RUNS = re.compile(" *[^ ]+| +")
-CACHE_WORDS, CACHE_CHARS, BATCH_CHARS = 400_000, 64, 4_000_000
+CACHE_WORDS, CACHE_CHARS, BATCH_CHARS, SPLIT_CHARS = 400_000, 64, 500_000, 2_000_000
 
 
 @dataclass
@@ -161,7 +161,18 @@ class PieceCounter:
                 rank[left] = np.where(same, self._rank(sym[left], sym[right]), _NONE)
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
-        """Tokens of each whole text; null and empty texts have none."""
+        """Tokens of each whole text; null and empty texts have none. Words are held for a few texts at a time."""
+        out, start, size = [], 0, 0
+        for i, t in enumerate(texts):
+            n = len(t) if t else 0
+            if size and size + n > SPLIT_CHARS:
+                out.append(self._texts(texts[start:i]))
+                start, size = i, 0
+            size += n
+        out.append(self._texts(texts[start:]))
+        return np.concatenate(out)
+
+    def _texts(self, texts: list[str | None]) -> np.ndarray:
         split = [self._split(t) if t else [] for t in texts]
         words = set().union(*split)
         new = list(words - self.seen.keys())
