@@ -5,9 +5,10 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from .common import stored
 DICTIONARY_WORDS, DICTIONARY_BYTES = 200_000, 32
 #: Pre-tokens above this many bytes take a heap instead of the fold, whose work grows with the square.
 FOLD_BYTES = 400
-_BUCKETS, _PLACE_BITS = 1 << 16, 10
-_MIX_1, _MIX_2 = 40_503, 2_654_435
+_BUCKETS = _IDS = 1 << 16
+_PLACE_BITS = 10
 
 
 @dataclass(frozen=True)
@@ -52,33 +53,43 @@ def _literal(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _perfect_hash(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+def _displaced(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
     """The rank map as two flat arrays in which a pair is found in one probe.
 
-    Pairs of one bucket share a shift, chosen so that no two pairs of the map get the
-    same slot. A slot holds left id, right id and rank, of 16 bits each; an empty one
-    holds a pair of ids that do not exist.
+    The pairs of one left id are a row, placed at a shift of its own where none of its
+    cells is taken: pair (a, b) has slot ``shifts[a] + b``. A slot holds the left id
+    and the rank, of 16 bits each; an empty one a left id that does not exist.
     """
-    buckets: dict[int, list[tuple[int, int, int]]] = {}
+    rows: dict[int, list[tuple[int, int]]] = {}
     for a, b, rank in pairs:
-        if max(a, b, rank) >= _BUCKETS - 1:
+        if max(a, b, rank) >= _IDS - 1:
             raise ValueError("ids above 16 bits")
-        buckets.setdefault((a * _MIX_1 + b) % _BUCKETS, []).append((a, b, rank))
-    size = 1 << (2 * len(pairs)).bit_length()
-    slots, shifts = [(1 << 48) - 1] * size, [0] * _BUCKETS
-    free = [True] * size
-    for bucket, members in sorted(buckets.items(), key=lambda x: -len(x[1])):
-        places = [a * _MIX_2 + b for a, b, _ in members]
-        for shift in range(size):
-            at = [(p + shift) % size for p in places]
-            if len(set(at)) == len(at) and all(free[i] for i in at):
+        rows.setdefault(a, []).append((b, rank))
+    shifts, slots, lowest, span = [0] * _IDS, {}, 0, 4096
+    free = np.ones(8 * _IDS + 2 * len(pairs), bool)
+    for a, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+        row.sort()
+        cells = np.array([b for b, _ in row])
+        start = max(lowest, cells[0])
+        while True:  # the first shift in the next free cells at which the whole row is free
+            at = np.flatnonzero(free[start : start + span]) + start - cells[0]
+            for b in cells[1:]:
+                at = at[free[at + b]]
+            if len(at):
                 break
-        else:
-            raise ValueError("no perfect hash")
-        shifts[bucket] = shift
-        for i, (a, b, rank) in zip(at, members):
-            slots[i], free[i] = a << 32 | b << 16 | rank, False
-    return shifts, slots
+            start += span
+        shifts[a] = int(at[0])
+        for b, rank in row:
+            slots[shifts[a] + b] = a << 16 | rank
+        free[at[0] + cells] = False
+        lowest += int(np.argmax(free[lowest:]))
+    empty = (_IDS - 1) << 16
+    return shifts, [slots.get(i, empty) for i in range(max(shifts) + _IDS)]
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def java_pattern(pattern: str) -> str:
@@ -92,8 +103,7 @@ class Codec:
 
     def __init__(self, ranks: ByteRanks, pattern: str):
         self.ranks, self.pattern = ranks, java_pattern(pattern)
-        shifts, slots = _perfect_hash([(a, b, rank) for a, b, rank in ranks.pairs()])
-        self._mask = len(slots) - 1
+        shifts, slots = _displaced(list(ranks.pairs()))
         self._shifts, self._slots = _literal(shifts, "array<bigint>"), _literal(slots, "array<bigint>")
         self._bytes = _literal([ranks.tokens[bytes([b])] for b in range(256)], "array<bigint>")
         hexes = [""] * (max(ranks.tokens.values()) + 1)
@@ -115,25 +125,23 @@ class Codec:
 
         def best(p: Column) -> Column:
             def key(x: Column, i: Column) -> Column:
-                y = F.get(p, i + 1)
-                shift = F.get(self._shifts, (x * _MIX_1 + y).bitwiseAND(F.lit(_BUCKETS - 1)))
-                slot = F.get(self._slots, (x * _MIX_2 + y + shift).bitwiseAND(F.lit(self._mask)))
-                # a slot of this very pair leaves its rank, any other leaves something above all ranks
-                rest = slot.bitwiseXOR(F.shiftleft(x, 32).bitwiseOR(F.shiftleft(y, 16)))
-                return F.shiftleft(rest, _PLACE_BITS).bitwiseOR(i.cast("bigint"))
+                slot = F.get(self._slots, F.get(self._shifts, x) + F.get(p, i + 1))
+                # a slot of this left id leaves its rank, any other something above all ranks
+                rest = slot.bitwiseXOR(F.shiftleft(x, 16))
+                return F.shiftleft(rest, _PLACE_BITS).bitwiseOR(i)
 
             return F.array_min(F.transform(p, key))
 
-        def step(acc: Column, _: Column) -> Column:
-            p, at = acc["p"], acc["at"]
-            place = at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
-            merged = F.concat(F.slice(p, 1, place), F.array(F.shiftright(at, _PLACE_BITS)), F.slice(p, place + 3, F.size(p)))
-            then = F.transform(F.array(merged), lambda q: F.struct(q.alias("p"), best(q).alias("at")))[0]
-            return F.when(at < (1 << 16 + _PLACE_BITS), then).otherwise(acc)
+        def merge(p: Column, at: Column) -> Column:
+            place = at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+            put = F.transform(p, lambda x, i: F.when(i == place, F.shiftright(at, _PLACE_BITS)).otherwise(x))
+            return F.filter(put, lambda _, i: i != place + 1)
+
+        def step(p: Column, _: Column) -> Column:
+            return _let(best(p), lambda at: F.when(at < (1 << 16 + _PLACE_BITS), merge(p, at)).otherwise(p))
 
-        first = F.transform(F.array(start), lambda q: F.struct(q.alias("p"), best(q).alias("at")))[0]
         steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-        return F.aggregate(steps, first, step, lambda acc: acc["p"])
+        return F.aggregate(steps, start, step)
 
     def long_words(self) -> Column:
         """A function of an array of long pre-tokens: the ids of each, by a heap of pairs."""
