@@ -202,13 +202,15 @@ def _dictionary(docs: DataFrame, codec: Codec, words: int) -> Column:
         if total > words:
             break
         least = row["count"]
-    buckets: list[dict[str, list[int]]] = [{} for _ in range(_BUCKETS)]
-    if least is not None:
-        frequent = counts.filter(F.col("count") >= least)
-        frequent = frequent.select("w", F.crc32(F.col("w").cast("binary")).alias("h"), codec.fold(F.col("w")).alias("ids"))
-        for w, h, ids in frequent.toLocalIterator():
-            buckets[h % _BUCKETS][w] = ids
-    return _literal(buckets, "array<map<string,array<bigint>>>")
+    frequent = counts.filter(F.col("count") >= least if least is not None else F.lit(False))
+    bucket = F.crc32(F.col("w").cast("binary")).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
+    entry = F.to_json(F.create_map("w", codec.fold(F.col("w"))))
+    frequent = frequent.select(bucket.alias("b"), entry.alias("e"))
+    inner = F.transform(F.collect_list("e"), lambda e: F.substr(e, F.lit(2), F.length(e) - 2))
+    parts = ["{}"] * _BUCKETS  # written as JSON on the executors: the driver joins strings only
+    for b, members in frequent.groupBy("b").agg(F.array_join(inner, ",")).toLocalIterator():
+        parts[b] = "{" + members + "}"
+    return F.from_json(F.lit("[" + ",".join(parts) + "]"), "array<map<string,array<bigint>>>")
 
 
 def encode_bytes(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: str = "text", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
