@@ -112,9 +112,16 @@ def _banded(a: np.ndarray, b: np.ndarray, shift: int, band: int, limit: int) ->
     return None if cost[at] > limit else (int(cost[at]), max(0, int(start[at])), int(end[at]))
 
 
+def _least(n: int) -> int:
+    """Shared q-grams that the lemma promises for an item of n characters, with as many edits as it can see of the budget."""
+    edits = min(int(n * ERROR_RATE), (n + 1) // Q - 2)
+    return max(1, n + 1 - Q * (edits + 1))
+
+
 class Finder:
     def __init__(self, index: Index):
         self.x = index
+        self.least = np.array([_least(len(t)) for t in index.texts], np.int64)
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """``(item id, start, end, edits)`` of every stretch of the text that holds a whole item within its edit budget."""
@@ -136,6 +143,11 @@ class Finder:
         at = np.repeat(maybe, n)
         hit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
         item, diagonal = self.x.item[hit], at - self.x.place[hit]
+        enough = np.bincount(item, minlength=len(self.least)) >= self.least
+        if not enough.any():
+            return found
+        keep = enough[item]
+        item, diagonal, at = item[keep], diagonal[keep], at[keep]
         order = np.lexsort((at, diagonal, item))
         item, diagonal, at = item[order], diagonal[order], at[order]
         for k in np.unique(item):
@@ -150,11 +162,8 @@ class Finder:
         q-grams with its stretch, all within e diagonals of its end's.
         """
         want = self.x.texts[k]
-        e = int(len(want) * ERROR_RATE)
-        # the budget that the lemma can see; closer copies are verified with the full one
-        e_filter = min(e, (len(want) + 1) // Q - 2)
-        least = max(1, len(want) + 1 - Q * (e_filter + 1))
-        span, found, last = max(1, 2 * e), [], None
+        e, least = int(len(want) * ERROR_RATE), int(self.least[k])
+        span, found, last, done = max(1, 2 * e), [], None, []
         for offset in (0, span // 2):
             band = (diagonal + offset) // span
             cut = np.flatnonzero(np.r_[True, band[1:] != band[:-1]])
@@ -165,8 +174,15 @@ class Finder:
                     continue
                 low = int(band[cut[c]]) * span - offset
                 middle = low + span // 2
-                # the band's own diagonals and an edit budget on both sides
-                aligned = _banded(want, points, middle, span // 2 + e + 1, e)
+                if any(low <= d < low + span for d in done):
+                    continue
+                values, often = np.unique(diagonal[inside], return_counts=True)
+                d = int(values[often.argmax()])
+                if d >= 0 and np.array_equal(points[d : d + len(want)], want):
+                    aligned = (0, d, d + len(want))  # the diagonal itself is a match
+                    done.append(d)
+                else:  # the band's own diagonals and an edit budget on both sides
+                    aligned = _banded(want, points, middle, span // 2 + e + 1, e)
                 if aligned:
                     edits, s, t = aligned
                     if last and s < last[1] and last[0] < t and edits >= last[2]:
