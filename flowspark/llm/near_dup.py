@@ -223,7 +223,8 @@ def near_duplicates(
     groups = stored(groups.distinct(), "near-groups")
 
     wanted = groups.groupBy("rid").agg(F.collect_list("name").alias("names"))
-    texts = base.select("_id", "_text").filter("_id is not null").join(wanted, F.col("_id") == F.col("rid"))
+    # the same exchange at every size, so that what a run needs grows with its input
+    texts = base.select("_id", "_text").filter("_id is not null").join(wanted.hint("merge"), F.col("_id") == F.col("rid"))
     texts = texts.select(F.explode("names").alias("name"), "rid", "_text")
 
     def confirm(group: pd.DataFrame) -> pd.DataFrame:
