@@ -133,9 +133,10 @@ def fit(counts: dict[tuple[str, int], int]) -> dict[tuple[str, int], float]:
             for j in range(v.shape[1]):
                 for y, w in ((0, n * (1 - p)), (1, n * p)):
                     # labelers are taken to be better than chance: a few imagined right votes
-                    right = np.array([4.0, 1.0, 0.5]) if y == 0 else np.array([0.5, 1.0, 4.0])
+                    right = np.array([4.0, 0.0, 0.5]) if y == 0 else np.array([0.5, 0.0, 4.0])
                     share = right + np.bincount(v[:, j], w, 3)
-                    like[y] += np.log(share / share.sum())[v[:, j]]
+                    share[1] = share[0] + share[2]  # silence says nothing
+                    like[y] += np.log(share / share[1])[v[:, j]]
             p = 1 / (1 + np.exp(np.clip(like[0] - like[1], -50, 50)))
         posterior |= {(kind, c): float(x) for c, x in zip(codes, p)}
     keys = sorted(posterior)
@@ -143,10 +144,9 @@ def fit(counts: dict[tuple[str, int], int]) -> dict[tuple[str, int], float]:
         return {}
 
     def features(kind, code):
-        one = np.zeros(len(KINDS) + 12)
+        one = np.zeros(len(KINDS) + len(LABELERS))
         one[KINDS.index(kind)] = 1
-        for j, d in enumerate(_digits(code)):
-            one[len(KINDS) + 3 * j + d] = 1
+        one[len(KINDS) :] = np.array(_digits(code)) - 1
         return one
 
     x = np.array([features(*k) for k in keys])
@@ -171,9 +171,9 @@ def find_pii(docs: DataFrame, *, text_col: str = "text", threshold: float = THRE
     """``docs`` without its text, with ``spans``: array of (kind, start, end, base, probability).
 
     Starts and ends are code points, end exclusive; spans go by start, then kind. All
-    base spans stay. Other candidates, of looser spelling or failing a base check, are
-    added where they touch no base span and the classifier gives them at least
-    ``threshold``. Null and empty texts have no spans. An input column named ``spans``
+    base spans stay. Other candidates are added where they touch no base span, no labeler
+    is against them and the classifier gives them at least ``threshold``; those that
+    fail a base check only help to learn the reliabilities. Null and empty texts have no spans. An input column named ``spans``
     is replaced. Texts are read once; later steps see candidates only.
     """
     ship_package(docs.sparkSession)
@@ -195,7 +195,7 @@ def find_pii(docs: DataFrame, *, text_col: str = "text", threshold: float = THRE
     rows = stored(rows, "pii-candidates")
     counts = rows.select(F.explode("_found").alias("c")).groupBy("c.kind", "c.code").count().collect()
     scores = fit({(KINDS[r["kind"]], r["code"]): r["count"] for r in counts})
-    table = F.lit([scores.get((k, c), 0.0) for k in KINDS for c in range(81)])
+    table = F.lit([scores.get((k, c), 0.0) if min(_digits(c)) > 0 or c >= 54 else 0.0 for k in KINDS for c in range(81)])
 
     base = F.filter("_found", lambda c: c["code"] >= 54)
     rows = rows.withColumn("_base", base)
