@@ -25,9 +25,9 @@ from ..functions.schema import (
 from ..functions.vectors import argmax
 from ..operators.alerts import alert_json, event_latency_ms, is_alert, predict, to_alerts
 from ..operators.features import scale
-from ..operators.parse import parse_flows, read_records
+from ..operators.parse import parse_flows, read_all, read_records
 from ..operators.scoring import score_linear, score_onnx
-from ..plans.intrusions import counters, detect_intrusions, score_flows
+from ..plans.intrusions import counters, detect_intrusions, score_flows, score_records
 from .registry import query
 from .views import (
     BIAS,
@@ -264,6 +264,26 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("vec_id", broken.alias("value"))
 
 
+@query(
+    "flow_partition",
+    f"""{_DETECTED} SELECT CASE vec_id % 11 WHEN 0 THEN 'null_record' WHEN 1 THEN 'malformed_json' WHEN 2 THEN 'bad_length'
+  ELSE CASE WHEN {_NOT_NORMAL} THEN 'alert' ELSE 'no alert' END END AS outcome, count(*) AS n
+FROM predicted GROUP BY 1""",
+)
+def flow_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record is an alert, no alert, or in the quarantine with a reason; some are null, broken or rejected by the model."""
+    broken = F.when(F.col("vec_id") % 11 == 1, F.lit("{")).when(F.col("vec_id") % 11 != 0, F.col("value"))
+    raw = flow_records(spark, sf_dir).withColumn("value", broken)
+
+    def rejecting(df: DataFrame) -> DataFrame:
+        return scorer(df).withColumn("probabilities", F.when(F.col("vec_id") % 11 != 2, F.col("probabilities")))
+
+    scored = score_records(read_all(raw), rejecting)
+    hit = is_alert(F.col("label"), F.col("confidence"))
+    outcome = F.coalesce(F.col("parse_error"), F.when(hit, F.lit("alert")).otherwise("no alert"))
+    return scored.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "quarantine_reasons",
     """SELECT CASE vec_id % 11 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'probe'

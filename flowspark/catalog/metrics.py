@@ -30,11 +30,11 @@ from ..operators.series import (
 )
 from ..plans.alerting import (
     Evaluation,
-    evaluate_alert_rules,
     evaluate_rule,
     group_notifications,
     infrastructure_rules,
     intrusion_rules,
+    plain_decimal,
     rendered,
     rule_table,
     session_rules,
@@ -487,8 +487,8 @@ def memory_usage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "annotations",
-    """SELECT event_id, 'Processing rate is ' || CAST(floor(value) AS BIGINT) || ' flows per second' AS a,
-  'CPU usage is above 80% for host' || (user_id % 8) AS b FROM events""",
+    """SELECT event_id, 'Only ' || CAST(floor(value) AS BIGINT) || ' flows per second' AS a,
+  'Instance host' || (user_id % 8) || ' is busy beyond its limit' AS b FROM events""",
 )
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {r.name: r for r in intrusion_rules("a", "b") + infrastructure_rules()}
@@ -504,6 +504,26 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _plain_sql(x: str) -> str:
+    return f"rtrim(rtrim(CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '0'), '.')"
+
+
+@query(
+    "annotation_numbers",
+    f"SELECT event_id, {_plain_sql('value / 4194304')} AS tiny, {_plain_sql('value * 1048576')} AS large, {_plain_sql('value')} AS own FROM events",
+)
+def annotation_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractional, tiny and large values as they appear in annotations."""
+    value = F.col("value").cast("double")
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        plain_decimal(value / 4194304).alias("tiny"),
+        plain_decimal(value * 1048576).alias("large"),
+        plain_decimal(value).alias("own"),
+    )
+
+
 # ---- rules
 
 EV = Evaluation(step_s=300, lookback_s=HOUR, range_s=HOUR, hold_s=900, mode="simple")
@@ -596,24 +616,32 @@ def _register_rule(key: str) -> None:
 for _key in RULES:
     _register_rule(_key)
 
-_FAST = ["high_intrusion_rate", "job_down", "source_down", "low_flow_processing_rate", "high_memory_usage"]
+def _rounded(rule):
+    """Values as the comparison has them: to six places."""
+    return replace(rule, expr=lambda m, ev: mapped(rule.expr(m, ev), lambda v: F.round(v, 6)))
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["intrusions_detected", "up", "total_flows_processed", *NAMES[4:6]]
-    metrics = reduce(DataFrame.unionByName, [metric(spark, sf_dir, n) for n in names])
-    return evaluate_alert_rules([RULES[k][0] for k in _FAST], metrics, EV)
+    """All rules of all groups, each at its own step and range."""
+    found = [evaluate_rule(_rounded(rule), _rule_input(spark, sf_dir, k), ev) for k, (rule, ev, _) in RULES.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _description_sql(template: str) -> str:
+    text = template.replace("'", "''")
+    text = text.replace("{{ $value }}", f"' || {_plain_sql('value')} || '")
+    return "'" + text.replace("{{ $labels.instance }}", "' || json_extract_string(series, '$.instance') || '") + "'"
 
 
 def _union_sql() -> str:
     """Every rule as a derived table: each brings its own CTEs."""
     parts = []
-    for k in _FAST:
+    for k in RULES:
         ctes, out = _RULE_SQL[k]
         r = RULES[k][0]
         parts.append(
             f"SELECT * FROM (WITH {ctes} SELECT '{r.name}' AS rule, '{r.severity}' AS severity, "
-            f"'{r.summary}' AS summary, series, us, state FROM {out}) {k}"
+            f"'{r.summary}' AS summary, {_description_sql(r.description)} AS description, series, us, state FROM {out}) {k}"
         )
     return " UNION ALL ".join(parts)
 
@@ -623,7 +651,7 @@ def _union_sql() -> str:
     f"SELECT rule, severity, series, state, count(*) AS n, min(us) AS first_us, max(us) AS last_us FROM ({_union_sql()}) GROUP BY ALL",
 )
 def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both rule groups over one metrics table, as one stream of alerts."""
+    """All eight rules as one stream of alerts."""
     return _stream(spark, sf_dir).groupBy("rule", "severity", "series", "state").agg(
         F.count(F.lit(1)).alias("n"), F.min("us").alias("first_us"), F.max("us").alias("last_us")
     )
@@ -631,12 +659,16 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "notifications",
-    f"""SELECT us - us % 30000000 AS group_us, 'slack-alerts' AS receiver, count(*) AS n_alerts,
-  CASE WHEN min(summary) = max(summary) THEN min(summary) END AS title
-FROM ({_union_sql()}) WHERE state = 'firing' GROUP BY 1""",
+    f"""WITH each AS (
+  SELECT us - us % 30000000 AS group_us, rule, series, max_by(summary, us) AS summary, max_by(description, us) AS description
+  FROM ({_union_sql()}) WHERE state = 'firing' GROUP BY 1, 2, 3)
+SELECT group_us, 'slack-alerts' AS receiver, count(*) AS n_alerts,
+  CASE WHEN min(summary) = max(summary) THEN min(summary) END AS title,
+  CASE WHEN min(description) = max(description) THEN min(description) END AS text
+FROM each GROUP BY 1""",
 )
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_notifications(_stream(spark, sf_dir)).drop("text")
+    return group_notifications(_stream(spark, sf_dir))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.network import ipv4_number, ipv4_text
 from ..operators.enrich import enrich_geo, enrich_lookup, flag_text
 from ..plans.sessions import enrich_events, score_sessions
-from ..sources.records import parse_ui_events, to_json_records
+from ..sources.records import bad_ui_events, parse_ui_events, to_json_records
 from .registry import query
 from .views import NOW_MS, table
 
@@ -145,3 +145,19 @@ def session_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max("score"), 6).alias("top")
     )
+
+
+@query(
+    "bad_ui_events",
+    """SELECT CASE event_id % 7 WHEN 0 THEN 'null_record' WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing:event_id' ELSE 'event' END AS outcome,
+  count(*) AS n FROM events GROUP BY 1""",
+)
+def ui_event_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record is an event or set aside with a reason."""
+    text = to_json_records(ui_events(table(spark, sf_dir, "events")))
+    number = F.get_json_object("value", "$.event_id").cast("bigint") % 7
+    cases = F.when(number == 1, F.lit("{")).when(number == 2, F.replace("value", F.lit('"event_id"'), F.lit('"id"')))
+    damaged = text.select(F.when(number == 0, F.lit(None)).otherwise(F.coalesce(cases, "value")).cast("string").alias("value"))
+    good = parse_ui_events(damaged).select(F.lit("event").alias("outcome"))
+    bad = bad_ui_events(damaged).select(F.col("parse_error").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))

@@ -14,7 +14,7 @@ from ..session import work_dir
 from ..sources.hash_store import read_hash
 from ..sources.records import start, write_text_records
 from ..streaming.hold import hold_stream
-from ..streaming.metrics import counter_totals, metrics_from_progress
+from ..streaming.metrics import SCHEMA, MetricsListener, counter_totals
 from .flows import _DETECTED, _NOT_NORMAL, scorer
 from .pages import COUNTS_SQL, page_views
 from .registry import query
@@ -87,10 +87,17 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "stream-counters")
     raw = flow_records(spark, sf_dir, stream=True)
     alerts = alert_json(detect_intrusions(raw, scorer, observe=("flows_in", "alerts_out")).alerts)
-    job = write_text_records(
-        alerts, f"{path}/alerts", format="text", checkpoint=f"{path}/checkpoint", available_now=True, name="detect"
-    )
-    job.awaitTermination()
-    totals = counter_totals(metrics_from_progress(spark, job))
+    listener = MetricsListener(spark, f"{path}/metrics")
+    spark.streams.addListener(listener)
+    try:
+        job = write_text_records(
+            alerts, f"{path}/alerts", format="text", checkpoint=f"{path}/checkpoint", available_now=True, name=f"detect-{path[-32:]}"
+        )
+        job.awaitTermination()
+        listener.wait_for(job)
+    finally:
+        spark.streams.removeListener(listener)
+    samples = spark.read.schema(SCHEMA).parquet(f"{path}/metrics").filter(F.col("labels")["job"] == job.name)
+    totals = counter_totals(samples)
     counters = totals.filter(F.col("name").isin("total_flows_processed", "intrusions_detected"))
     return counters.groupBy("name").agg(F.max("value").alias("value"))

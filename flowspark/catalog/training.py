@@ -172,7 +172,7 @@ def logistic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.metrics
 
 
-@query("reloaded_model")
+@query("reloaded_model", "SELECT CAST(0 AS BIGINT) AS n_different, count(*) AS n FROM embeddings")
 def reloaded_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved and reloaded model scores every row as the fitted one does."""
     path = work_dir(spark, "model")

@@ -116,11 +116,7 @@ TRAFFIC_LABELS: dict[str, str] = {
 ALERT_THRESHOLD = 0.5
 SESSION_THRESHOLD = 0.8
 
-# Topic names and key prefix on the wire.
-FLOW_TOPIC = "network-flows"
-ALERT_TOPIC = "intrusion-alerts"
-PAGE_VIEW_TOPIC = "clickstream-events"
-SESSION_TOPIC = "fraud-flags"
+# Fixed value: key prefix of the stored counts.
 COUNT_PREFIX = "click_count:"
 
 N_FEATURES = len(FEATURES)
@@ -131,17 +127,6 @@ SCALES: tuple[float, ...] = tuple(f.scale for f in FEATURES)
 
 _TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
 
-# Parsed flow record: 52 typed features, two context strings, optional label and time.
-FLOW_SCHEMA = T.StructType(
-    [T.StructField(f.column, _TYPES[f.kind]) for f in FEATURES]
-    + [
-        T.StructField("source_ip", T.StringType()),
-        T.StructField("destination_ip", T.StringType()),
-        T.StructField("attack_label", T.StringType()),
-        T.StructField("event_ms", T.LongType()),
-    ]
-)
-
 # Header of the training CSV: the JSON headings plus the label column.
 LABEL_COLUMN = "Attack Type"
 TRAINING_SCHEMA = T.StructType(

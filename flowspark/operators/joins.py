@@ -9,16 +9,20 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 HOT_ROWS = 2_000_000
 STREAM_SALTS = 16
 PINNED_ROWS = 10_000
 NULL_SALTS = 4096
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a batch table has at most ``max_rows`` rows; stops counting beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a batch table is at most so many rows and bytes: sums per task, no row is moved."""
+    fixed = 16 * len(df.columns)
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    size = reduce(lambda a, b: a + b, texts, F.lit(0))
+    rows, held = df.agg(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
+    return rows <= max_rows and (held or 0) + rows * fixed <= max_bytes
 
 
 def pinned(df: DataFrame, max_rows: int) -> DataFrame:
@@ -47,8 +51,9 @@ def lookup_join(
     A dimension counted to be small is broadcast. Beyond that both sides are
     exchanged by key, and keys with more than ``hot_rows`` facts are split: their
     facts get a salt out of as many as their count calls for, and only their
-    dimension rows are copied per salt. A stream cannot be counted ahead; there
-    all facts are salted.
+    dimension rows are copied per salt. The hottest ``PINNED_ROWS`` such keys are
+    split; any other has less than that share of the facts. A stream cannot be
+    counted ahead; there all facts are salted.
     """
     if is_small(dim, max_broadcast_rows):
         return _left(fact, F.broadcast(dim), list(keys), residual)
@@ -61,8 +66,9 @@ def lookup_join(
             .agg(F.count(F.lit(1)).alias("_n"))
             .filter(F.col("_n") > hot_rows)
             .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+            .orderBy(F.desc("_salts"), *keys)
+            .limit(PINNED_ROWS)
         )
-        # at most (facts / hot_rows) keys
         hot = pinned(hot, PINNED_ROWS)
         salts = F.coalesce("_salts", F.lit(1))
         # rows without a key match nothing, and must not all meet in one task
@@ -80,9 +86,10 @@ def lookup_join(
 
 
 def _salted(fact: DataFrame, salts: Column) -> DataFrame:
-    """Spread rows by a hash of their contents: the same on every attempt of a task."""
+    """Spread rows by their contents and, so that equal rows part too, by their place."""
     plain = [f.name for f in fact.schema if f.dataType.typeName() not in ("map", "variant")]
-    return fact.withColumn("_salt", F.pmod(F.xxhash64(*plain), salts).cast("int"))
+    place = F.lit(0) if fact.isStreaming else F.monotonically_increasing_id()
+    return fact.withColumn("_salt", F.pmod(F.xxhash64(*plain, place), salts).cast("int"))
 
 
 def _left(fact: DataFrame, dim: DataFrame, keys: list[str], residual: Column | None) -> DataFrame:

@@ -40,7 +40,7 @@ def _expand(df: DataFrame, value: str, kinds: dict[str, str], names: dict[str, s
 def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -> DataFrame:
     """Add the 52 feature columns, the context columns and ``parse_error``.
 
-    ``parse_error`` is NULL for a good record, else ``malformed_json``, ``probe``,
+    ``parse_error`` is NULL for a good record, else ``null_record``, ``malformed_json``, ``probe``,
     ``missing:<heading>`` or ``overflow:<heading>`` for the first such feature;
     ``missing_features`` lists the headings of all absent ones.
     """
@@ -62,7 +62,7 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
     def either(key: str) -> str:
         return f"coalesce({s[key]}, {l[key]})"
 
-    malformed = f"({l[_CORRUPT]} IS NOT NULL OR trim({text}) = '')"
+    malformed = f"({text} IS NULL OR {l[_CORRUPT]} IS NOT NULL OR trim({text}) = '')"
     absent = ", ".join(f"CASE WHEN {raw(f)} IS NULL THEN '{f.key}' END" for f in FEATURES)
     typed = fence(
         both,
@@ -77,6 +77,7 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
             " ELSE CAST(array() AS array<string>) END"
         ),
         _malformed=f"_again AND {malformed}",
+        _absent=f"{text} IS NULL",
         _probe=f"coalesce({l['probe']}, '') = 'true'",
     )
     overflow = ", ".join(
@@ -84,9 +85,10 @@ def read_records(df: DataFrame, *, aliases: bool = True, value: str = "value") -
     )
     return fence(
         typed,
-        drop=("_again", "_malformed", "_probe"),
+        drop=("_again", "_malformed", "_probe", "_absent"),
         parse_error=(
-            "CASE WHEN NOT _again THEN CAST(NULL AS string) WHEN _malformed THEN 'malformed_json' "
+            "CASE WHEN _absent THEN 'null_record' WHEN NOT _again THEN CAST(NULL AS string) "
+            "WHEN _malformed THEN 'malformed_json' "
             "WHEN size(missing_features) > 0 "
             "THEN CASE WHEN _probe THEN 'probe' ELSE concat('missing:', missing_features[0]) END "
             f"ELSE coalesce({overflow}) END"
@@ -131,10 +133,10 @@ def parse_flows(
 def read_all(
     df: DataFrame, *, aliases: bool = True, impute: str | None = None, value: str = "value"
 ) -> DataFrame:
-    """All records, good and bad, with absent features filled if asked for; NULL texts are none."""
+    """All records, good and bad, with absent features filled if asked for."""
     if impute not in (None, "mean"):
         raise ValueError(f"unknown imputation {impute!r}")
-    records = read_records(df.filter(F.col(value).isNotNull()), aliases=aliases, value=value)
+    records = read_records(df, aliases=aliases, value=value)
     return impute_missing(records) if impute else records
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Mapping, Sequence
-from functools import cache
 from typing import Any
 
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -52,18 +51,19 @@ def score_linear(
     return powers.selectExpr(all_but(powers, tuple(e)), f"{p} AS `{out}`")
 
 
-@cache
-def _onnx_session(name: str, model: bytes | None) -> Any:
-    """One inference session per Python worker and model, kept between tasks."""
+_sessions: dict[str, Any] = {}
+
+
+def _onnx_session(digest: str, model: Any) -> Any:
+    """One inference session per Python worker, kept between tasks until another model comes."""
     import onnxruntime as ort
 
-    options = ort.SessionOptions()
-    options.intra_op_num_threads = 1  # the worker has one core; Spark runs many workers
-    return ort.InferenceSession(
-        model if model is not None else SparkFiles.get(name),
-        options,
-        providers=["CPUExecutionProvider"],
-    )
+    if digest not in _sessions:
+        options = ort.SessionOptions()
+        options.intra_op_num_threads = 1  # the worker has one core; Spark runs many workers
+        _sessions.clear()
+        _sessions[digest] = ort.InferenceSession(model.value, options, providers=["CPUExecutionProvider"])
+    return _sessions[digest]
 
 
 def score_onnx(
@@ -77,23 +77,22 @@ def score_onnx(
 ) -> DataFrame:
     """Run an ONNX classifier (input ``features`` [n, 52], output ``output`` [n, 7]) by Arrow batch.
 
-    ``model`` is a path, shipped to every executor once, or the model itself. A
-    batch the model rejects is retried row by row, and a row it rejects, or a
-    vector of another length, gets NULL probabilities.
+    ``model`` is a path on the driver or the model itself; it is broadcast, and known
+    by its content, so that a new model under an old name is a new model. A batch the
+    model rejects is retried row by row, and a row it rejects, a vector of another
+    length or one with a NULL element gets NULL probabilities.
     """
-    name, content = "", None
-    if isinstance(model, bytes):
-        content = model
-    else:
-        df.sparkSession.sparkContext.addFile(model)
-        name = model.rstrip("/").rsplit("/", 1)[-1]
+    if isinstance(model, str):
+        with open(model, "rb") as f:
+            model = f.read()
+    digest, shared = hashlib.sha256(model).hexdigest(), df.sparkSession.sparkContext.broadcast(model)
     ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        session = _onnx_session(name, content)
+        session = _onnx_session(digest, shared)
 
         def infer(x: Any) -> Any:
             y = session.run(["output"], {"features": x})[0]
@@ -114,8 +113,10 @@ def score_onnx(
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(vector))
             sizes = np.asarray(pa.compute.list_value_length(column).fill_null(-1))
-            fits = np.flatnonzero(sizes == n_features)
-            flat = column.take(pa.array(fits)).flatten().fill_null(float("nan"))
+            gaps = np.asarray(column.flatten().is_null())
+            whole = np.bincount(np.repeat(np.arange(len(sizes)), np.maximum(sizes, 0)), gaps, len(sizes)) == 0
+            fits = np.flatnonzero((sizes == n_features) & whole)
+            flat = column.take(pa.array(fits)).flatten()
             x = np.asarray(flat, dtype=np.float32).reshape(len(fits), n_features)
             y, ok = np.zeros((0, n_classes), dtype=np.float32), np.zeros(0, dtype=bool)
             if len(fits):
@@ -149,15 +150,13 @@ def _with_vector(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
 
 
-def _estimator(kind: str, label: str, seed: int) -> Any:
+def _estimator(kind: str, label: str, seed: int, params: Mapping[str, Any] | None = None) -> Any:
     if kind == "random_forest":
-        return RandomForestClassifier(
-            featuresCol="_features", labelCol=label, seed=seed, numTrees=20, maxDepth=5
-        )
+        given = {"numTrees": 20, "maxDepth": 5, "seed": seed, **(params or {})}
+        return RandomForestClassifier(featuresCol="_features", labelCol=label, **given)
     if kind == "logistic":
-        return LogisticRegression(
-            featuresCol="_features", labelCol=label, maxIter=50, regParam=0.01
-        )
+        given = {"maxIter": 50, "regParam": 0.01, **(params or {})}
+        return LogisticRegression(featuresCol="_features", labelCol=label, **given)
     raise ValueError(f"unknown baseline {kind!r}")
 
 
@@ -168,10 +167,14 @@ def fit_baseline(
     seed: int = 42,
     vector: str = "features",
     label: str = "class_index",
+    params: Mapping[str, Any] | None = None,
 ) -> PipelineModel:
-    """Fit ``random_forest`` or ``logistic`` on a vector column and class indexes."""
+    """Fit ``random_forest`` or ``logistic`` on a vector column and class indexes.
+
+    ``params`` go to the estimator: trees, depth, iterations, regularisation.
+    """
     data = _with_vector(df, vector).withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=[_estimator(kind, label, seed)]).fit(data)
+    return Pipeline(stages=[_estimator(kind, label, seed, params)]).fit(data)
 
 
 def tune(

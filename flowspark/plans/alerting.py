@@ -107,20 +107,20 @@ def intrusion_rules(job: str, source: str) -> list[Rule]:
     return [
         Rule(
             "HighIntrusionRate", g, _rate_of("intrusions_detected"), ">", 10, 120, "critical",
-            "High intrusion detection rate",
-            "Intrusion detection rate is {{ $value }} per second",
+            "Many intrusions found",
+            "{{ $value }} intrusions per second",
         ),
         Rule(
             "JobDown", g, _up(job), "==", 0, 60, "critical",
-            "Detection job is down", "Detection job has been down for more than 1 minute",
+            "No detection job", "The detection job has not answered for a minute",
         ),
         Rule(
             "SourceDown", g, _up(source), "==", 0, 60, "critical",
-            "Message source is down", "Message source has been down for more than 1 minute",
+            "No message source", "The message source has not answered for a minute",
         ),
         Rule(
             "LowFlowProcessingRate", g, _rate_of("total_flows_processed"), "<", 1, 180, "warning",
-            "Low network flow processing rate", "Processing rate is {{ $value }} flows per second",
+            "Few flows processed", "Only {{ $value }} flows per second",
         ),
     ]
 
@@ -130,11 +130,11 @@ def infrastructure_rules() -> list[Rule]:
     return [
         Rule(
             "HighCPUUsage", g, cpu_usage, ">", 80, 300, "warning",
-            "High CPU usage detected", "CPU usage is above 80% for {{ $labels.instance }}",
+            "CPU nearly busy", "Instance {{ $labels.instance }} is busy beyond its limit",
         ),
         Rule(
             "HighMemoryUsage", g, memory_usage, ">", 90, 300, "critical",
-            "High memory usage detected", "Memory usage is above 90% for {{ $labels.instance }}",
+            "Memory nearly full", "Instance {{ $labels.instance }} has little memory left",
         ),
     ]
 
@@ -153,15 +153,19 @@ def session_rules() -> list[Rule]:
     ]
 
 
+def plain_decimal(value: Column) -> Column:
+    """A double's shortest digits without an exponent, to 18 places; beyond 20 digits as Spark prints it."""
+    text = value.cast("string")
+    digits = text.try_cast("decimal(38,18)").cast("string")
+    short = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), "[.]$", "")
+    return F.coalesce(F.when(short == "-0", F.lit("0")).otherwise(short), text)
+
+
 def rendered(template: str, labels: Sequence[str] = ("instance", "job", "le")) -> Column:
     """An annotation with ``{{ $value }}`` and ``{{ $labels.x }}`` filled in."""
     text = F.lit(template)
     if "{{ $value }}" in template:
-        whole = F.col("value") == F.floor("value")
-        number = F.when(whole, F.col("value").cast("bigint").cast("string")).otherwise(
-            F.col("value").cast("string")
-        )
-        text = F.replace(text, F.lit("{{ $value }}"), number)
+        text = F.replace(text, F.lit("{{ $value }}"), plain_decimal(F.col("value")))
     for name in labels:
         mark = f"{{{{ $labels.{name} }}}}"
         if mark in template:
@@ -198,8 +202,9 @@ def group_notifications(
 ) -> DataFrame:
     """Firing alerts grouped by ``wait_s`` seconds and receiver.
 
-    Title and text appear only where all alerts of a group share them. Counts and
-    extremes are enough to tell, so a storm of alerts is never collected.
+    An alert is a rule and a series; it counts once per group, however many points of
+    the grid it fires at. Title and text appear only where all alerts of a group share
+    them. Counts and extremes are enough to tell, so a storm of alerts is never collected.
     """
     width = F.lit(wait_s * SECOND)
     firing = alerts.filter(F.col("state") == "firing")
@@ -208,7 +213,11 @@ def group_notifications(
     def common(name: str) -> Column:
         return F.when(F.min(name) == F.max(name), F.min(name))
 
-    return keyed.withColumn("receiver", F.lit(receiver)).groupBy("group_us", "receiver").agg(
+    # the newest point of an alert speaks for it
+    each = keyed.groupBy("group_us", "rule_group", "rule", "series").agg(
+        F.max_by("summary", "us").alias("summary"), F.max_by("description", "us").alias("description")
+    )
+    return each.withColumn("receiver", F.lit(receiver)).groupBy("group_us", "receiver").agg(
         F.count(F.lit(1)).alias("n_alerts"),
         common("summary").alias("title"),
         common("description").alias("text"),

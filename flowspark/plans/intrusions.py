@@ -61,20 +61,35 @@ def detect_intrusions(
     ``scorer`` adds ``probabilities`` to a frame with ``features``. Nothing is
     exchanged between the scan and the sink. ``observe`` collects the two job
     counters on the way, records read (malformed ones included) and alerts raised:
-    a pair of ``Observation`` for batch, of names for streams.
+    a pair of ``Observation`` for batch, of names for streams. Records that the
+    scorer gives no usable probabilities are set aside too, as ``bad_length``: every
+    record is an alert, a scored flow below the threshold, or in the quarantine.
     """
-    if observe:
-        raw = raw.observe(observe[0], F.count(F.lit(1)).alias("total_flows_processed"))
-    flows, bad = parse_flows(raw, aliases=aliases, impute=impute)
+    read = raw.observe(observe[0], F.count(F.lit(1)).alias("total_flows_processed")) if observe else raw
+    flows, _ = parse_flows(read, aliases=aliases, impute=impute)
     scored = score_flows(flows, scorer, scaler=scaler)
-    wrong = bad_probabilities()
-    usable = scored.filter(wrong.isNull())
-    alerts = to_alerts(usable, threshold=threshold, now=now, keep=keep)
+    alerts = to_alerts(scored.filter(bad_probabilities().isNull()), threshold=threshold, now=now, keep=keep)
+    bad = set_aside(score_records(read_all(raw, aliases=aliases, impute=impute), scorer, scaler=scaler), raw.columns)
     if observe:
         alerts = alerts.observe(observe[1], F.count(F.lit(1)).alias("intrusions_detected"))
     return Detection(alerts, bad)
 
 
+def score_records(
+    records: DataFrame, scorer: Scorer, *, scaler: str | tuple[Sequence[float], Sequence[float]] = "trained"
+) -> DataFrame:
+    """All read records, scored where they parsed; ``parse_error`` is also ``bad_length`` where the scorer failed."""
+    good = score_flows(records.filter("parse_error IS NULL"), scorer, scaler=scaler)
+    good = good.withColumn("parse_error", bad_probabilities())
+    return good.unionByName(records.filter("parse_error IS NOT NULL"), allowMissingColumns=True)
+
+
+def set_aside(scored: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """The records of ``score_records`` that are no flows, with their reason."""
+    bad = scored.filter("parse_error IS NOT NULL")
+    return bad.select(*[c for c in kept if c != "value"], "value", "parse_error", "missing_features")
+
+
 def run_detection(
     raw: DataFrame,
     scorer: Scorer,
@@ -89,21 +104,37 @@ def run_detection(
 
     The writers get alerts and quarantined records of a batch with its number, under
     which they should replace what an earlier attempt wrote. The parsed batch is kept
-    on memory and disk between the two; lost parts are computed again.
+    on memory and disk between the two; lost parts are computed again. ``observe``
+    names the two counters, as in ``detect_intrusions``.
     """
+    observe = options.pop("observe", None)
     parse = {k: options.pop(k) for k in ("aliases", "impute") if k in options}
     scaler = options.pop("scaler", "trained")
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        records = read_all(batch, **parse).persist()
+        scored = score_records(read_all(batch, **parse), scorer, scaler=scaler).persist()
         try:
-            flows = records.filter("parse_error IS NULL")
-            scored = score_flows(flows, scorer, scaler=scaler)
-            write_alerts(to_alerts(scored.filter(bad_probabilities().isNull()), **options), batch_id)
-            bad = records.filter("parse_error IS NOT NULL")
-            write_quarantine(bad.select("value", "parse_error", "missing_features"), batch_id)
+            write_alerts(to_alerts(scored.filter("parse_error IS NULL"), **options), batch_id)
+            write_quarantine(set_aside(scored, ()), batch_id)
         finally:
-            records.unpersist()
+            scored.unpersist()
+
+    if observe:
+        # both counters of what a batch read, on the stream itself: its progress reports carry them
+        counted = score_records(read_all(raw, **parse), scorer, scaler=scaler)
+        hit = is_alert(F.col("label"), F.col("confidence"), options.get("threshold", ALERT_THRESHOLD))
+        counted = counted.observe(observe[0], F.count(F.lit(1)).alias("total_flows_processed"))
+        counted = counted.observe(observe[1], F.count_if(hit & F.col("parse_error").isNull()).alias("intrusions_detected"))
+
+        def both_counted(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                write_alerts(to_alerts(batch.filter("parse_error IS NULL"), **options), batch_id)
+                write_quarantine(set_aside(batch, ()), batch_id)
+            finally:
+                batch.unpersist()
+
+        return start(counted.writeStream.foreachBatch(both_counted), checkpoint, available_now=available_now, name=observe[0])
 
     return start(raw.writeStream.foreachBatch(both), checkpoint, available_now=available_now)
 

@@ -23,7 +23,7 @@ def read_text_records(
     stream: bool = True,
     starting: str | None = None,
     ending: str | None = None,
-    servers: str = "kafka:9092",
+    servers: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Raw records as text in column ``value``: flows, page views or UI events.
@@ -31,10 +31,12 @@ def read_text_records(
     ``source`` is a topic for ``kafka``, else a path (``text``: one record per line;
     ``parquet``: a string column ``value``). A stream starts at the latest offsets
     and then goes on from its checkpoint; a batch reads from the earliest to the
-    latest. ``starting`` and ``ending`` override that.
+    latest. ``starting`` and ``ending`` override that. Kafka needs ``servers``; its
+    other settings, such as a consumer ``kafka.group.id``, are ``options``.
     """
     reader = spark.readStream if stream else spark.read
     if format == "kafka":
+        _need(servers)
         reader = (
             reader.format("kafka")
             .option("kafka.bootstrap.servers", servers)
@@ -47,6 +49,12 @@ def read_text_records(
     return reader.format(format).schema("value string").options(**options).load(source)
 
 
+def _need(servers: str | None) -> str:
+    if not servers:
+        raise ValueError("name the Kafka servers")
+    return servers
+
+
 def write_text_records(
     df: DataFrame,
     target: str,
@@ -54,7 +62,7 @@ def write_text_records(
     format: str = "kafka",
     checkpoint: str | None = None,
     available_now: bool = False,
-    servers: str = "kafka:9092",
+    servers: str | None = None,
     name: str | None = None,
     **options: str,
 ) -> StreamingQuery | None:
@@ -65,7 +73,7 @@ def write_text_records(
     """
     rows = df.select(F.col("value").cast("string").alias("value"))
     if format == "kafka":
-        options = {"kafka.bootstrap.servers": servers, "topic": target, **options}
+        options = {"kafka.bootstrap.servers": _need(servers), "topic": target, **options}
     else:
         options = {"path": target, **options}
     if not df.isStreaming:
@@ -103,15 +111,30 @@ def to_json_records(df: DataFrame) -> DataFrame:
 
 
 def parse_ui_events(df: DataFrame, *, avro_schema: str | None = None) -> DataFrame:
-    """UI events from JSON text, or from Avro where a schema is given and the package is there."""
+    """UI events from JSON text, or from Avro where a schema is given and the package is there.
+
+    The rest is what ``bad_ui_events`` gives: no record is in neither.
+    """
+    events = _ui_records(df, avro_schema).select("_event.*")
+    return events.filter(F.col("event_id").isNotNull())
+
+
+def bad_ui_events(df: DataFrame, *, avro_schema: str | None = None) -> DataFrame:
+    """``value`` and ``parse_error`` of records that are no event: null, unreadable or without an id."""
+    rows = _ui_records(df, avro_schema).filter(F.col("_event.event_id").isNull())
+    empty = F.forall(F.array(*[F.col(f"_event.{f}").isNull() for f in UI_EVENT_SCHEMA.names]), lambda x: x)
+    reason = F.when(F.col("value").isNull(), "null_record").when(empty, "malformed").otherwise("missing:event_id")
+    return rows.select("value", reason.alias("parse_error"))
+
+
+def _ui_records(df: DataFrame, avro_schema: str | None) -> DataFrame:
     if avro_schema:
         from pyspark.sql.avro.functions import from_avro
 
-        record = from_avro(F.col("value"), avro_schema)
+        record = from_avro(F.col("value"), avro_schema, {"mode": "PERMISSIVE"})
     else:
         record = F.from_json(F.col("value").cast("string"), UI_EVENT_SCHEMA)
-    parsed = df.select(F.inline(F.array(record)))
-    return parsed.filter(F.col("event_id").isNotNull())
+    return df.withColumn("_event", record)
 
 
 def read_training_csv(spark: SparkSession, path: str) -> DataFrame:

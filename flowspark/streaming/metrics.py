@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from ..operators.prefix import prefix_sum
+
 SCHEMA = "ts timestamp, name string, labels map<string,string>, value double"
 
 
@@ -20,7 +22,11 @@ def progress_rows(progress: Any) -> list[tuple]:
     Observed counts are those of the batch; ``counter_totals`` adds them up.
     """
     ts = dt.datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00"))
-    labels = {"job": progress.get("name") or str(progress["id"]), "batch": str(progress["batchId"])}
+    labels = {
+        "job": progress.get("name") or str(progress["id"]),
+        "run": str(progress.get("runId", "")),
+        "batch": str(progress["batchId"]),
+    }
     values: dict[str, float] = {"input_rows": progress.get("numInputRows", 0)}
     for metric in (progress.get("observedMetrics") or {}).values():
         values.update(metric if isinstance(metric, dict) else metric.asDict())
@@ -32,27 +38,32 @@ def progress_rows(progress: Any) -> list[tuple]:
 
 
 def metrics_from_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Samples from the progress reports a query still holds (a bounded number)."""
+    """Samples from the progress reports a query still holds: the last ones only.
+
+    Totals of a job belong to the table that ``MetricsListener`` writes, which holds all.
+    """
     rows = [r for p in query.recentProgress for r in progress_rows(json.loads(p.json))]
     return spark.createDataFrame(rows, SCHEMA)
 
 
 def counter_totals(samples: DataFrame) -> DataFrame:
-    """Per-batch counts -> counters that only rise, per job and name; labels without the batch."""
+    """Per-batch counts -> counters that only rise, per job and name; labels without the batch.
+
+    A batch is known by its run and number, so a restarted job counts on, from a new
+    checkpoint too. Running totals are cut by day: no task holds all batches of a job.
+    """
     rows = samples.select(
         "ts",
         "name",
         F.col("labels")["job"].alias("job"),
+        F.coalesce(F.col("labels")["run"], F.lit("")).alias("run"),
         F.col("labels")["batch"].cast("bigint").alias("batch"),
         "value",
     )
-    once = rows.dropDuplicates(["name", "job", "batch"])  # a batch may be reported again
-    w = W.partitionBy("name", "job").orderBy("batch")
-    return once.select(
-        "ts",
-        "name",
-        F.create_map(F.lit("job"), F.col("job")).alias("labels"),
-        F.sum("value").over(w).alias("value"),
+    once = rows.dropDuplicates(["name", "job", "run", "batch"])  # a batch may be reported again
+    total = prefix_sum(once, ["name", "job"], ["ts", "run", "batch"], F.col("value"), F.to_date("ts"), "_total")
+    return total.select(
+        "ts", "name", F.create_map(F.lit("job"), F.col("job")).alias("labels"), F.col("_total").alias("value")
     )
 
 
@@ -61,6 +72,12 @@ class MetricsListener(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
+        self._ended: dict[str, threading.Event] = {}
+
+    def wait_for(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Wait until all reports of an ended query are in the table."""
+        if not self._ended.setdefault(str(query.runId), threading.Event()).wait(seconds):
+            raise TimeoutError(f"no end of {query.name or query.id} was reported")
 
     def onQueryStarted(self, event: Any) -> None: ...
 
@@ -70,4 +87,5 @@ class MetricsListener(StreamingQueryListener):
 
     def onQueryIdle(self, event: Any) -> None: ...
 
-    def onQueryTerminated(self, event: Any) -> None: ...
+    def onQueryTerminated(self, event: Any) -> None:
+        self._ended.setdefault(str(event.runId), threading.Event()).set()

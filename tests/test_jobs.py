@@ -20,12 +20,12 @@ from flowspark.plans.alerting import (
     intrusion_rules,
     session_rules,
 )
-from flowspark.plans.intrusions import run_detection
+from flowspark.plans.intrusions import detect_intrusions, run_detection
 from flowspark.session import work_dir
 from flowspark.sources.hash_store import read_hash, upsert_hash
 from flowspark.sources.records import read_text_records, to_json_records, write_text_records
 from flowspark.streaming.hold import hold_stream
-from flowspark.streaming.metrics import MetricsListener, counter_totals, progress_rows
+from flowspark.streaming.metrics import SCHEMA, MetricsListener, counter_totals, progress_rows
 
 SECOND = 1_000_000
 
@@ -183,6 +183,70 @@ def test_detection_stream_has_two_outputs(spark, tmp_path):
     assert [r["parse_error"] for r in spark.read.json(str(tmp_path / "bad")).collect()] == ["malformed_json"]
 
 
+def test_no_record_is_lost(spark, tmp_path):
+    good = json.dumps({f.key: 1 for f in FEATURES})
+    rows = [(1, good), (2, None), (3, "{"), (4, ""), (5, json.dumps({f.key: 2 for f in FEATURES}))]
+    df = spark.createDataFrame(rows, "id int, value string")
+
+    def rejects_second(x):
+        p = F.array(*[F.lit(float(i == 3)) for i in range(7)])
+        return x.withColumn("probabilities", F.when(F.col("id") != 5, p))
+
+    found = detect_intrusions(df, rejects_second, now=F.lit(5), keep=["id"])
+    bad = {r["id"]: r["parse_error"] for r in found.quarantine.collect()}
+    assert bad == {2: "null_record", 3: "malformed_json", 4: "malformed_json", 5: "bad_length"}
+    assert [r["id"] for r in found.alerts.collect()] == [1]
+
+
+def test_counted_stream_over_batches_and_a_restart(spark, tmp_path):
+    good = json.dumps({f.key: 1 for f in FEATURES})
+    source, metrics = str(tmp_path / "in"), str(tmp_path / "metrics")
+
+    def dos(df):
+        return df.withColumn("probabilities", F.array(*[F.lit(float(i == 3)) for i in range(7)]))
+
+    def run():
+        raw = read_text_records(spark, source, format="parquet", maxFilesPerTrigger="1")
+        q = run_detection(
+            raw, dos, lambda df, b: df.write.mode("append").json(str(tmp_path / "a")),
+            lambda df, b: df.write.mode("append").json(str(tmp_path / "q")),
+            str(tmp_path / "check"), available_now=True, now=F.lit(5), observe=("flows_in", "alerts_out"),
+        )
+        q.awaitTermination()
+        listener.wait_for(q)
+
+    listener = MetricsListener(spark, metrics)
+    spark.streams.addListener(listener)
+    try:
+        for values in ([good], [good, None], ["{"]):
+            spark.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.mode("append").parquet(source)
+        run()
+        spark.createDataFrame([(good,)], "value string").coalesce(1).write.mode("append").parquet(source)
+        run()
+    finally:
+        spark.streams.removeListener(listener)
+    totals = counter_totals(spark.read.schema(SCHEMA).parquet(metrics).filter("labels['job'] = 'flows_in'"))
+    last = {r["name"]: r["v"] for r in totals.groupBy("name").agg(F.max("value").alias("v")).collect()}
+    assert (last["total_flows_processed"], last["intrusions_detected"]) == (5.0, 3.0)
+    assert spark.read.json(str(tmp_path / "a")).count() == 3 and spark.read.json(str(tmp_path / "q")).count() == 2
+
+
+def test_equal_facts_are_spread(spark):
+    from flowspark.operators.joins import _salted, is_small
+
+    fact = spark.createDataFrame([("hot",)] * 1000, "key string").repartition(4)
+    assert _salted(fact, F.lit(16)).select("_salt").distinct().count() > 8
+    wide = spark.range(100).select(F.lit("x" * 1000).alias("s"))
+    assert is_small(wide) and not is_small(wide, max_bytes=50_000) and not is_small(wide, max_rows=99)
+
+
+def test_alerts_count_once_per_group(spark):
+    points = [("g", "r", s, 15 * SECOND * i, "firing", "t", f"d{s}") for s in ("a", "b") for i in range(2)]
+    df = spark.createDataFrame(points, "rule_group string, rule string, series string, us bigint, state string, summary string, description string")
+    got = [tuple(r) for r in group_notifications(df).collect()]
+    assert got == [(0, "slack-alerts", 2, "t", None)]
+
+
 def test_null_keys_are_kept(spark):
     fact = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(40)], "id int, key string")
     dim = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "key string, risk double")
@@ -211,9 +275,10 @@ def test_progress_samples(spark, tmp_path):
     rows = progress_rows(progress)
     values = {r[1]: r[3] for r in rows}
     assert values == {"input_rows": 5.0, "total_flows_processed": 5.0, "rows_dropped_by_watermark": 2.0, "batch_ms": 9.0}
-    again = [(rows[0][0], "n", {"job": "j", "batch": str(b)}, v) for b, v in [(0, 1.0), (1, 2.0), (1, 2.0)]]
+    runs = [("a", 0, 1.0), ("a", 1, 2.0), ("a", 1, 2.0), ("b", 0, 4.0)]  # one batch reported twice, one restart
+    again = [(rows[0][0], "n", {"job": "j", "run": r, "batch": str(b)}, v) for r, b, v in runs]
     df = spark.createDataFrame(again, "ts timestamp, name string, labels map<string,string>, value double")
-    assert sorted(r["value"] for r in counter_totals(df).collect()) == [1.0, 3.0]
+    assert sorted(r["value"] for r in counter_totals(df).collect()) == [1.0, 3.0, 7.0]
 
     class Event:
         class progress:
