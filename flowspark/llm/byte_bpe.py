@@ -18,7 +18,7 @@ from flowspark.session import ship_package
 from .common import stored
 
 #: The dictionary of frequent words: at most so many, of at most so many bytes each.
-DICTIONARY_WORDS, DICTIONARY_BYTES = 500_000, 32
+DICTIONARY_WORDS, DICTIONARY_BYTES = 250_000, 32
 #: Pre-tokens above this many bytes take a heap instead of the fold, whose work grows with the square.
 FOLD_BYTES = 400
 _BUCKETS = _IDS = 1 << 16
