@@ -58,7 +58,8 @@ def _displaced(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]
 
     The pairs of one left id are a row, placed at a shift of its own where none of its
     cells is taken: pair (a, b) has slot ``shifts[a] + b``. A slot holds the left id
-    and the rank, of 16 bits each; an empty one a left id that does not exist.
+    and the rank, of 16 bits each, above the bits of a place; an empty one a left id
+    that does not exist.
     """
     rows: dict[int, list[tuple[int, int]]] = {}
     for a, b, rank in pairs:
@@ -80,10 +81,10 @@ def _displaced(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]
             start += span
         shifts[a] = int(at[0])
         for b, rank in row:
-            slots[shifts[a] + b] = a << 16 | rank
+            slots[shifts[a] + b] = (a << 16 | rank) << _PLACE_BITS
         free[at[0] + cells] = False
         lowest += int(np.argmax(free[lowest:]))
-    empty = (_IDS - 1) << 16
+    empty = (_IDS - 1) << 16 + _PLACE_BITS
     return shifts, [slots.get(i, empty) for i in range(max(shifts) + _IDS)]
 
 
@@ -127,15 +128,16 @@ class Codec:
             def key(x: Column, i: Column) -> Column:
                 slot = F.get(self._slots, F.get(self._shifts, x) + F.get(p, i + 1))
                 # a slot of this left id leaves its rank, any other something above all ranks
-                rest = slot.bitwiseXOR(F.shiftleft(x, 16))
-                return F.shiftleft(rest, _PLACE_BITS).bitwiseOR(i)
+                return slot.bitwiseXOR(F.shiftleft(x, 16 + _PLACE_BITS)).bitwiseOR(i)
 
             return F.array_min(F.transform(p, key))
 
         def merge(p: Column, at: Column) -> Column:
-            place = at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-            put = F.transform(p, lambda x, i: F.when(i == place, F.shiftright(at, _PLACE_BITS)).otherwise(x))
-            return F.filter(put, lambda _, i: i != place + 1)
+            def put(place: Column) -> Column:
+                merged = F.transform(p, lambda x, i: F.when(i == place, F.shiftright(at, _PLACE_BITS)).otherwise(x))
+                return F.filter(merged, lambda _, i: i - 1 != place)
+
+            return _let(at.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int"), put)
 
         def step(p: Column, _: Column) -> Column:
             return _let(best(p), lambda at: F.when(at < (1 << 16 + _PLACE_BITS), merge(p, at)).otherwise(p))
@@ -203,7 +205,7 @@ def _dictionary(docs: DataFrame, codec: Codec, words: int) -> Column:
             break
         least = row["count"]
     frequent = counts.filter(F.col("count") >= least if least is not None else F.lit(False))
-    bucket = F.crc32(F.col("w").cast("binary")).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
+    bucket = F.hash("w").bitwiseAND(F.lit(_BUCKETS - 1))
     entry = F.to_json(F.create_map("w", codec.fold(F.col("w"))))
     frequent = frequent.select(bucket.alias("b"), entry.alias("e"))
     inner = F.transform(F.collect_list("e"), lambda e: F.substr(e, F.lit(2), F.length(e) - 2))
@@ -232,7 +234,7 @@ def encode_bytes(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: st
     rows = rows.withColumn("_long_ids", codec.long_words()("_long"))
 
     def ids_of(w: Column) -> Column:
-        bucket = F.get(known, F.crc32(w.cast("binary")).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int"))
+        bucket = F.get(known, F.hash(w).bitwiseAND(F.lit(_BUCKETS - 1)))
         long = F.get(F.col("_long_ids"), (F.array_position("_long", w) - 1).cast("int"))
         return F.coalesce(F.element_at(bucket, w), F.when(F.octet_length(w) > FOLD_BYTES, long).otherwise(codec.fold(w)))
 
