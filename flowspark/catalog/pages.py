@@ -11,6 +11,7 @@ from ..operators.windows import hash_key, nonempty_report, strip_prefix, windowe
 from ..plans.page_views import page_view_counts
 from ..session import work_dir
 from ..sources.hash_store import compact_hash, field_maps, read_hash, upsert_hash
+from ..sources.records import bad_page_views, parse_page_views
 from .registry import query
 from .views import table
 
@@ -146,3 +147,29 @@ def event_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ms.select(
         "event_id", back.alias("event_ms"), event_latency_ms(back, F.lit(NOW_MS)).alias("latency_ms")
     )
+
+
+def _page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views as records of a topic, some of them damaged."""
+    e = table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    time = F.when(F.col("event_id") % 2 == 0, F.unix_millis(ts).cast("string")).otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    page = F.when(F.col("event_id") % 9 != 2, F.concat(F.lit("/"), F.col("event_type")))
+    text = F.to_json(F.struct(page.alias("page"), F.col("user_id").cast("string").alias("user_id"), F.when(F.col("event_id") % 9 == 3, "soon").otherwise(time).alias("timestamp")))
+    damaged = F.when(F.col("event_id") % 9 == 1, "{").otherwise(text)
+    return e.select(F.when(F.col("event_id") % 9 != 0, damaged).alias("value"))
+
+
+@query(
+    "page_view_records",
+    """SELECT CASE event_id % 9 WHEN 0 THEN 'null_record' WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing:page' WHEN 3 THEN 'bad_time'
+  ELSE '/' || event_type || strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%S') END AS outcome, count(*) AS n
+FROM events GROUP BY 1""",
+)
+def page_view_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic records to page views per minute; what is none is set aside with a reason."""
+    raw = _page_records(spark, sf_dir)
+    minute = F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd'T'HH:mm:ss")
+    good = parse_page_views(raw).select(F.concat("page", minute).alias("outcome"))
+    bad = bad_page_views(raw).select(F.col("parse_error").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))

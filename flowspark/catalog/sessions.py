@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.network import ipv4_number, ipv4_text
 from ..operators.enrich import enrich_geo, enrich_lookup, flag_text
-from ..plans.sessions import enrich_events, score_sessions
+from ..plans.sessions import LATENCY_BOUNDS, enrich_events, flag_metrics, score_sessions, write_flags
+from ..session import work_dir
 from ..sources.records import bad_ui_events, parse_ui_events, to_json_records
 from .registry import query
 from .views import NOW_MS, table
@@ -161,3 +162,35 @@ def ui_event_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = parse_ui_events(damaged).select(F.lit("event").alias("outcome"))
     bad = bad_ui_events(damaged).select(F.col("parse_error").alias("outcome"))
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "flag_output",
+    f"""WITH {_UI} SELECT session_id, count(*) AS n, round(max(score), 6) AS top FROM scored WHERE score > 0.8 GROUP BY 1""",
+)
+def flag_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags written as text to a sink and read back."""
+    path = work_dir(spark, "flags")
+    write_flags(_flagged(spark, sf_dir), path, format="text")
+    parts = F.split("value", ",")
+    back = spark.read.text(path).select(parts[0].alias("session_id"), parts[1].cast("double").alias("score"))
+    return back.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("score"), 6).alias("top"))
+
+
+_BUCKETS_SQL = " UNION ALL ".join(
+    f"SELECT 'latency_ms_bucket' AS name, '{b}' AS le, CAST(count(*) FILTER (WHERE {NOW_MS} - timestamp <= {b}) AS DOUBLE) AS value FROM flagged"
+    for b in LATENCY_BOUNDS
+)
+
+
+@query(
+    "flag_metrics",
+    f"""WITH {_UI}, flagged AS (SELECT * FROM scored WHERE score > 0.8)
+SELECT 'flagged_sessions_total' AS name, NULL AS le, CAST(count(*) AS DOUBLE) AS value FROM flagged
+UNION ALL {_BUCKETS_SQL}
+UNION ALL SELECT 'latency_ms_bucket', '+Inf', CAST(count(*) AS DOUBLE) FROM flagged""",
+)
+def flag_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counter and the latency buckets that the session rules watch, from the job itself."""
+    samples = flag_metrics(_flagged(spark, sf_dir), F.timestamp_millis(F.lit(NOW_MS)), job="sessions")
+    return samples.select("name", F.col("labels")["le"].alias("le"), "value")

@@ -21,6 +21,7 @@ from ..operators.series import (
     ratio,
     select_series,
     threshold,
+    within,
 )
 
 
@@ -38,7 +39,7 @@ class Evaluation:
 
     def rate(self, metrics: DataFrame, name: str, range_s: int, **match) -> DataFrame:
         return rate(
-            select_series(metrics, name, **match),
+            select_series(within(metrics, self.start, self.end, (self.range_s or range_s) * SECOND), name, **match),
             range_s=self.range_s or range_s,
             step_s=self.step_s,
             mode=self.mode,
@@ -48,7 +49,7 @@ class Evaluation:
 
     def instant(self, metrics: DataFrame, name: str, **match) -> DataFrame:
         return instant(
-            select_series(metrics, name, **match),
+            select_series(within(metrics, self.start, self.end, self.lookback_s * SECOND), name, **match),
             step_s=self.step_s,
             lookback_s=self.lookback_s,
             start=self.start,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +13,10 @@ from ..operators.enrich import (
     enrich_geo,
     enrich_lookup,
     flag_sessions,
+    flag_text,
     score_binary,
 )
+from ..sources.records import write_text_records
 
 
 def enrich_events(
@@ -45,3 +47,31 @@ def score_sessions(
     )
     flagged = flag_sessions(score_binary(features, weights, bias), threshold)
     return flagged.withColumn("pipeline_latency_ms", event_latency_ms(F.col("timestamp"), now))
+
+
+LATENCY_BOUNDS = (100, 250, 500, 1000)
+
+
+def flag_metrics(flagged: DataFrame, ts: Column, *, job: str, bounds: Sequence[float] = LATENCY_BOUNDS) -> DataFrame:
+    """Samples of a batch of flags for the metrics table: their number and the latency buckets.
+
+    ``flagged_sessions_total`` counts flags; ``latency_ms_bucket`` those of at most the
+    bound ``le``, as the latency rule reads them. One aggregate of one row.
+    """
+    latency = F.col("pipeline_latency_ms")
+    counts = flagged.agg(
+        F.count(F.lit(1)).alias("all"), *[F.count_if(latency <= b).alias(f"b{i}") for i, b in enumerate(bounds)]
+    )
+
+    def sample(name: str, value: str, **labels: str) -> Column:
+        pairs = [F.lit(x) for k, v in {"job": job, **labels}.items() for x in (k, v)]
+        return F.struct(F.lit(name).alias("name"), F.create_map(*pairs).alias("labels"), F.col(value).cast("double").alias("value"))
+
+    buckets = [sample("latency_ms_bucket", f"b{i}", le=str(b)) for i, b in enumerate(bounds)]
+    rows = F.array(sample("flagged_sessions_total", "all"), *buckets, sample("latency_ms_bucket", "all", le="+Inf"))
+    return counts.select(ts.alias("ts"), F.inline(rows))
+
+
+def write_flags(flagged: DataFrame, target: str, **sink: object):
+    """Flags as ``session,score`` text to a topic or path."""
+    return write_text_records(flag_text(flagged), target, **sink)

@@ -127,6 +127,37 @@ def bad_ui_events(df: DataFrame, *, avro_schema: str | None = None) -> DataFrame
     return rows.select("value", reason.alias("parse_error"))
 
 
+PAGE_VIEW_SCHEMA = "page string, user_id string, timestamp string"
+
+
+def _page_view_records(df: DataFrame) -> DataFrame:
+    view = F.from_json(F.col("value"), PAGE_VIEW_SCHEMA)
+    ms = F.col("_view.timestamp").try_cast("bigint")
+    text = F.try_to_timestamp("_view.timestamp")
+    return df.withColumn("_view", view).withColumn("_ts", F.coalesce(F.timestamp_millis(ms), text))
+
+
+def parse_page_views(df: DataFrame) -> DataFrame:
+    """``page, ts, user_id`` from JSON text; the time is epoch milliseconds or a time stamp as text.
+
+    The rest is what ``bad_page_views`` gives: no record is in neither.
+    """
+    rows = _page_view_records(df).filter(F.col("_view.page").isNotNull() & F.col("_ts").isNotNull())
+    return rows.select("_view.page", F.col("_ts").alias("ts"), "_view.user_id")
+
+
+def bad_page_views(df: DataFrame) -> DataFrame:
+    """``value`` and ``parse_error`` of records without a page or a readable time."""
+    rows = _page_view_records(df).filter(F.col("_view.page").isNull() | F.col("_ts").isNull())
+    reason = (
+        F.when(F.col("value").isNull(), "null_record")
+        .when(F.col("_view.page").isNotNull(), "bad_time")
+        .when(F.col("_ts").isNotNull() | F.col("_view.user_id").isNotNull(), "missing:page")
+        .otherwise("malformed")
+    )
+    return rows.select("value", reason.alias("parse_error"))
+
+
 def _ui_records(df: DataFrame, avro_schema: str | None) -> DataFrame:
     if avro_schema:
         from pyspark.sql.avro.functions import from_avro

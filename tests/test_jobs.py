@@ -240,6 +240,17 @@ def test_equal_facts_are_spread(spark):
     assert is_small(wide) and not is_small(wide, max_bytes=50_000) and not is_small(wide, max_rows=99)
 
 
+def test_rule_bounds_reach_the_scan(spark, tmp_path):
+    rows = [("up", {"job": "j"}, i, 1.0) for i in range(0, 7200, 15)]
+    df = spark.createDataFrame(rows, "name string, labels map<string,string>, s bigint, value double")
+    df.select("name", "labels", F.timestamp_seconds("s").alias("ts"), "value").write.parquet(str(tmp_path / "m"))
+    ev = Evaluation(start=3600 * SECOND, end=3660 * SECOND)
+    points = ev.instant(spark.read.parquet(str(tmp_path / "m")), "up")
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
+    assert [r["us"] // SECOND for r in points.orderBy("us").collect()] == [3600, 3615, 3630, 3645, 3660]
+
+
 def test_alerts_count_once_per_group(spark):
     points = [("g", "r", s, 15 * SECOND * i, "firing", "t", f"d{s}") for s in ("a", "b") for i in range(2)]
     df = spark.createDataFrame(points, "rule_group string, rule string, series string, us bigint, state string, summary string, description string")
