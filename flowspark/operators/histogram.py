@@ -37,17 +37,19 @@ def histogram_quantile(
     """Quantile by straight-line interpolation in the bucket that holds the rank.
 
     The lowest bucket starts at zero; in the infinite one the answer is the highest
-    finite bound. Groups without observations have no result. A group holds one row
-    per bucket.
+    finite bound. Counts that fall from one bucket to the next, as extrapolated rates
+    may, are raised to the one before, so the rank goes by the last bucket. Groups
+    without observations have no result. A group holds one row per bucket.
     """
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     ordered = group.orderBy("le")
-    c = F.col(count).cast("double")
+    rising = F.max(F.col(count).cast("double")).over(ordered)
+    c = F.col("c")
     rank = F.lit(float(q)) * F.max(c).over(group)
-    rows = buckets.select(
+    rows = buckets.select(*by, "le", rising.alias("c")).select(
         *by,
         "le",
-        c.alias("c"),
+        "c",
         F.lag("le").over(ordered).alias("lower"),
         F.coalesce(F.lag(c).over(ordered), F.lit(0.0)).alias("below"),
         rank.alias("rank"),

@@ -135,3 +135,10 @@ def test_prefix_sum(spark):
     got = prefix_sum(df, ["k"], ["o"], F.col("v"), F.floor(F.col("o") / 17), "s").collect()
     for r in got:
         assert r["s"] == sum(v for k, o, v in rows if k == r["k"] and o <= r["o"])
+
+
+def test_falling_bucket_counts_are_raised(spark):
+    rows = [(1.0, 4.0), (2.0, 3.0), (3.0, 10.0), (float("inf"), 9.5)]
+    buckets = spark.createDataFrame(rows, "le double, count double")
+    # as counts 4, 4, 10, 10: rank 8 lies two thirds into the third bucket
+    assert abs(histogram_quantile(buckets, 0.8).first()["value"] - (2 + 4 / 6)) < 1e-9
