@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ from flowspark.session import ship_package
 from .common import stored
 
 #: The dictionary of frequent words: at most so many, of at most so many bytes each.
-DICTIONARY_WORDS, DICTIONARY_BYTES = 250_000, 32
+DICTIONARY_WORDS, DICTIONARY_BYTES = 200_000, 32
 #: Pre-tokens above this many bytes take a heap instead of the fold, whose work grows with the square.
 FOLD_BYTES = 400
 _BUCKETS = _IDS = 1 << 16
@@ -53,7 +53,7 @@ def _literal(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _displaced(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+def _displaced(pairs: Iterable[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """The rank map as two flat arrays in which a pair is found in one probe.
 
     The pairs of one left id are a row, placed at a shift of its own where none of its
@@ -66,8 +66,9 @@ def _displaced(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]
         if max(a, b, rank) >= _IDS - 1:
             raise ValueError("ids above 16 bits")
         rows.setdefault(a, []).append((b, rank))
-    shifts, slots, lowest, span = [0] * _IDS, {}, 0, 4096
-    free = np.ones(8 * _IDS + 2 * len(pairs), bool)
+    size = 8 * _IDS + 2 * sum(map(len, rows.values()))
+    shifts, slots, lowest, span = np.zeros(_IDS, np.int64), np.full(size, (_IDS - 1) << 16 + _PLACE_BITS), 0, 4096
+    free = np.ones(size, bool)
     for a, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
         row.sort()
         cells = np.array([b for b, _ in row])
@@ -79,13 +80,11 @@ def _displaced(pairs: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]
             if len(at):
                 break
             start += span
-        shifts[a] = int(at[0])
-        for b, rank in row:
-            slots[shifts[a] + b] = (a << 16 | rank) << _PLACE_BITS
+        shifts[a] = at[0]
+        slots[at[0] + cells] = (a << 16 | np.array([rank for _, rank in row])) << _PLACE_BITS
         free[at[0] + cells] = False
         lowest += int(np.argmax(free[lowest:]))
-    empty = (_IDS - 1) << 16 + _PLACE_BITS
-    return shifts, [slots.get(i, empty) for i in range(max(shifts) + _IDS)]
+    return shifts, slots[: shifts.max() + _IDS]
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -104,7 +103,7 @@ class Codec:
 
     def __init__(self, ranks: ByteRanks, pattern: str):
         self.ranks, self.pattern = ranks, java_pattern(pattern)
-        shifts, slots = _displaced(list(ranks.pairs()))
+        shifts, slots = (x.tolist() for x in _displaced(ranks.pairs()))
         self._shifts, self._slots = _literal(shifts, "array<bigint>"), _literal(slots, "array<bigint>")
         self._bytes = _literal([ranks.tokens[bytes([b])] for b in range(256)], "array<bigint>")
         hexes = [""] * (max(ranks.tokens.values()) + 1)
