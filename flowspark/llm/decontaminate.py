@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from flowspark.session import ship_package
 
 #: Characters of a q-gram; share of an item's characters that may differ; items shorter than this are ignored.
-Q, ERROR_RATE, MIN_CHARS = 12, 0.1, 40
+#: With these, the lemma promises at least one shared q-gram at the full budget for every length.
+Q, ERROR_RATE, MIN_CHARS = 8, 0.1, 40
 #: Benchmark text that is sent to every task, at most; a larger benchmark is worked through in parts of this size.
 PART_BYTES = 8 << 20
 _FOUND = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
@@ -113,15 +114,43 @@ def _banded(a: np.ndarray, b: np.ndarray, shift: int, band: int, limit: int) ->
 
 
 def _least(n: int) -> int:
-    """Shared q-grams that the lemma promises for an item of n characters, with as many edits as it can see of the budget."""
-    edits = min(int(n * ERROR_RATE), (n + 1) // Q - 2)
-    return max(1, n + 1 - Q * (edits + 1))
+    """Shared q-grams that the lemma promises for an item of n characters with its full edit budget."""
+    return max(1, n + 1 - Q * (int(n * ERROR_RATE) + 1))
+
+
+def _masks(want: np.ndarray) -> dict[int, int]:
+    """For each character of an item, the bits of its places."""
+    out: dict[int, int] = {}
+    for i, c in enumerate(want.tolist()):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def _within(masks: dict[int, int], n: int, window: list[int], limit: int) -> bool:
+    """Whether some stretch of ``window`` is at most ``limit`` edits from the item of n characters (bit vectors of Myers)."""
+    top, full = 1 << (n - 1), (1 << n) - 1
+    plus, minus, score = full, 0, n
+    for c in window:
+        same = masks.get(c, 0)
+        zero = (((same & plus) + plus) ^ plus) | same | minus
+        up, down = minus | ~(zero | plus) & full, plus & zero
+        if up & top:
+            score += 1
+        elif down & top:
+            score -= 1
+            if score <= limit:
+                return True
+        up, down = up << 1 & full, down << 1 & full
+        plus, minus = down | ~(zero | up) & full, up & zero
+    return n <= limit
 
 
 class Finder:
     def __init__(self, index: Index):
         self.x = index
         self.least = np.array([_least(len(t)) for t in index.texts], np.int64)
+        self.edits = np.array([int(len(t) * ERROR_RATE) for t in index.texts], np.int64)
+        self.masks: dict[int, dict[int, int]] = {}
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """``(item id, start, end, edits)`` of every stretch of the text that holds a whole item within its edit budget."""
@@ -150,7 +179,10 @@ class Finder:
         item, diagonal, at = item[keep], diagonal[keep], at[keep]
         order = np.lexsort((at, diagonal, item))
         item, diagonal, at = item[order], diagonal[order], at[order]
-        for k in np.unique(item):
+        # the promised q-grams lie on at most e + 1 neighbouring diagonals
+        key = item * (1 << 40) + diagonal
+        near = np.searchsorted(key, key + self.edits[item], "right") - np.arange(len(key))
+        for k in np.unique(item[near >= self.least[item]]):
             a, b = np.searchsorted(item, [k, k + 1])
             found += self._item(int(k), diagonal[a:b], at[a:b], points, place)
         return sorted(set(found), key=lambda f: (f[1], f[2], f[0]))
@@ -162,7 +194,8 @@ class Finder:
         q-grams with its stretch, all within e diagonals of its end's.
         """
         want = self.x.texts[k]
-        e, least = int(len(want) * ERROR_RATE), int(self.least[k])
+        masks = self.masks.get(k) or self.masks.setdefault(k, _masks(want))
+        e, least = int(self.edits[k]), int(self.least[k])
         span, found, last, done = max(1, 2 * e), [], None, []
         for offset in (0, span // 2):
             band = (diagonal + offset) // span
@@ -170,7 +203,7 @@ class Finder:
             size = np.diff(np.r_[cut, len(band)])
             for c in np.flatnonzero(size >= least):
                 inside = slice(cut[c], cut[c] + size[c])
-                if len(np.unique(at[inside])) < least:
+                if min(len(np.unique(at[inside])), len(np.unique((at - diagonal)[inside]))) < least:
                     continue
                 low = int(band[cut[c]]) * span - offset
                 middle = low + span // 2
@@ -182,7 +215,9 @@ class Finder:
                     aligned = (0, d, d + len(want))  # the diagonal itself is a match
                     done.append(d)
                 else:  # the band's own diagonals and an edit budget on both sides
-                    aligned = _banded(want, points, middle, span // 2 + e + 1, e)
+                    side = span // 2 + e + 1
+                    window = points[max(0, middle - side) : max(0, middle + side + len(want) + 1)].tolist()
+                    aligned = _banded(want, points, middle, side, e) if _within(masks, len(want), window, e) else None
                 if aligned:
                     edits, s, t = aligned
                     if last and s < last[1] and last[0] < t and edits >= last[2]:

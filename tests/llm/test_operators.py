@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowspark.llm.bpe_queries import RANKS
 from flowspark.llm.byte_bpe import ByteRanks, encode_bytes, heap_encode
-from flowspark.llm.decontaminate import MIN_CHARS, decontaminate
+from flowspark.llm.decontaminate import ERROR_RATE, MIN_CHARS, Finder, Index, decontaminate, folded
 from flowspark.llm.line_dedup import dedup_lines
 from flowspark.llm.near_dup import connected, linked_pairs, near_duplicates
 from flowspark.llm.piece_count import PieceCounter, count_pieces, load_pieces
@@ -275,6 +275,37 @@ def test_passages_with_edits(spark, docs):
     assert not any(r.contaminated for r in decontaminate(docs(rows), bench.limit(0)).collect())
 
 
+def plain_distance(item, text):
+    """Fewest edits that turn the item into some stretch of the text."""
+    cost = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        last, cost[0] = cost[0], i
+        for j, b in enumerate(text, 1):
+            last, cost[j] = cost[j], min(last + (a != b), cost[j] + 1, cost[j - 1] + 1)
+    return cost[-1] if not text else min(cost)
+
+
+def test_copies_at_the_full_edit_budget():
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    for n in (40, 41, 49, 50, 60, 80, 119, 120, 200, 400):
+        item, budget = made(n), int(n * ERROR_RATE)
+        finder = Finder(Index.build([(1, folded(item)[0])]))
+        for kind in ("spread", "random", "mixed"):
+            for edits in (budget, budget + 2):
+                copy = list(item)
+                places = [int((i + 0.5) * n / edits) for i in range(edits)] if kind == "spread" else rng.sample(range(n), edits)
+                for at in sorted(places, reverse=True):
+                    how = rng.choice("sid") if kind == "mixed" else "s"
+                    copy[at : at + 1] = {"s": [rng.choice(letters.replace(item[at], ""))], "i": [item[at], rng.choice(letters)], "d": []}[how]
+                text = f"{made(300)} {''.join(copy)} {made(300)}"
+                want = plain_distance(item, text)
+                found = finder.find(text)
+                assert [f[3] for f in found] == ([want] if want <= budget else []), (n, kind, edits)
+                assert edits > budget or found
+
+
 # toxicity
 
 
