@@ -70,18 +70,21 @@ def _viterbi(name: str, log: dict[tuple[int, int], float], unknown: float) -> li
 
 
 def segmented(names: DataFrame, unigrams: DataFrame) -> DataFrame:
-    """``name, words``: each distinct name split by the counts ``word, n`` (unigram Viterbi).
+    """``name, words``: each distinct name split by the counts ``word, n, bare`` (unigram Viterbi).
+
+    ``bare`` counts the word's own standing as a name; it helps to split other names, never itself.
 
     The stretches of a name, at most ``WORD_CHARS`` long, meet the counts in a join, so
     that the word list is never held by one task.
     """
     ship_package(names.sparkSession)
-    total = unigrams.agg(F.sum("n")).first()[0] or 1
+    total = unigrams.agg(F.sum(F.col("n") + F.col("bare"))).first()[0] or 1
     begin = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("start"))
     length = F.explode(F.sequence(F.lit(1), F.least(F.lit(WORD_CHARS), F.length("name") - F.col("start") + 1)))
     parts = begin.select("name", "start", length.alias("n_chars"))
     parts = parts.withColumn("word", F.substr("name", F.col("start"), F.col("n_chars")))
-    known = parts.join(unigrams, "word").groupBy("name").agg(F.collect_list(F.struct("start", "n_chars", "n")).alias("known"))
+    others = F.col("n") + F.when(F.col("word") != F.col("name"), F.col("bare")).otherwise(0)
+    known = parts.join(unigrams, "word").withColumn("n", others).filter("n > 0").groupBy("name").agg(F.collect_list(F.struct("start", "n_chars", "n")).alias("known"))
     unknown = math.log(10 / (10 * total))
 
     @F.pandas_udf("array<string>")
@@ -96,6 +99,21 @@ def segmented(names: DataFrame, unigrams: DataFrame) -> DataFrame:
     return names.join(known, "name", "left").select("name", split("name", "known").alias("words"))
 
 
+def _evidence(urls: DataFrame, text: DataFrame | None) -> DataFrame:
+    """``word, n``: separated parts of compound names, once per distinct compound, and words of texts, once per host.
+
+    A text's word does not count on pages whose own url holds it as a name.
+    """
+    runs = F.array_union(F.split(F.lower("host"), "[.]"), F.split(F.lower("path"), "[./]"))
+    runs = urls.select(F.explode(runs).alias("run")).distinct().select(F.array_distinct(names_of(F.col("run"))).alias("parts"), names_of(F.col("run")).alias("all"))
+    words = runs.filter(F.size("all") > 1).select(F.explode("parts").alias("word"))
+    if text is not None:
+        own = F.concat(names_of(F.col("host")), names_of(F.col("path")))
+        told = text.select("host", F.explode(F.array_except(names_of(F.col("text")), own)).alias("word")).distinct()
+        words = words.unionByName(told.select("word"))
+    return words.filter(F.length("word") <= WORD_CHARS).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule], *, url_col: str = "url", word_text: Column | None = None) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``score``.
 
@@ -103,8 +121,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], *, url_col: str = "url", word
     multinomial naive Bayes (add one) over the words of host and path names, counted
     once per page; it decides all other pages: block if the log odds ``score`` of
     blocking are above 0, else allow (also with nothing to learn from). Names are split
-    by unigram counts of the names themselves and of ``word_text`` (such as titles) of
-    all pages. Null urls and those without ``://`` have an empty host and path; the
+    by unigram counts of the parts of compound names, once per distinct compound, of
+    ``word_text`` (such as titles), once per host, and of other names that do not
+    split themselves; how often a name itself occurs never holds it together. Null urls and those without ``://`` have an empty host and path; the
     prior alone decides them. Work is done per distinct (host, path). Input columns
     named like an added one are replaced.
     """
@@ -117,12 +136,20 @@ def judge(pages: DataFrame, rules: Sequence[Rule], *, url_col: str = "url", word
     urls = stored(urls.withColumn("r", matching_rule(F.col("host"), F.col("path"), rules)), "url-distinct")
 
     names = urls.select("_u1", "_u2", "n", "r", F.explode(F.concat(names_of(F.col("host")), names_of(F.col("path")))).alias("name"))
-    words = names.select(F.col("name").alias("word"), "n")
+    text = None
     if word_text is not None:
-        text = pages.select(F.explode(names_of(F.coalesce(word_text, F.lit("")))).alias("word"))
-        words = words.unionByName(text.withColumn("n", F.lit(1).cast("long")))
-    unigrams = stored(words.filter(F.length("word") <= WORD_CHARS).groupBy("word").agg(F.sum("n").alias("n")), "url-words")
-    split = stored(segmented(names.select("name").distinct(), unigrams), "url-names")
+        text = pages.select(host_of(url).alias("host"), path_of(url).alias("path"), F.coalesce(word_text, F.lit("")).alias("text"))
+    evidence = stored(_evidence(urls, text), "url-evidence")
+    distinct = stored(names.select("name").distinct(), "url-distinct-names")
+
+    def with_bare(bare: DataFrame) -> DataFrame:
+        bare = bare.filter(F.length("name") <= WORD_CHARS).select(F.col("name").alias("word"), F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("bare"))
+        both = evidence.select("word", "n", F.lit(0).cast("long").alias("bare")).unionByName(bare)
+        return stored(both.groupBy("word").agg(F.sum("n").alias("n"), F.sum("bare").alias("bare")), "url-words")
+
+    # names that the others split are no words of further names
+    whole = stored(segmented(distinct, with_bare(distinct)), "url-first-split").filter(F.size("words") == 1)
+    split = stored(segmented(distinct, with_bare(whole.select("name"))), "url-names")
 
     # counts of (name, verdict) first: the words of a name are then summed once per name
     ruled = F.when(F.col("r.verdict") == "block", F.col("n")).otherwise(0)

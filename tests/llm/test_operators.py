@@ -18,7 +18,7 @@ from flowspark.llm.piece_count import PieceCounter, count_pieces, load_pieces
 from flowspark.llm.pivot_topk import top_k
 from flowspark.llm.sharding import BinTree, pack, pack_into, shard_by_bytes
 from flowspark.llm.toxicity import Scorer, cleaned, train
-from flowspark.llm.url_filter import Rule, judge
+from flowspark.llm.url_filter import Rule, judge, segmented
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -180,6 +180,18 @@ def test_urls(spark):
     assert judge(pages.limit(0), rules).collect() == []
 
 
+def test_frequent_concatenated_names_are_split(spark):
+    ruled = [f"http://bad.com/x/cheap-pills-{i}" for i in range(20)] + [f"http://good.com/good-news-{i}" for i in range(60)]
+    hot = [f"http://cheappills.org/{i}" for i in range(500)] + [f"http://goodnews.org/{i}" for i in range(500)] + ["http://cheappillsgoodnews.org/"]
+    pages = spark.createDataFrame([(i, u, "Cheappills today" if "cheappills.org" in u else "") for i, u in enumerate(ruled + hot)], "page_id int, url string, title string")
+    got = {(r.host, r.verdict) for r in judge(pages, [Rule("allow", "com/"), Rule("block", "bad.com/x/")], word_text=F.col("title")).collect()}
+    assert {("cheappills.org", "block"), ("goodnews.org", "allow")} <= got
+    assert ("cheappills.org", "allow") not in got and ("goodnews.org", "block") not in got
+    evidence = spark.createDataFrame([("cheap", 1, 1), ("pills", 0, 1), ("cheappills", 0, 1), ("at", 50, 0)], "word string, n long, bare long")
+    names = spark.createDataFrame([("cheappills",), ("cheap",), ("zzz",)], "name string")
+    assert {r["name"]: r.words for r in segmented(names, evidence).collect()} == {"cheappills": ["cheap", "pills"], "cheap": ["cheap"], "zzz": ["zzz"]}
+
+
 # near duplicates
 
 
