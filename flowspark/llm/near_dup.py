@@ -1,4 +1,4 @@
-"""Near-duplicate documents through an LSH forest of sorted MinHash orders."""
+"""Near-duplicate documents through MinHash bands of fixed depth, in place of an LSH forest."""
 
 from __future__ import annotations
 
@@ -118,9 +118,9 @@ def near_duplicates(
 
     Equal word sequences are one class, stood for by its smallest id. Each class has
     ``trees`` keys, the first ``depth`` values of a rotation of its signature. Classes
-    that share a key form a region; it is sorted by the rotated signature, so that
-    the longest common prefixes are neighbours, and a large one is cut along that order
-    into blocks. Blocks compare signatures; what could reach the bound is compared on
+    that share a key form a region; it is sorted by the rotated signature, which only
+    numbers its members, and a large one is cut along that order into blocks. A pair
+    without a common key is never compared. Blocks compare signatures; what could reach the bound is compared on
     full sets, and of the links found only a star per group leaves the task. No region,
     block or partner is capped: the pairs of all blocks of a region are compared.
 
