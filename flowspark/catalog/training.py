@@ -189,9 +189,9 @@ def reloaded_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("tuning_trials")
 def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grid search on accuracy; one row per trial, best first."""
+    """Grid search of 20 trials on accuracy; one row per trial, best first."""
     data = _labelled(spark, sf_dir)
     train, _, *_ = prepare(data, None, "attack", "vec_id", train=0.8, seed=42)
-    _, trials = tune(train, {"regParam": [0.001, 0.1], "maxIter": [10, 30]})
+    _, trials = tune(train, {"regParam": [0.0001, 0.001, 0.01, 0.1, 1.0], "maxIter": [5, 10, 20, 30]})
     rows = [(i, p["regParam"], int(p["maxIter"]), float(a)) for i, (p, a) in enumerate(trials)]
     return spark.createDataFrame(rows, "place int, reg_param double, max_iter int, accuracy double")

@@ -30,3 +30,9 @@ def test_runs(spark, sf_dir, name):
     if name == "tuning_trials":
         accuracies = [r["accuracy"] for r in sorted(rows)]
         assert accuracies == sorted(accuracies, reverse=True)
+
+
+def test_twenty_tuning_trials(spark, sf_dir):
+    rows = QUERIES["tuning_trials"](spark, sf_dir).collect()
+    assert sorted(r["place"] for r in rows) == list(range(20))
+    assert len({(r["reg_param"], r["max_iter"]) for r in rows}) == 20
