@@ -616,14 +616,14 @@ def _register_rule(key: str) -> None:
 for _key in RULES:
     _register_rule(_key)
 
-def _rounded(rule):
+def _rounded_rule(rule):
     """Values as the comparison has them: to six places."""
     return replace(rule, expr=lambda m, ev: mapped(rule.expr(m, ev), lambda v: F.round(v, 6)))
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules of all groups, each at its own step and range."""
-    found = [evaluate_rule(_rounded(rule), _rule_input(spark, sf_dir, k), ev) for k, (rule, ev, _) in RULES.items()]
+    found = [evaluate_rule(_rounded_rule(rule), _rule_input(spark, sf_dir, k), ev) for k, (rule, ev, _) in RULES.items()]
     return reduce(DataFrame.unionByName, found)
 
 
