@@ -26,6 +26,7 @@ PROBES, AIM = 128, 0.95
 #: Vectors of the sample that give a query a first lower bound of its k-th score.
 _FLOOR = 4096
 _SLICE = 256
+_EMPTY = pd.DataFrame({"asked": np.array([], np.int64), "rep": np.array([], np.int64), "score": np.array([], np.float64)})
 
 
 def matrix(vectors, dim: int) -> np.ndarray:
@@ -323,12 +324,26 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, *, id_
                     some = np.flatnonzero(ready[2] & np.bitwise_or.reduce(wanted))
                     v, name = matrix(ready[0].iloc[some], dim), ready[1][some]
                     qi, vi, score = _strongest(q, v, (wanted[:, None] & ready[2][some][None]) != 0, cut.least.to_numpy(), k + 1, name)
-                    yield pd.DataFrame({"asked": rep[qi], "rep": name[vi], "score": score})
+                    some, at = np.unique(qi, return_index=True)
+                    if len(some):
+                        yield pd.DataFrame({"asked": rep[some], "reps": np.split(name[vi], at[1:]), "scores": np.split(score, at[1:])})
 
-    found = meet.mapInPandas(compare, "asked bigint, rep bigint, score double")
-    found = found.repartition("asked").groupBy("asked", "rep").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(W.partitionBy("asked").orderBy(F.desc("score"), "rep"))
-    best = found.withColumn("nth", rank).filter(F.col("nth") <= k + 1)
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Lists of one query, next to each other, into its k+1 best; the last query of a batch waits for the next."""
+        rest = _EMPTY
+        for b in batches:
+            lengths = b.reps.str.len().to_numpy()
+            flat = pd.DataFrame({"asked": np.repeat(b.asked, lengths), "rep": np.concatenate(b.reps), "score": np.concatenate(b.scores)})
+            whole = pd.concat([rest, flat]).drop_duplicates(["asked", "rep"])
+            whole = whole.sort_values(["asked", "score", "rep"], ascending=[True, False, True]).groupby("asked").head(k + 1)
+            last = whole.asked == b.asked.iloc[-1]
+            yield whole[~last]
+            rest = whole[last]
+        yield rest
+
+    found = meet.mapInPandas(compare, "asked bigint, reps array<bigint>, scores array<double>")
+    near = found.repartition("asked").sortWithinPartitions("asked")
+    best = near.mapInPandas(best, "asked bigint, rep bigint, score double")
     ids = best.join(classes.select("rep", "ids"), "rep").select("asked", F.explode("ids").alias("vec_id"), "score")
     lists = ids.groupBy("asked").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id"))).alias("all"))
     each = queries.join(lists.select(F.col("asked").alias("rep"), F.slice("all", 1, k + 1).alias("all")), "rep")
