@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -56,31 +58,37 @@ class Stripes:
     def full(self) -> bool:
         return self.cells >= SPILL_CELLS or self.bytes >= SPILL_BYTES
 
-    def spill(self, rows: int = 50_000) -> Iterator[pd.DataFrame]:
+    def spill(self, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
         """All stripes as rows; none are held afterwards."""
-        out = []
         while self.of:
             lang, stripes = self.of.popitem()
-            while stripes:
-                term, (df, counts) = stripes.popitem()
-                out.append((lang, term.decode(), df, list(counts), list(counts.values())))
-                if len(out) == rows:
-                    yield _frame(out)
-                    out = []
-        if out:
-            yield _frame(out)
+            names, held = list(stripes), list(stripes.values())
+            stripes.clear()
+            for at in range(0, len(names), rows):
+                terms, cut = pa.array(names[at : at + rows], pa.binary()).cast(pa.string()), held[at : at + rows]
+                sources = [s for _, counts in cut for s in counts]
+                counts = [n for _, counts in cut for n in counts.values()]
+                yield _batch([lang] * len(cut), terms, [df for df, _ in cut], [len(counts) for _, counts in cut], sources, counts)
         self.cells = self.bytes = 0
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["lang", "term", "df", "sources", "counts"])
+def _batch(lang, term, df, lengths, sources, counts) -> pa.RecordBatch:
+    """A batch of stripes; ``lengths`` says how many of the flat sources and counts belong to each."""
 
+    def column(x, kind):
+        return x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, kind)
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ends = pa.array(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, column(x, t)) for x, t in ((sources, pa.string()), (counts, pa.int64()))]
+    columns = [column(lang, pa.string()), column(term, pa.string()), column(df, pa.int64()), *lists]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "df", "sources", "counts"])
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole documents into stripes; a row without a term names the groups a task has seen."""
     stripes, seen = Stripes(), {}
     for b in batches:
-        for lang, source, text in zip(b.lang, b.source, b.text):
+        for lang, source, text in zip(*[b.column(c).to_pylist() for c in ("lang", "source", "text")]):
             groups = seen.setdefault(lang, Counter())
             groups[source] += 1
             stripes.add(lang, source, text)
@@ -88,26 +96,62 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield from stripes.spill()
     yield from stripes.spill()
     if seen:
-        yield _frame([(lang, None, 0, list(g), list(g.values())) for lang, g in seen.items()])
+        flat = [(s, n) for groups in seen.values() for s, n in groups.items()]
+        lengths = [len(groups) for groups in seen.values()]
+        yield _batch(list(seen), [None] * len(seen), [0] * len(seen), lengths, [s for s, _ in flat], [n for _, n in flat])
 
 
-def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Neighbouring stripes of one key into one; the rows come sorted by key."""
-    key, df, counts = None, 0, Counter()
+def _merge(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring stripes of one key into one; the rows come sorted by key. Terms of too few documents end here.
+
+    Document frequencies are summed for whole batches; sources only for the keys that stay.
+    The last key of a batch waits for the next one.
+    """
+    rest = None
     for b in batches:
-        out = []
-        for lang, term, n, sources, values in zip(b.lang, b.term, b.df, b.sources, b.counts):
-            if key != (lang, term):
-                if key is not None:
-                    out.append((*key, df, list(counts), list(counts.values())))
-                key, df, counts = (lang, term), 0, Counter()
-            df += n
-            for s, v in zip(sources, values):
-                counts[s] += int(v)
-        if out:
-            yield _frame(out)
-    if key is not None:
-        yield _frame([(*key, df, list(counts), list(counts.values()))])
+        if not len(b):
+            continue
+        flat = [b.column(c).flatten() for c in ("sources", "counts")]
+        b = _batch(*[b.column(c) for c in ("lang", "term", "df")], pc.list_value_length(b.column("sources")), *flat)
+        whole = b if rest is None else pa.concat_batches([rest, b])
+        firsts = _firsts(whole)
+        cut = int(firsts[-1])
+        if cut:
+            yield _merged(whole.slice(0, cut), least_docs)
+        rest = whole.slice(cut)
+        if len(rest) > 1:
+            rest = _merged(rest, 0)
+    if rest is not None:
+        yield _merged(rest, least_docs)
+
+
+def _firsts(b: pa.RecordBatch) -> np.ndarray:
+    """Rows at which another key begins."""
+    new = np.zeros(len(b), bool)
+    new[0] = True
+    for c in ("term", "lang"):
+        x = b.column(c).to_numpy(zero_copy_only=False)
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _merged(b: pa.RecordBatch, least_docs: int) -> pa.RecordBatch:
+    """One stripe per key; keys without a term always stay."""
+    firsts = _firsts(b)
+    ends = np.append(firsts[1:], len(b))
+    df = np.add.reduceat(b.column("df").to_numpy(), firsts)
+    stay = np.flatnonzero((df >= least_docs) | b.column("term").take(pa.array(firsts)).is_null().to_numpy(zero_copy_only=False))
+    sources, counts, lengths = [], [], []
+    for i in stay:
+        total: Counter = Counter()
+        part = b.slice(firsts[i], ends[i] - firsts[i])
+        for s, n in zip(part.column("sources").flatten().to_pylist(), part.column("counts").flatten().to_pylist()):
+            total[s] += n
+        sources += total
+        counts += total.values()
+        lengths.append(len(total))
+    at = pa.array(firsts[stay])
+    return _batch(b.column("lang").take(at), b.column("term").take(at), df[stay], lengths, sources, counts)
 
 
 def share(counts: np.ndarray, total: np.ndarray, kept: int) -> np.ndarray:
@@ -150,8 +194,8 @@ class _Language:
             yield pd.DataFrame(out, columns=["lang", "source", "part", "item", "value"])
 
 
-def stripes(docs: DataFrame) -> DataFrame:
-    """``lang, term, df, sources, counts``: one merged stripe per term of a language, and one without a term per language.
+def stripes(docs: DataFrame, least_docs: int = 1) -> DataFrame:
+    """``lang, term, df, sources, counts``: one stripe per term that ``least_docs`` documents of a language hold, and one without a term per language.
 
     The stripe without a term holds all sources of the language with their documents.
     Each task folds its documents into a hash table, which goes out when it is full;
@@ -160,9 +204,9 @@ def stripes(docs: DataFrame) -> DataFrame:
     """
     ship_package(docs.sparkSession)
     read = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    parts = read.mapInPandas(_fold, _STRIPE)
-    near = parts.repartition("lang", "term").sortWithinPartitions("lang", "term")
-    return near.mapInPandas(_merge, _STRIPE)
+    parts = read.mapInArrow(_fold, _STRIPE)
+    near = parts.repartition("lang", "term").sortWithinPartitions("term", "lang")
+    return near.mapInArrow(lambda batches: _merge(batches, least_docs), _STRIPE)
 
 
 def divergences(docs: DataFrame, *, least_docs: int = 30, top: int = 50) -> DataFrame:
@@ -182,8 +226,7 @@ def divergences(docs: DataFrame, *, least_docs: int = 30, top: int = 50) -> Data
     groups is sent to all tasks: it is the square root of the pairs that come out.
     """
     spark = docs.sparkSession
-    merged = stripes(docs)
-    kept = stored(merged.filter(F.col("term").isNull() | (F.col("df") >= least_docs)), "divergence-stripes")
+    kept = stored(stripes(docs, least_docs), "divergence-stripes")
     cells = kept.select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
     counted = F.when(F.col("term").isNotNull(), F.col("c.counts")).otherwise(0)
     totals = cells.groupBy("lang", F.col("c.sources").alias("source")).agg(F.sum(counted).alias("n"))
@@ -212,6 +255,6 @@ def divergences(docs: DataFrame, *, least_docs: int = 30, top: int = 50) -> Data
 
     found = kept.sortWithinPartitions("lang").mapInPandas(emit, _EMIT)
     pairs = found.filter("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
-    out = pairs.unionByName(found.filter("part = 'term'"))
-    rank = F.row_number().over(W.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
-    return out.withColumn("rank", rank).filter((F.col("part") == "pair") | (F.col("rank") <= top)).select("lang", "source", "part", "item", "value", "rank")
+    rank = F.row_number().over(W.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
+    best = found.filter("part = 'term'").withColumn("rank", rank).filter(F.col("rank") <= top)
+    return pairs.withColumn("rank", rank).unionByName(best).select("lang", "source", "part", "item", "value", "rank")

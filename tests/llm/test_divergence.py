@@ -5,7 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from flowspark.llm import divergence
@@ -65,17 +65,19 @@ def test_empty_table(spark):
 def test_spilled_stripes_merge_to_the_same(monkeypatch):
     rng = random.Random(5)
     docs = [("en", rng.choice("abc"), " ".join(rng.choices("uvwxyz", k=8))) for _ in range(200)]
-    frame = pd.DataFrame(docs, columns=["lang", "source", "text"])
+    batch = pa.RecordBatch.from_pydict(dict(zip(("lang", "source", "text"), zip(*docs))))
 
-    def merged():
-        parts = pd.concat(divergence._fold(iter([frame])))
-        whole = pd.concat(divergence._merge(iter([parts.sort_values(["lang", "term"], na_position="first")])))
-        return len(parts), {r.term: (r.df, dict(zip(r.sources, r.counts))) for r in whole.itertuples() if r.term is not None}
+    def merged(size):
+        parts = pa.Table.from_batches(divergence._fold(iter([batch]))).sort_by([("term", "ascending"), ("lang", "ascending")])
+        cut = parts.combine_chunks().to_batches(max_chunksize=size)
+        whole = pa.Table.from_batches(divergence._merge(iter(cut), 1)).to_pylist()
+        return len(parts), {r["term"]: (r["df"], dict(zip(r["sources"], r["counts"]))) for r in whole}
 
-    few, want = merged()
+    few, want = merged(1000)
     monkeypatch.setattr(divergence, "SPILL_CELLS", 7)
-    many, got = merged()
-    assert got == want and many > 10 * few
+    for size in (1, 3, 1000):
+        many, got = merged(size)
+        assert got == want and len(got) == 7 and many > 10 * few
 
 
 def test_shares_beyond_64_bits():
