@@ -1,6 +1,6 @@
 """The registered queries."""
 
-from . import flows, metrics, pages, sessions, streams, training
+from . import declared, flows, metrics, pages, sessions, streams, training
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "flows", "metrics", "pages", "sessions", "streams", "training"]
+__all__ = ["QUERIES", "SQL", "declared", "flows", "metrics", "pages", "sessions", "streams", "training"]

@@ -29,8 +29,12 @@ from ..operators.series import (
     threshold,
 )
 from ..plans.alerting import (
+    LATENCY_P95,
+    MEMORY_USAGE,
     Evaluation,
     evaluate_rule,
+    evaluate_together,
+    expression_points,
     group_notifications,
     infrastructure_rules,
     intrusion_rules,
@@ -65,12 +69,12 @@ def _sample(rows: DataFrame, name: str, labels: Column, value: Column) -> DataFr
 
 
 def _counter(
-    rows: DataFrame, name: str, by: Column, labels: Column, step: Column, scale: float = 1.0
+    rows: DataFrame, name: str, by: Column, labels: Column, step: Column, scale: float = 1.0, *, reset: str = _RESET, chunk: str = "day"
 ) -> DataFrame:
-    """Running total of ``step`` per series, restarting once in mid-month."""
-    keyed = rows.withColumn("_series", by).withColumn("_half", F.col("ts") >= F.lit(_RESET).cast("timestamp_ntz"))
-    day = F.date_trunc("day", F.col("ts"))
-    total = prefix_sum(keyed, ["_series", "_half"], ["ts", "event_id"], step, day, "total")
+    """Running total of ``step`` per series, restarting once."""
+    keyed = rows.withColumn("_series", by).withColumn("_half", F.col("ts") >= F.lit(reset).cast("timestamp_ntz"))
+    piece = F.date_trunc(chunk, F.col("ts"))
+    total = prefix_sum(keyed, ["_series", "_half"], ["ts", "event_id"], step, piece, "total")
     return _sample(total, name, labels, F.col("total") / F.lit(scale))
 
 
@@ -149,9 +153,9 @@ def all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- SQL twins: series CTEs with columns series, us, value
 
 
-def _counter_sql(cte: str, by: str, series: str, step: str, scale: str = "1", source: str = "events") -> str:
+def _counter_sql(cte: str, by: str, series: str, step: str, scale: str = "1", source: str = "events", reset: str = _RESET) -> str:
     return f"""{cte} AS (SELECT {series} AS series, epoch_us(ts) AS us,
-  CAST(sum({step}) OVER (PARTITION BY {by}, ts >= TIMESTAMP '{_RESET}' ORDER BY ts, event_id
+  CAST(sum({step}) OVER (PARTITION BY {by}, ts >= TIMESTAMP '{reset}' ORDER BY ts, event_id
     ROWS UNBOUNDED PRECEDING) AS DOUBLE) / {scale} AS value FROM {source})"""
 
 
@@ -379,10 +383,8 @@ c AS (SELECT us, {_LE} AS le, value AS c FROM by_le), {quantile_sql('p95', 'c',
 
 @query("latency_p95", f"WITH {_P95} SELECT us, round(value, 4) AS value FROM p95")
 def latency_p95_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..plans.alerting import latency_p95
-
     ev = Evaluation(step_s=HOUR, range_s=6 * HOUR, mode="simple")
-    p = latency_p95(metric(spark, sf_dir, "latency_ms_bucket"), ev)
+    p = expression_points(LATENCY_P95, metric(spark, sf_dir, "latency_ms_bucket"), ev)
     return p.select("us", F.round("value", 4).alias("value"))
 
 
@@ -477,12 +479,10 @@ memory AS (SELECT series, us, (1 - f.value / t.value) * 100 AS value FROM f JOIN
 
 @query("memory_usage", f"WITH {_MEMORY} {_ROUNDED} memory")
 def memory_usage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..plans.alerting import memory_usage
-
     ev = Evaluation(step_s=300, lookback_s=HOUR)
     names = ("node_memory_MemAvailable_bytes", "node_memory_MemTotal_bytes")
     both = metric(spark, sf_dir, names[0]).unionByName(metric(spark, sf_dir, names[1]))
-    return _rounded(memory_usage(both, ev))
+    return _rounded(expression_points(MEMORY_USAGE, both, ev))
 
 
 @query(
@@ -616,15 +616,10 @@ def _register_rule(key: str) -> None:
 for _key in RULES:
     _register_rule(_key)
 
-def _rounded_rule(rule):
-    """Values as the comparison has them: to six places."""
-    return replace(rule, expr=lambda m, ev: mapped(rule.expr(m, ev), lambda v: F.round(v, 6)))
-
-
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rules of all groups, each at its own step and range."""
-    found = [evaluate_rule(_rounded_rule(rule), _rule_input(spark, sf_dir, k), ev) for k, (rule, ev, _) in RULES.items()]
-    return reduce(DataFrame.unionByName, found)
+    """All rules of all groups, each at its own step and range, in one pass."""
+    asked = [(rule, replace(ev, digits=6)) for rule, ev, _ in RULES.values()]
+    return evaluate_together(asked, all_metrics(spark, sf_dir))
 
 
 def _description_sql(template: str) -> str:

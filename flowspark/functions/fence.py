@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def fence(df: DataFrame, drop: tuple[str, ...] = (), **columns: str) -> DataFrame:
@@ -20,6 +23,12 @@ def fence(df: DataFrame, drop: tuple[str, ...] = (), **columns: str) -> DataFram
     )
 
 
+def once(df: DataFrame, drop: Sequence[str] = (), **columns: Column) -> DataFrame:
+    """The same for columns."""
+    kept = [c for c in df.columns if c not in {*drop, *columns}]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def all_but(df: DataFrame, names: set[str] | tuple[str, ...]) -> str:
     """``*`` without the columns of ``names`` that ``df`` has."""
     gone = [c for c in df.columns if c in names]

@@ -70,6 +70,22 @@ def histogram_quantile(
     return hit.select(*by, value.alias("value"))
 
 
+def bucket_quantile(buckets: Column, q: Column) -> Column:
+    """The same for the buckets of one group as an array of ``le, count``; NULL without observations."""
+    ordered = F.array_sort(buckets)
+    raised = F.transform(
+        ordered, lambda b, i: F.struct(b["le"].alias("le"), F.array_max(F.transform(F.slice(ordered, 1, i + 1), lambda x: x["count"])).alias("c"))
+    )
+    total = F.get(raised, F.size(raised) - 1)["c"]
+    rank = q * total
+    lowers = F.filter(raised, lambda b: b["c"] < rank)
+    hit, before = F.get(raised, F.size(lowers)), F.get(raised, F.size(lowers) - 1)
+    lower, below = F.coalesce(before["le"], F.lit(0.0)), F.coalesce(before["c"], F.lit(0.0))
+    inside = lower + (hit["le"] - lower) * F.coalesce(F.try_divide(rank - below, hit["c"] - below), F.lit(0.0))
+    value = F.when(hit["le"] == INFINITE, before["le"]).when(before.isNull() & (hit["le"] <= 0), hit["le"]).otherwise(inside)
+    return F.when(total > 0, value)
+
+
 def exact_quantiles(
     df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str], chunk: Column
 ) -> DataFrame:

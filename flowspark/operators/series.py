@@ -64,24 +64,27 @@ def retain(metrics: DataFrame, hours: float = 200, as_of: Column | None = None)
     return metrics.filter(F.col("ts") >= end - kept)
 
 
-def _bucket(us: Column | str, width: int) -> Column:
-    """Floor division, exact for microseconds and for times before 1970."""
-    c = F.col(us) if isinstance(us, str) else us
-    return ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("bigint")
+def _whole(x: int | Column) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
 
+def _bucket(us: Column, width: int | Column) -> Column:
+    """Floor division, exact for microseconds and for times before 1970."""
+    width = _whole(width)
+    return ((us - F.pmod(us, width)) / width).cast("bigint")
 
-def _ceil_to(us: Column, step: int) -> Column:
-    return us + F.pmod(-us, F.lit(step))
 
+def _ceil_to(us: Column, step: int | Column) -> Column:
+    return us + F.pmod(-us, _whole(step))
 
-def _floor_to(us: Column, step: int) -> Column:
-    return us - F.pmod(us, F.lit(step))
 
+def spread(df: DataFrame, chunk: int | Column, *, ahead: int | Column = 0, behind: int = 0) -> DataFrame:
+    """Copy each row into every chunk that a window ``ahead`` or ``behind`` of it touches.
 
-def _spread(df: DataFrame, chunk: int, *, ahead: int = 0, behind: int = 0) -> DataFrame:
-    """Copy each row into every chunk that a window ``ahead`` or ``behind`` of it touches."""
+    ``_chunk`` is the chunk a copy is for, ``_own`` the one its row lies in.
+    """
     us = F.col("us")
-    first, last = _bucket(us - F.lit(behind), chunk), _bucket(us + F.lit(ahead), chunk)
+    first, last = _bucket(us - F.lit(behind), chunk), _bucket(us + _whole(ahead), chunk)
     return df.withColumn("_own", _bucket(us, chunk)).withColumn(
         "_chunk", F.explode(F.sequence(first, last))
     )
@@ -115,7 +118,7 @@ def instant(
     """
     step, back = step_s * SECOND, lookback_s * SECOND
     chunk = CHUNK_WINDOWS * max(step, back)
-    rows = _spread(_clip(samples, start, end, back), chunk, behind=back - 1)
+    rows = spread(_clip(samples, start, end, back), chunk, behind=back - 1)
     w = W.partitionBy("series", "_chunk").orderBy("us")
     rows = rows.withColumn("_next", F.lead("us").over(w)).filter("_chunk = _own")
     first = _ceil_to(F.col("us"), step)
@@ -127,6 +130,81 @@ def instant(
     return _bounded(points, start, end)
 
 
+def on_grid(
+    samples: DataFrame,
+    *,
+    step: Column,
+    span: Column,
+    rated: Column,
+    extrapolated: Column,
+    keys: Sequence[str] = ("series",),
+) -> DataFrame:
+    """``(*keys, us, value)``: what samples say at each grid time ``t``, from those in ``(t - span, t]``.
+
+    Where ``rated``, the per-second increase of a counter; else the newest value. The
+    settings (in microseconds) are columns that only depend on ``keys``, so series with different ones
+    share one exchange. What restarts lost is summed once along each chunk. A sample is the newest
+    one for the grid times up to the next sample, and the first in range for those whose range
+    has just lost the one before it; both answers meet at their grid time, without another
+    exchange. The increase is the difference of their values and of their running
+    sums. The work is linear in samples and grid times, however many samples a range holds.
+
+    Fewer than two samples in range give no rate. A drop counts as a restart from zero.
+    A NULL is no sample; an increase that is not finite makes the rate of its range NaN.
+    """
+    us, v = F.col("us"), F.col("value")
+    chunk = F.lit(CHUNK_WINDOWS) * F.greatest(step, span)
+    rows = samples.filter(v.isNotNull()).select(
+        *keys,
+        us,
+        v.cast("double").alias("value"),
+        chunk.alias("_width"),
+        F.explode(F.sequence(_bucket(us, chunk), _bucket(us + span - 1, chunk))).alias("_chunk"),
+    )
+    by = [*keys, "_chunk"]
+    w = W.partitionBy(*by).orderBy("us")
+    rows = rows.withColumns(
+        {"_before": F.lag("us").over(w), "_after": F.lead("us").over(w), "_prev": F.lag("value").over(w), "_n": F.row_number().over(w)}
+    )
+    prev = F.col("_prev")
+    finite = (F.abs(v) < float("inf")) & (prev.isNull() | (F.abs(prev) < float("inf")))
+    running = w.rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumns({"_lost": F.when(finite & (v < prev), prev).otherwise(0.0), "_odd": (~finite).cast("int")}).withColumns(
+        {"_lost": F.sum("_lost").over(running), "_odd": F.sum("_odd").over(running)}
+    )
+    begin = F.col("_chunk") * F.col("_width")
+    seen = F.least(us + span - 1, begin + F.col("_width") - 1)
+
+    def grid(low: Column, high: Column, newest: bool) -> Column:
+        low = _ceil_to(F.greatest(low, begin), step)
+        times = F.when(low <= high, F.sequence(low, F.greatest(low, high), step)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(times, lambda t: F.struct(t.alias("_t"), F.lit(newest).alias("_newest")))
+
+    newest = grid(us, F.least(F.coalesce(F.col("_after") - 1, seen), seen), True)
+    oldest = grid(F.coalesce(F.greatest(us, F.col("_before") + span), us), F.when(rated, seen).otherwise(F.lit(None)), False)
+    answers = rows.select(*by, us.alias("_us"), "value", "_lost", "_odd", "_n", F.inline(F.concat(newest, oldest)))
+
+    def of(newest: bool, name: str) -> Column:
+        return F.max(F.when(F.col("_newest") == newest, F.col(name)))
+
+    # the time is an aggregate too: a filter on a grouping key would be moved below the
+    # generator, where the optimizer loses columns
+    met = answers.groupBy(*by, "_t").agg(
+        F.max("_t").alias("us"),
+        of(False, "_us").alias("first_us"),
+        of(False, "value").alias("first_value"),
+        of(True, "_us").alias("last_us"),
+        of(True, "value").alias("last_value"),
+        (of(True, "value") - of(False, "value") + (of(True, "_lost") - of(False, "_lost"))).alias("gain"),
+        (of(True, "_odd") - of(False, "_odd")).alias("odd"),
+        (of(True, "_n") - of(False, "_n") + 1).alias("n"),
+    )
+    factor = F.when(extrapolated, _edge_factor(span)).otherwise(1.0)
+    rate = F.when(F.col("odd") > 0, F.lit(float("nan"))).otherwise(F.col("gain") * factor / (span / F.lit(SECOND)))
+    points = met.filter(~rated | (F.col("n") >= 2))
+    return points.select(*keys, "us", F.when(rated, rate).otherwise(F.col("last_value")).alias("value"))
+
+
 def rate(
     samples: DataFrame,
     *,
@@ -140,74 +218,37 @@ def rate(
 
     A drop counts as a restart from zero. Windows with fewer than two samples have
     no result. ``simple`` divides the increase seen by the range; ``extrapolated``
-    stretches it to the window edges the way Prometheus does.
+    stretches it to the window edges the way Prometheus does. See ``on_grid``.
     """
     if mode not in ("simple", "extrapolated"):
         raise ValueError(f"unknown mode {mode!r}")
-    step, span = step_s * SECOND, range_s * SECOND
-    chunk = CHUNK_WINDOWS * max(step, span)
-    rows = _spread(_clip(samples, start, end, span), chunk, ahead=span - 1)
-    by = ["series", "_chunk"]
-    edges = rows.groupBy(*by).agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
-    begin = F.col("_chunk") * F.lit(chunk)
-    lo = _ceil_to(F.greatest("lo", begin), step)
-    hi = _floor_to(F.least(F.col("hi") + F.lit(span - 1), begin + F.lit(chunk - 1)), step)
-    grid = (
-        edges.filter(lo <= hi)
-        .select(*by, F.explode(F.sequence(lo, hi, F.lit(step))).alias("us"))
-        .withColumn("value", F.lit(None).cast("double"))
-    )
-    both = rows.select(*by, "us", F.col("value").cast("double").alias("value")).withColumn(
-        "_grid", F.lit(False)
-    ).unionByName(grid.withColumn("_grid", F.lit(True)))
-
-    w = W.partitionBy(*by).orderBy("us")
-    earlier = w.rowsBetween(W.unboundedPreceding, -1)
-    seen = w.rangeBetween(-span + 1, 0)
-    prev, v = F.last("value", ignorenulls=True).over(earlier), F.col("value")
-    # The first sample of a window brings no increase of its own, as the one before it
-    # lies outside. It is inside a struct since its increase may be NULL, and a NULL
-    # would be passed over in favour of the next one.
-    sample = F.when(
-        ~F.col("_grid"), F.struct("us", "value", F.coalesce("_gain", F.lit(0.0)).alias("gain"))
-    )
-    out = (
-        both.withColumn("_prev", prev)
-        .withColumn("_gain", F.when(v < F.col("_prev"), v).otherwise(v - F.col("_prev")))
-        .withColumn("_sample", sample)
-        .select(
-            "series",
-            "us",
-            "_grid",
-            F.count("_sample").over(seen).alias("n"),
-            F.first("_sample", ignorenulls=True).over(seen).alias("first"),
-            F.last("_sample", ignorenulls=True).over(seen).alias("last"),
-            F.sum("_sample.gain").over(seen).alias("gain"),
-        )
-        .filter("_grid AND n >= 2")
-        .withColumn("gain", F.col("gain") - F.col("first.gain"))
+    span = range_s * SECOND
+    points = on_grid(
+        _clip(samples, start, end, span),
+        step=F.lit(step_s * SECOND).cast("bigint"),
+        span=F.lit(span).cast("bigint"),
+        rated=F.lit(True),
+        extrapolated=F.lit(mode == "extrapolated"),
     )
-    factor = F.lit(1.0) if mode == "simple" else _edge_factor(span)
-    points = out.select("series", "us", (F.col("gain") * factor / F.lit(range_s)).alias("value"))
     return _bounded(points, start, end)
 
 
-def _edge_factor(span: int) -> Column:
+def _edge_factor(span: Column) -> Column:
     """Share by which an increase between first and last sample is stretched to the window.
 
     Up to the edge if the edge is within 1.1 mean sample distances, else by half a
     distance; at the front never beyond the time at which the counter was zero.
     """
-    first, last = F.col("first.us"), F.col("last.us")
+    first, last = F.col("first_us"), F.col("last_us")
     seen = (last - first).cast("double")
     distance = seen / (F.col("n") - 1)
-    front = (first - (F.col("us") - F.lit(span))).cast("double")
+    front = (first - (F.col("us") - span)).cast("double")
     back = (F.col("us") - last).cast("double")
     near = distance * 1.1
     front = F.when(front >= near, distance / 2).otherwise(front)
     zero = F.when(
-        (F.col("gain") > 0) & (F.col("first.value") >= 0),
-        seen * F.col("first.value") / F.col("gain"),
+        (F.col("gain") > 0) & (F.col("first_value") >= 0),
+        seen * F.col("first_value") / F.col("gain"),
     )
     front = F.least(front, F.coalesce(zero, front))
     back = F.when(back >= near, distance / 2).otherwise(back)
@@ -260,9 +301,14 @@ _COMPARE = {
 }
 
 
+def compare(value: Column, op: str, limit: float) -> Column:
+    """Whether ``value`` exceeds, falls below or equals the limit; NaN exceeds nothing."""
+    return _COMPARE[op](value, F.lit(float(limit)))
+
+
 def threshold(points: DataFrame, op: str, limit: float) -> DataFrame:
-    """Keep the points that compare true, with their values; NaN exceeds nothing."""
-    return points.filter(_COMPARE[op](F.col("value"), F.lit(float(limit))))
+    """Keep the points that compare true, with their values."""
+    return points.filter(compare(F.col("value"), op, limit))
 
 
 def hold(points: DataFrame, *, for_s: float, step_s: int = 15, by: Sequence[str] = ("series",)) -> DataFrame:
@@ -276,7 +322,7 @@ def hold(points: DataFrame, *, for_s: float, step_s: int = 15, by: Sequence[str]
     steps = -int(-for_s // step_s)
     reach = steps * step
     chunk = CHUNK_WINDOWS * max(reach, step)
-    rows = _spread(points, chunk, ahead=reach)
+    rows = spread(points, chunk, ahead=reach)
     w = W.partitionBy(*by, "_chunk").orderBy("us").rangeBetween(-reach, 0)
     full = F.count(F.lit(1)).over(w) == steps + 1
     return (

@@ -14,7 +14,10 @@ from flowspark.operators.prefix import prefix_sum
 from flowspark.operators.windows import require_nonempty, windowed_counts
 from flowspark.plans.alerting import (
     Evaluation,
+    Expression,
+    Reading,
     evaluate_alert_rules,
+    expression_points,
     group_notifications,
     infrastructure_rules,
     intrusion_rules,
@@ -245,8 +248,10 @@ def test_rule_bounds_reach_the_scan(spark, tmp_path):
     df = spark.createDataFrame(rows, "name string, labels map<string,string>, s bigint, value double")
     df.select("name", "labels", F.timestamp_seconds("s").alias("ts"), "value").write.parquet(str(tmp_path / "m"))
     ev = Evaluation(start=3600 * SECOND, end=3660 * SECOND)
-    points = ev.instant(spark.read.parquet(str(tmp_path / "m")), "up")
+    points = expression_points(Expression(Reading("up")), spark.read.parquet(str(tmp_path / "m")), ev)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # the whole list of pushed filters
     plan = points._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
     assert [r["us"] // SECOND for r in points.orderBy("us").collect()] == [3600, 3615, 3630, 3645, 3660]
 
