@@ -17,8 +17,8 @@ from flowspark.session import ship_package
 
 from .common import stored
 
-#: A task's stripes go out once they hold so many cells (source counts) or bytes of terms.
-SPILL_CELLS, SPILL_BYTES = 1_000_000, 64 << 20
+#: A task's stripes go out once they hold so many cells (frequencies and source counts) or come from so much text.
+SPILL_CELLS, SPILL_BYTES = 2_000_000, 256 << 20
 _STRIPE = "lang string, term string, df bigint, sources array<string>, counts array<bigint>"
 _EMIT = "lang string, source string, part string, item string, value bigint"
 _TERM_ROWS = 2048
@@ -32,43 +32,46 @@ def terms(text: str) -> list[bytes]:
 
 
 class Stripes:
-    """Per (language, term): documents that hold it and occurrences per source."""
+    """Per (language, term): documents that hold it and occurrences per source.
+
+    Kept as plain counts, ``df[lang][term]`` and ``counts[lang][source][term]``, and put together as they go out.
+    """
 
     def __init__(self) -> None:
-        self.of: dict[str, dict[bytes, list]] = {}
+        self.df: dict[str, Counter] = {}
+        self.counts: dict[str, dict[str, Counter]] = {}
         self.cells = self.bytes = 0
 
     def add(self, lang: str, source: str, text: str) -> None:
-        stripes = self.of.setdefault(lang, {})
-        for term, n in Counter(terms(text)).items():
-            stripe = stripes.get(term)
-            if stripe is None:
-                stripes[term] = [1, {source: n}]
-                self.cells += 1
-                self.bytes += len(term)
-                continue
-            stripe[0] += 1
-            counts = stripe[1]
-            if source in counts:
-                counts[source] += n
-            else:
-                counts[source] = n
-                self.cells += 1
+        if lang not in self.df:
+            self.df[lang], self.counts[lang] = Counter(), {}
+        df, counts = self.df[lang], self.counts[lang].setdefault(source, Counter())
+        found, cells = terms(text), len(df) + len(counts)
+        counts.update(found)
+        df.update(set(found))
+        self.cells += len(df) + len(counts) - cells
+        self.bytes += len(text)
 
     def full(self) -> bool:
         return self.cells >= SPILL_CELLS or self.bytes >= SPILL_BYTES
 
     def spill(self, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
         """All stripes as rows; none are held afterwards."""
-        while self.of:
-            lang, stripes = self.of.popitem()
-            names, held = list(stripes), list(stripes.values())
-            stripes.clear()
-            for at in range(0, len(names), rows):
-                terms, cut = pa.array(names[at : at + rows], pa.binary()).cast(pa.string()), held[at : at + rows]
-                sources = [s for _, counts in cut for s in counts]
-                counts = [n for _, counts in cut for n in counts.values()]
-                yield _batch([lang] * len(cut), terms, [df for df, _ in cut], [len(counts) for _, counts in cut], sources, counts)
+        while self.df:
+            lang, df = self.df.popitem()
+            of = self.counts.pop(lang)
+            place = dict(zip(df, range(len(df))))
+            names, n = pa.array(list(df), pa.binary()).cast(pa.string()), np.fromiter(df.values(), np.int64, len(df))
+            at = np.fromiter((place[t] for c in of.values() for t in c), np.int64)
+            source = np.repeat(np.arange(len(of)), [len(c) for c in of.values()])
+            count = np.fromiter((x for c in of.values() for x in c.values()), np.int64)
+            order = np.argsort(at, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(df)))])
+            sources, count = pa.array(list(of), pa.string()).take(pa.array(source[order])), count[order]
+            for a in range(0, len(df), rows):
+                b = min(a + rows, len(df))
+                cells = slice(ends[a], ends[b])
+                yield _batch([lang] * (b - a), names[a:b], n[a:b], np.diff(ends[a : b + 1]), sources[cells], count[cells])
         self.cells = self.bytes = 0
 
 
@@ -130,8 +133,10 @@ def _firsts(b: pa.RecordBatch) -> np.ndarray:
     new = np.zeros(len(b), bool)
     new[0] = True
     for c in ("term", "lang"):
-        x = b.column(c).to_numpy(zero_copy_only=False)
-        new[1:] |= x[1:] != x[:-1]
+        x = b.column(c)
+        one, other = x[1:], x[:-1]
+        differ = pc.if_else(pc.or_(one.is_null(), other.is_null()), pc.xor(one.is_null(), other.is_null()), pc.not_equal(one, other))
+        new[1:] |= differ.to_numpy(zero_copy_only=False).astype(bool)
     return np.flatnonzero(new)
 
 
