@@ -1,4 +1,4 @@
-"""Byte-level BPE in Spark's higher-order functions."""
+"""Byte-level BPE: words folded in Spark's higher-order functions, texts put together from their words."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +18,11 @@ from flowspark.session import ship_package
 
 from .common import stored
 
-#: The dictionary of frequent words: at most so many, of at most so many bytes each.
+#: The dictionary that every task holds: at most so many of the most frequent words, of at most so many bytes each.
 DICTIONARY_WORDS, DICTIONARY_BYTES = 200_000, 32
-#: Pre-tokens above this many bytes take a heap instead of the fold, whose work grows with the square.
-FOLD_BYTES = 400
-_BUCKETS = _IDS = 1 << 16
+#: Other words above this many bytes take a heap: merging the rest side by side costs the square of the longest.
+SIDE_BYTES = 64
+_IDS = 1 << 16
 _PLACE_BITS = 10
 
 
@@ -103,8 +104,8 @@ class Codec:
 
     def __init__(self, ranks: ByteRanks, pattern: str):
         self.ranks, self.pattern = ranks, java_pattern(pattern)
-        shifts, slots = (x.tolist() for x in _displaced(ranks.pairs()))
-        self._shifts, self._slots = _literal(shifts, "array<bigint>"), _literal(slots, "array<bigint>")
+        self.shifts, self.slots = _displaced(ranks.pairs())
+        self._shifts, self._slots = _literal(self.shifts.tolist(), "array<bigint>"), _literal(self.slots.tolist(), "array<bigint>")
         self._bytes = _literal([ranks.tokens[bytes([b])] for b in range(256)], "array<bigint>")
         hexes = [""] * (max(ranks.tokens.values()) + 1)
         for token, rank in ranks.tokens.items():
@@ -144,17 +145,6 @@ class Codec:
         steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
         return F.aggregate(steps, start, step)
 
-    def long_words(self) -> Column:
-        """A function of an array of long pre-tokens: the ids of each, by a heap of pairs."""
-        tokens = self.ranks.tokens
-
-        @F.pandas_udf("array<array<bigint>>")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in batches:
-                yield pd.Series([[heap_encode(w.encode(), tokens) for w in words] for words in batch])
-
-        return encode
-
     def decode(self, ids: Column) -> Column:
         """The bytes of ids: their pieces one after another. Null for an id that does not exist."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._hex, i.cast("int"))), ""))
@@ -186,12 +176,72 @@ def heap_encode(word: bytes, tokens: dict[bytes, int]) -> list[int]:
     return [tokens[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def _dictionary(docs: DataFrame, codec: Codec, words: int) -> Column:
-    """Ids of the most frequent words of the corpus, as a literal of hashed buckets.
+class Encoder:
+    """What a task needs to give every word its ids: the dictionary, and the rank map for words outside it."""
+
+    def __init__(self, codec: Codec, words: pa.Array, ids: pa.ListArray) -> None:
+        self.tokens, self.shifts, self.slots = codec.ranks.tokens, codec.shifts, codec.slots
+        self.bytes = np.array([self.tokens[bytes([b])] for b in range(256)])
+        self.words, self.lengths = words, pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def texts(self, words: pa.ListArray) -> pa.ListArray:
+        """The ids of each text from its words; every distinct word of the batch is looked up once."""
+        coded = words.flatten().dictionary_encode()
+        distinct, at = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        known = pc.index_in(distinct, value_set=self.words)
+        new = known.is_null().to_numpy(zero_copy_only=False)
+        fresh, fresh_lengths = self.merged(distinct.filter(pa.array(new)).cast(pa.binary()))
+        # the ids of all distinct words lie in the dictionary's, then the new words'
+        starts, lengths = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        place = known.filter(pa.array(~new)).to_numpy(zero_copy_only=False)
+        starts[~new], lengths[~new] = (np.cumsum(self.lengths) - self.lengths)[place], self.lengths[place]
+        starts[new], lengths[new] = len(self.ids) + np.cumsum(fresh_lengths) - fresh_lengths, fresh_lengths
+        pool = np.concatenate([self.ids, fresh])
+        per_word = lengths[at]
+        ends = np.concatenate([[0], np.cumsum(per_word)])
+        flat = pool[np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], per_word)]
+        offsets = words.offsets.to_numpy()
+        return pa.ListArray.from_arrays(pa.array(ends[offsets - offsets[0]], pa.int32()), pa.array(flat))
+
+    def merged(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after another, and how many each has.
+
+        The words are merged side by side: in each round every word that has a pair merges its
+        lowest, leftmost first, as the fold does.
+        """
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        long = {i: heap_encode(words[i].as_py(), self.tokens) for i in np.flatnonzero(sizes > SIDE_BYTES)}
+        short = np.flatnonzero(sizes <= SIDE_BYTES)
+        data = b"".join(words.take(pa.array(short)).to_pylist())
+        symbols, word = self.bytes[np.frombuffer(data, np.uint8)], np.repeat(short, sizes[short])
+        done = [(np.array(ids, np.int64), np.full(len(ids), i)) for i, ids in long.items()]
+        none = 1 << 16 + _PLACE_BITS
+        while len(symbols):
+            begins = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            # the rank of each symbol with the next, above its place in the word
+            follow = np.append(symbols[1:], 0)
+            rank = self.slots[self.shifts[symbols] + follow] ^ (symbols << 16 + _PLACE_BITS)
+            rank[np.append(begins[1:], len(symbols)) - 1] = none
+            counts = np.diff(np.append(begins, len(symbols)))
+            place = np.arange(len(symbols)) - np.repeat(begins, counts)
+            least = np.minimum.reduceat(np.minimum(rank | place, none), begins)
+            more = least < none
+            at = begins[more] + (least[more] & (1 << _PLACE_BITS) - 1)
+            symbols[at] = least[more] >> _PLACE_BITS
+            stay = np.repeat(more, counts)
+            done.append((symbols[~stay], word[~stay]))
+            stay[at + 1] = False
+            symbols, word = symbols[stay], word[stay]
+        ids, owner = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*done) if done else ((), ())))
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
+
+
+def _dictionary(docs: DataFrame, codec: Codec, words: int) -> DataFrame:
+    """``w, ids`` of the most frequent words of the corpus, each folded once.
 
     All words are counted. The cut is the least count above which at most ``words``
-    stay, so the literal has a fixed bound; rarer and longer words are folded where
-    they stand.
+    stay, so the table that is sent to the tasks has a fixed bound.
     """
     counts = docs.select(F.explode(codec.words(F.col("_text"))).alias("w"))
     counts = counts.filter(F.octet_length("w") <= DICTIONARY_BYTES).groupBy("w").count()
@@ -204,14 +254,7 @@ def _dictionary(docs: DataFrame, codec: Codec, words: int) -> Column:
             break
         least = row["count"]
     frequent = counts.filter(F.col("count") >= least if least is not None else F.lit(False))
-    bucket = F.hash("w").bitwiseAND(F.lit(_BUCKETS - 1))
-    entry = F.to_json(F.create_map("w", codec.fold(F.col("w"))))
-    frequent = frequent.select(bucket.alias("b"), entry.alias("e"))
-    inner = F.transform(F.collect_list("e"), lambda e: F.substr(e, F.lit(2), F.length(e) - 2))
-    parts = ["{}"] * _BUCKETS  # written as JSON on the executors: the driver joins strings only
-    for b, members in frequent.groupBy("b").agg(F.array_join(inner, ",")).toLocalIterator():
-        parts[b] = "{" + members + "}"
-    return F.from_json(F.lit("[" + ",".join(parts) + "]"), "array<map<string,array<bigint>>>")
+    return frequent.repartition("w").select("w", codec.fold(F.col("w")).alias("ids"))
 
 
 def encode_bytes(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: str = "text", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
@@ -219,23 +262,24 @@ def encode_bytes(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: st
 
     Each match of ``pattern`` is encoded by itself, without special tokens; text
     between matches has no ids. Null and empty texts: no ids, no bytes. Distinct
-    words that are frequent are folded once for the corpus, others in their row;
-    pre-tokens above ``FOLD_BYTES`` bytes take ``heap_encode``. Input columns named
-    like an added one are replaced.
+    words that are frequent are folded once for the corpus and sent to all tasks; the rarer
+    ones, which no bounded table holds, are merged once per batch of texts, side by
+    side, and above ``SIDE_BYTES`` bytes by ``heap_encode``. Texts are never exchanged. Input
+    columns named like an added one are replaced.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     codec = Codec(ByteRanks.read(ranks_path), pattern)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[c for c in docs.columns if c not in ("ids", "decoded")]).alias("_row"), text.alias("_text"))
-    known = _dictionary(rows, codec, dictionary_words)
-    rows = rows.select("_row", codec.words(F.col("_text")).alias("_words"))
-    rows = rows.withColumn("_long", F.filter("_words", lambda w: F.octet_length(w) > FOLD_BYTES))
-    rows = rows.withColumn("_long_ids", codec.long_words()("_long"))
+    known = _dictionary(rows, codec, dictionary_words).toArrow()
+    words, ids = (known.column(c).combine_chunks() for c in ("w", "ids"))
+    encoder = spark.sparkContext.broadcast(Encoder(codec, words.cast(pa.string()), ids))
 
-    def ids_of(w: Column) -> Column:
-        bucket = F.get(known, F.hash(w).bitwiseAND(F.lit(_BUCKETS - 1)))
-        long = F.get(F.col("_long_ids"), (F.array_position("_long", w) - 1).cast("int"))
-        return F.coalesce(F.element_at(bucket, w), F.when(F.octet_length(w) > FOLD_BYTES, long).otherwise(codec.fold(w)))
+    @F.arrow_udf("array<bigint>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield encoder.value.texts(batch)
 
-    rows = rows.select("_row", F.flatten(F.transform("_words", ids_of)).alias("ids"))
+    rows = rows.select("_row", encode(codec.words(F.col("_text"))).alias("ids"))
     return rows.select("_row.*", "ids", codec.decode(F.col("ids")).alias("decoded"))
