@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.schema import ALERT_SCHEMA
 from ..operators.alerts import alert_json
-from ..operators.series import micros
+from ..operators.series import SECOND, micros
 from ..plans.intrusions import detect_intrusions
 from ..plans.page_views import stream_page_view_counts
 from ..session import work_dir
@@ -18,7 +18,7 @@ from ..streaming.metrics import SCHEMA, MetricsListener, counter_totals
 from .flows import _DETECTED, _NOT_NORMAL, scorer
 from .pages import COUNTS_SQL, page_views
 from .registry import query
-from .views import NOW_MS, flow_records, severity_sql, stream_table
+from .views import NOW_MS, flow_records, severity_sql, stream_table, table
 
 
 @query("stream_page_views", COUNTS_SQL)
@@ -48,32 +48,61 @@ def stream_intrusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_HOLD = 600
+_HOLD, _SILENT = 600, 6 * 3600
+_DELAY_DAYS, _ARRIVALS = 4, 4
+
+#: Events come in four arrivals of eight days each, one in ten an arrival too late: some of these behind the watermark.
+_ARRIVAL_SQL = f"least(day(ts) // 8 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END, {_ARRIVALS - 1})"
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    late = F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    block = F.floor(F.dayofmonth("ts") / 8) + late
+    return events.withColumn("arrival", F.least(block, F.lit(_ARRIVALS - 1)).cast("int"))
+
+
+def watermarks_sql(delay_days: int = _DELAY_DAYS) -> str:
+    """``w(arrival, wm)``: the watermark in force at each arrival, and after the last one; events in ``e(us, arrival)``."""
+    return f"""w AS (SELECT a AS arrival, (max(us) // 1000 - {delay_days * 86_400_000}) * 1000 AS wm
+  FROM range(1, {_ARRIVALS + 1}) r(a) JOIN e ON e.arrival < a GROUP BY a)"""
 
 
 @query(
     "stream_hold",
-    f"""WITH s AS (SELECT 'svc' || (user_id % 5) AS series, epoch_us(ts) AS us, event_type IN ('error', 'click') AS c FROM events),
-i AS (SELECT *, sum(CASE WHEN c THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY us ROWS UNBOUNDED PRECEDING) AS k FROM s),
-t AS (SELECT *, min(us) OVER (PARTITION BY series, k) AS since FROM i WHERE c),
-f AS (SELECT series, k, since AS since_us, min(us) AS us FROM t WHERE us - since >= {_HOLD * 1_000_000} GROUP BY 1, 2, 3)
-SELECT series, since_us, us, 'firing' AS state FROM f
-UNION ALL
-SELECT f.series, f.since_us, i.us, 'resolved' FROM f JOIN i ON i.series = f.series AND NOT i.c AND i.k = f.k + 1""",
+    f"""WITH e AS (SELECT 'svc' || (user_id % 5) AS series, epoch_us(ts) AS us, event_type IN ('error', 'click') AS c,
+  {_ARRIVAL_SQL} AS arrival FROM events),
+{watermarks_sql()},
+p AS (SELECT e.*, coalesce(us <= wm, false) AS late FROM e LEFT JOIN w USING (arrival)),
+s AS (SELECT series, us, bool_or(c) AS c FROM p WHERE NOT late AND us <= (SELECT wm FROM w WHERE arrival = {_ARRIVALS}) GROUP BY ALL),
+g AS (SELECT *, c AND (lag(us) OVER o IS NULL OR NOT lag(c) OVER o OR us - lag(us) OVER o > {_SILENT * SECOND}) AS begins,
+  lead(us) OVER o AS next FROM s WINDOW o AS (PARTITION BY series ORDER BY us)),
+k AS (SELECT *, sum(begins::INTEGER) OVER (PARTITION BY series ORDER BY us) AS k FROM g),
+r AS (SELECT series, k, min(us) AS since, max(us) AS last, max_by(next, us) AS next FROM k WHERE c GROUP BY ALL),
+f AS (SELECT r.series, r.k, since, min(us) AS us, any_value(last) AS last, any_value(r.next) AS next
+  FROM r JOIN k ON k.series = r.series AND k.k = r.k AND k.c AND k.us - since >= {_HOLD * SECOND} GROUP BY ALL),
+x AS (SELECT series, since, CASE WHEN next - last <= {_SILENT * SECOND} THEN next
+  WHEN next IS NOT NULL OR last + {_SILENT * SECOND} <= (SELECT wm FROM w WHERE arrival = {_ARRIVALS}) THEN last + {_SILENT * SECOND} END AS us FROM f)
+SELECT series, since AS since_us, us, 'firing' AS state, true AS condition FROM f
+UNION ALL SELECT series, since, us, 'resolved', false FROM x WHERE us IS NOT NULL
+UNION ALL SELECT series, NULL, us, 'late', c FROM p WHERE late""",
 )
 def stream_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Firing and resolved transitions from keyed state."""
+    """Firing and resolved transitions from keyed state, with late points, over out-of-order arrivals and restarts."""
     path = work_dir(spark, "stream-hold")
-    e = stream_table(spark, sf_dir, "events")
+    e = arrivals(table(spark, sf_dir, "events"))
     points = e.select(
+        "arrival",
         F.lit("Errors").alias("rule"),
         F.concat(F.lit("svc"), (F.col("user_id") % 5).cast("string")).alias("series"),
         micros(F.col("ts")).alias("us"),
         F.col("event_type").isin("error", "click").alias("condition"),
     )
-    held = hold_stream(points, for_s=_HOLD)
-    writer = held.writeStream.format("parquet").outputMode("append").option("path", f"{path}/out")
-    start(writer, f"{path}/checkpoint", available_now=True).awaitTermination()
+    for arrival in range(_ARRIVALS):  # each run of the job goes on from the checkpoint of the one before
+        points.filter(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema(points.drop("arrival").schema).parquet(f"{path}/in")
+        held = hold_stream(source, for_s=_HOLD, silent_s=_SILENT, delay=f"{_DELAY_DAYS} days")
+        writer = held.writeStream.format("parquet").outputMode("append").option("path", f"{path}/out")
+        start(writer, f"{path}/checkpoint", available_now=True).awaitTermination()
     return spark.read.parquet(f"{path}/out").drop("rule")
 
 

@@ -27,7 +27,6 @@ from flowspark.plans.intrusions import detect_intrusions, run_detection
 from flowspark.session import work_dir
 from flowspark.sources.hash_store import read_hash, upsert_hash
 from flowspark.sources.records import read_text_records, to_json_records, write_text_records
-from flowspark.streaming.hold import hold_stream
 from flowspark.streaming.metrics import SCHEMA, MetricsListener, counter_totals, progress_rows
 
 SECOND = 1_000_000
@@ -148,24 +147,6 @@ def test_late_rows_are_dropped(spark, tmp_path):
     assert got == {"2025-06-10T05:04:00": 2, "2025-06-10T06:00:00": 2, "2025-06-10T06:01:00": 1}
 
 
-def test_hold_stream_over_batches(spark, tmp_path):
-    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
-    schema = "rule string, series string, us bigint, condition boolean"
-
-    def feed(*points):
-        rows = [("r", "s", t * SECOND, c) for t, c in points]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-        held = hold_stream(spark.readStream.schema(schema).parquet(source), for_s=30, step_s=15)
-        q = held.writeStream.format("parquet").option("path", out).option("checkpointLocation", check)
-        q.trigger(availableNow=True).start().awaitTermination()
-
-    feed((0, True), (15, True))
-    feed((30, True), (45, True), (15, False))  # the last one is late
-    feed((60, False), (75, True), (120, True), (135, True), (150, None), (165, True))
-    got = spark.read.parquet(out).orderBy("us").select("since_us", "us", "state").collect()
-    assert [(r[0] // SECOND, r[1] // SECOND, r[2]) for r in got] == [(0, 30, "firing"), (0, 60, "resolved")]
-
-
 def test_detection_stream_has_two_outputs(spark, tmp_path):
     good = json.dumps({f.key: 1 for f in FEATURES})
     source = str(tmp_path / "in")
