@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.evaluate import profile, value_counts
 from ..operators.features import fit_labels
-from ..operators.windows import hash_key, nonempty_report, strip_prefix, windowed_counts
+from ..operators.windows import field_text, hash_key, nonempty_report, strip_prefix, windowed_counts
 from ..plans.page_views import page_view_counts
 from ..session import work_dir
 from ..sources.hash_store import compact_hash, field_maps, read_hash, upsert_hash
@@ -48,14 +48,47 @@ def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def hash_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second, overlapping batch wins; a repeat of it and a compaction change nothing."""
-    path, compact = work_dir(spark, "hash"), work_dir(spark, "hash-compact")
+    path = work_dir(spark, "hash")
     counts = windowed_counts(_views(spark, sf_dir), "page")
     later = counts.filter(F.col("field") >= "2024-01-20").withColumn("value", F.col("value") + 1000)
     upsert_hash(counts, 0, path)
     upsert_hash(later, 1, path)
     upsert_hash(later, 1, path)
-    compact_hash(spark, path, compact)
-    return read_hash(spark, compact, "click_count:")
+    compact_hash(spark, path)
+    return read_hash(spark, path, "click_count:")
+
+
+_BATCHES, _COMPACT_EVERY = 50, 12
+
+
+@query(
+    "hash_batches",
+    f"""WITH n AS (SELECT event_id % {_BATCHES} AS b, 'click_count:/' || event_type AS key,
+  strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS field, count(*) AS value FROM events GROUP BY ALL)
+SELECT {_BATCHES} AS as_of, key, field, arg_max(value, b) AS value FROM n GROUP BY ALL
+UNION ALL SELECT 24, key, field, arg_max(value, b) FROM n WHERE b < 24 GROUP BY ALL""",
+)
+def hash_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty batches with compactions between them; a reader from before a compaction still reads the state it began with."""
+    path = work_dir(spark, "hash-batches")
+    views = table(spark, sf_dir, "events")
+    counts = views.withColumn("b", F.col("event_id") % _BATCHES).groupBy(
+        "b",
+        hash_key(F.concat(F.lit("/"), F.col("event_type"))).alias("key"),
+        field_text(F.date_trunc("hour", "ts")).alias("field"),
+    ).agg(F.count(F.lit(1)).alias("value"))
+    staged = work_dir(spark, "hash-staged")
+    counts.write.parquet(staged)
+    counts = spark.read.schema(counts.schema).parquet(staged)
+    early = None
+    for b in range(_BATCHES):
+        upsert_hash(counts.filter(F.col("b") == b), b, path)
+        if b == 23:
+            early = read_hash(spark, path)  # planned now, run after a compaction and more batches
+        if (b + 1) % _COMPACT_EVERY == 0:
+            compact_hash(spark, path, keep=4)
+    now = read_hash(spark, path).select(F.lit(_BATCHES).alias("as_of"), "key", "field", "value")
+    return now.unionByName(early.select(F.lit(24).alias("as_of"), "key", "field", "value"))
 
 
 @query(
@@ -82,8 +115,6 @@ def hash_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
   strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS field FROM events""",
 )
 def hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.windows import field_text
-
     e = table(spark, sf_dir, "events")
     key = hash_key(F.concat(F.lit("/"), F.col("event_type")))
     return e.select(
@@ -149,15 +180,14 @@ def event_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page views as records of a topic, some of them damaged."""
-    e = table(spark, sf_dir, "events")
+def page_records(e: DataFrame, *others: str) -> DataFrame:
+    """Page views as records of a topic, some of them damaged, with other columns of the events."""
     ts = F.col("ts").cast("timestamp")
     time = F.when(F.col("event_id") % 2 == 0, F.unix_millis(ts).cast("string")).otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     page = F.when(F.col("event_id") % 9 != 2, F.concat(F.lit("/"), F.col("event_type")))
     text = F.to_json(F.struct(page.alias("page"), F.col("user_id").cast("string").alias("user_id"), F.when(F.col("event_id") % 9 == 3, "soon").otherwise(time).alias("timestamp")))
     damaged = F.when(F.col("event_id") % 9 == 1, "{").otherwise(text)
-    return e.select(F.when(F.col("event_id") % 9 != 0, damaged).alias("value"))
+    return e.select(F.when(F.col("event_id") % 9 != 0, damaged).alias("value"), *others)
 
 
 @query(
@@ -168,7 +198,7 @@ FROM events GROUP BY 1""",
 )
 def page_view_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic records to page views per minute; what is none is set aside with a reason."""
-    raw = _page_records(spark, sf_dir)
+    raw = page_records(table(spark, sf_dir, "events"))
     minute = F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd'T'HH:mm:ss")
     good = parse_page_views(raw).select(F.concat("page", minute).alias("outcome"))
     bad = bad_page_views(raw).select(F.col("parse_error").alias("outcome"))

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.schema import ALERT_SCHEMA
 from ..operators.alerts import alert_json
 from ..operators.series import SECOND, micros
+from ..operators.windows import field_text
 from ..plans.intrusions import detect_intrusions
-from ..plans.page_views import stream_page_view_counts
+from ..plans.page_views import count_records, stream_page_view_counts
 from ..session import work_dir
 from ..sources.hash_store import read_hash
 from ..sources.records import start, write_text_records
 from ..streaming.hold import hold_stream
+from ..streaming.late import part
 from ..streaming.metrics import SCHEMA, MetricsListener, counter_totals
 from .flows import _DETECTED, _NOT_NORMAL, scorer
-from .pages import COUNTS_SQL, page_views
+from .pages import COUNTS_SQL, page_records, page_views
 from .registry import query
 from .views import NOW_MS, flow_records, severity_sql, stream_table, table
 
@@ -106,6 +110,40 @@ def stream_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out").drop("rule")
 
 
+_BAD_SQL = "CASE event_id % 9 WHEN 0 THEN 'null_record' WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing:page' WHEN 3 THEN 'bad_time' END"
+
+
+@query(
+    "stream_late_views",
+    f"""WITH e AS (SELECT event_id, event_type, {_BAD_SQL} AS bad, CASE WHEN event_id % 2 = 0 THEN epoch_us(ts) // 1000 * 1000 ELSE epoch_us(ts) END AS us,
+  {_ARRIVAL_SQL} AS arrival FROM events),
+w AS (SELECT a AS arrival, max(us) - {_DELAY_DAYS * 86_400 * SECOND} AS wm FROM range(1, {_ARRIVALS}) r(a) JOIN e ON e.bad IS NULL AND e.arrival < a GROUP BY a),
+p AS (SELECT e.*, '/' || event_type AS page, coalesce(us < wm, false) AS late FROM e LEFT JOIN w USING (arrival) WHERE bad IS NULL)
+SELECT 'counted' AS part, 'click_count:' || page AS key, strftime(date_trunc('minute', make_timestamp(us)), '%Y-%m-%dT%H:%M:%S') AS field,
+  count(*) AS value FROM p WHERE NOT late GROUP BY ALL
+UNION ALL SELECT 'late', page, strftime(date_trunc('minute', make_timestamp(us)), '%Y-%m-%dT%H:%M:%S'), count(*) FROM p WHERE late GROUP BY ALL
+UNION ALL SELECT 'bad', bad, '', count(*) FROM e WHERE bad IS NOT NULL GROUP BY ALL""",
+)
+def stream_late_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views from topic records in four arrivals, the job restarted for each: every record is counted, late or bad."""
+    path = work_dir(spark, "stream-late")
+    records = page_records(arrivals(table(spark, sf_dir, "events")), "arrival")
+    delay = dt.timedelta(days=_DELAY_DAYS)
+    for arrival in range(_ARRIVALS):
+        records.filter(F.col("arrival") == arrival).select("value").write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema("value string").parquet(f"{path}/in")
+        _, counted = count_records(source, f"{path}/job", watermark=delay, compact_every=2, available_now=True)
+        counted.awaitTermination()
+    counts = read_hash(spark, f"{path}/job/table", "click_count:")
+    late = spark.read.schema("page string, ts timestamp").parquet(part(f"{path}/job/views", late=True))
+    late = late.select(F.col("page").alias("key"), field_text(F.date_trunc("minute", "ts")).alias("field"))
+    bad = spark.read.schema("parse_error string").parquet(f"{path}/job/bad/batch_id=*")
+    bad = bad.select(F.col("parse_error").alias("key"), F.lit("").alias("field"))
+    rest = late.withColumn("part", F.lit("late")).unionByName(bad.withColumn("part", F.lit("bad")))
+    rest = rest.groupBy("part", "key", "field").agg(F.count(F.lit(1)).alias("value"))
+    return counts.withColumn("part", F.lit("counted")).unionByName(rest)
+
+
 @query(
     "stream_counters",
     f"""{_DETECTED} SELECT 'total_flows_processed' AS name, CAST(count(*) AS DOUBLE) AS value FROM predicted

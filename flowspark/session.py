@@ -40,6 +40,23 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, any that Spark can read, and the path there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a glob pattern, sorted."""
+    fs, at = _hadoop(spark, pattern)
+    return sorted(x.getPath().toString() for x in fs.globStatus(at) or [] if x.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _hadoop(spark, path)
+    fs.delete(at, True)
+
+
 _shipped: set[str] = set()
 
 
