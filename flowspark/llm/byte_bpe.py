@@ -22,6 +22,8 @@ from .common import stored
 DICTIONARY_WORDS, DICTIONARY_BYTES = 200_000, 32
 #: Other words above this many bytes take a heap: merging the rest side by side costs the square of the longest.
 SIDE_BYTES = 64
+#: Words put together at a time; a text with more is taken whole.
+SLICE_WORDS = 1_000_000
 _IDS = 1 << 16
 _PLACE_BITS = 10
 
@@ -185,8 +187,15 @@ class Encoder:
         self.words, self.lengths = words, pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
         self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def texts(self, words: pa.ListArray) -> pa.ListArray:
-        """The ids of each text from its words; every distinct word of the batch is looked up once."""
+    def texts(self, words: pa.ListArray) -> pa.Array:
+        """The ids of each text from its words, so many words at a time."""
+        ends, cuts = words.offsets.to_numpy(), [0]
+        while cuts[-1] < len(words):
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, ends[cuts[-1]] + SLICE_WORDS, "right")) - 1))
+        return pa.concat_arrays([self.some_texts(words[a:b]) for a, b in zip(cuts, cuts[1:])] or [pa.array([], pa.list_(pa.int64()))])
+
+    def some_texts(self, words: pa.ListArray) -> pa.ListArray:
+        """Every distinct word is looked up, or merged, once."""
         coded = words.flatten().dictionary_encode()
         distinct, at = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         known = pc.index_in(distinct, value_set=self.words)
