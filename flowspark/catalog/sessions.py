@@ -39,7 +39,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_ui_events(to_json_records(ui_events(table(spark, sf_dir, "events"))))
 
 
-def _dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def session_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     user = F.col("c_custkey").cast("string")
@@ -84,7 +84,7 @@ scored AS (SELECT *, 1 / (1 + exp(-(2.0::DOUBLE * risk + 0.3::DOUBLE * failures
 
 @query("enrich_lookup", f"WITH {_UI} SELECT event_id, round(risk, 6) AS risk, status, failures FROM enriched")
 def enrich_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _dimensions(spark, sf_dir)
+    d = session_dimensions(spark, sf_dir)
     df = enrich_lookup(_events(spark, sf_dir), d["device_risk"], "device_fingerprint", {"risk": 0.0})
     df = enrich_lookup(df, d["account_status"], "user_id", {"status": "unknown"})
     df = enrich_lookup(df, d["login_failures"], "user_id", {"failures": 0})
@@ -97,7 +97,7 @@ def enrich_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def enrich_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for a dimension taken as too large to broadcast, with hot keys split."""
-    risk = _dimensions(spark, sf_dir)["device_risk"]
+    risk = session_dimensions(spark, sf_dir)["device_risk"]
     df = enrich_lookup(
         _events(spark, sf_dir), risk, "device_fingerprint", {"risk": 0.0}, max_broadcast_rows=10, hot_rows=50
     )
@@ -106,19 +106,40 @@ def enrich_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("enrich_geo", f"WITH {_UI} SELECT event_id, ip_number, country FROM enriched")
 def enrich_geo_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = enrich_geo(_events(spark, sf_dir), _dimensions(spark, sf_dir)["geo_ranges"])
+    df = enrich_geo(_events(spark, sf_dir), session_dimensions(spark, sf_dir)["geo_ranges"])
     return df.select("event_id", ipv4_number(F.col("ip")).alias("ip_number"), "country")
 
 
 @query("enrich_geo_salted", f"WITH {_UI} SELECT event_id, ip_number, country FROM enriched")
 def enrich_geo_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranges = _dimensions(spark, sf_dir)["geo_ranges"]
+    ranges = session_dimensions(spark, sf_dir)["geo_ranges"]
     df = enrich_geo(_events(spark, sf_dir), ranges, max_broadcast_rows=10, hot_rows=2)
     return df.select("event_id", ipv4_number(F.col("ip")).alias("ip_number"), "country")
 
 
+@query(
+    "enrich_geo_nested",
+    f"""WITH {_UI}, ranges AS (SELECT lo, hi, n_name FROM geo
+  UNION ALL SELECT s_nationkey::BIGINT * 16777216 + s_suppkey * 40000, s_nationkey::BIGINT * 16777216 + s_suppkey * 40000 + 100000 + s_suppkey % 7, 'near ' || s_suppkey % 10 FROM supplier
+  UNION ALL SELECT s_nationkey::BIGINT * 16777216 + s_suppkey * 40000 - 9, s_nationkey::BIGINT * 16777216 + s_suppkey * 40000 + 9000000, 'far ' || s_suppkey % 10 FROM supplier),
+found AS (SELECT event_id, ip_number, arg_min(r.n_name, (r.hi - r.lo, r.lo, r.n_name)) AS country
+  FROM ui LEFT JOIN ranges r ON ip_number BETWEEN lo AND hi GROUP BY ALL)
+SELECT event_id, ip_number, coalesce(country, 'unknown') AS country FROM found""",
+)
+def enrich_geo_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges within and across each other: the narrowest wins, and no event becomes two."""
+    wide = session_dimensions(spark, sf_dir)["geo_ranges"]
+    s = table(spark, sf_dir, "supplier")
+    lo = F.col("s_nationkey").cast("bigint") * F.lit(2**24) + F.col("s_suppkey") * 40000
+    tenth = (F.col("s_suppkey") % 10).cast("string")
+    near = s.select(lo.alias("lo"), (lo + 100000 + F.col("s_suppkey") % 7).alias("hi"), F.concat(F.lit("near "), tenth).alias("country"))
+    far = s.select((lo - 9).alias("lo"), (lo + 9_000_000).alias("hi"), F.concat(F.lit("far "), tenth).alias("country"))
+    df = enrich_geo(_events(spark, sf_dir), wide.unionByName(near).unionByName(far))
+    return df.select("event_id", ipv4_number(F.col("ip")).alias("ip_number"), "country")
+
+
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = enrich_events(_events(spark, sf_dir), **_dimensions(spark, sf_dir))
+    enriched = enrich_events(_events(spark, sf_dir), **session_dimensions(spark, sf_dir))
     return score_sessions(enriched, WEIGHTS, BIAS, now=F.lit(NOW_MS))
 
 
@@ -148,6 +169,16 @@ def session_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_ui_records(events: DataFrame) -> DataFrame:
+    """UI events as records of a topic, some of them damaged."""
+    text = ui_events(events)
+    number = F.col("event_id").cast("bigint") % 7
+    json = F.to_json(F.struct(*text.columns))
+    cases = F.when(number == 1, F.lit("{")).when(number == 2, F.replace(json, F.lit('"event_id"'), F.lit('"id"')))
+    value = F.when(number == 0, F.lit(None)).otherwise(F.coalesce(cases, json)).cast("string").alias("value")
+    return text.select(value)
+
+
 @query(
     "bad_ui_events",
     """SELECT CASE event_id % 7 WHEN 0 THEN 'null_record' WHEN 1 THEN 'malformed' WHEN 2 THEN 'missing:event_id' ELSE 'event' END AS outcome,
@@ -155,10 +186,7 @@ def session_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ui_event_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record is an event or set aside with a reason."""
-    text = to_json_records(ui_events(table(spark, sf_dir, "events")))
-    number = F.get_json_object("value", "$.event_id").cast("bigint") % 7
-    cases = F.when(number == 1, F.lit("{")).when(number == 2, F.replace("value", F.lit('"event_id"'), F.lit('"id"')))
-    damaged = text.select(F.when(number == 0, F.lit(None)).otherwise(F.coalesce(cases, "value")).cast("string").alias("value"))
+    damaged = damaged_ui_records(table(spark, sf_dir, "events"))
     good = parse_ui_events(damaged).select(F.lit("event").alias("outcome"))
     bad = bad_ui_events(damaged).select(F.col("parse_error").alias("outcome"))
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,10 @@ from ..functions.schema import ALERT_SCHEMA
 from ..operators.alerts import alert_json
 from ..operators.series import SECOND, micros
 from ..operators.windows import field_text
+from ..plans.alerting import Evaluation, evaluate_alert_rules, session_rules
 from ..plans.intrusions import detect_intrusions
 from ..plans.page_views import count_records, stream_page_view_counts
+from ..plans.sessions import LATENCY_BOUNDS, score_stream
 from ..session import work_dir
 from ..sources.hash_store import read_hash
 from ..sources.records import start, write_text_records
@@ -20,8 +24,10 @@ from ..streaming.hold import hold_stream
 from ..streaming.late import part
 from ..streaming.metrics import SCHEMA, MetricsListener, counter_totals
 from .flows import _DETECTED, _NOT_NORMAL, scorer
+from .metrics import quantile_sql, rate_sql
 from .pages import COUNTS_SQL, page_records, page_views
 from .registry import query
+from .sessions import _UI, BIAS, WEIGHTS, damaged_ui_records, session_dimensions
 from .views import NOW_MS, flow_records, severity_sql, stream_table, table
 
 
@@ -144,6 +150,52 @@ def stream_late_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("part", F.lit("counted")).unionByName(rest)
 
 
+_RULE_RANGE, _DAY = 20 * 86_400, 86_400
+_SESSION_RULES = {r.name: replace(r, limit=limit) for r, limit in zip(session_rules(), (0.0001, 500))}
+_BOUNDS_SQL = ", ".join(f"'{b}'" for b in (*LATENCY_BOUNDS, "+Inf"))
+
+
+@query(
+    "session_job",
+    f"""WITH {_UI}, ev AS (SELECT CAST(event_id AS VARCHAR) AS event_id, event_id % 7 AS kind, epoch_us(ts) // 1000 * 1000 AS us, {_ARRIVAL_SQL} AS arrival FROM events),
+fl AS (SELECT s.*, ev.arrival FROM scored s JOIN ev USING (event_id) WHERE score > 0.8 AND kind > 2),
+b AS (SELECT arrival, max(us) AS us FROM ev WHERE kind > 2 GROUP BY 1),
+n AS (SELECT b.us, 'flags' AS series, (SELECT count(*) FROM fl WHERE fl.arrival = b.arrival) AS c FROM b
+  UNION ALL SELECT b.us, le, (SELECT count(*) FROM fl WHERE fl.arrival = b.arrival AND (le = '+Inf' OR latency_ms <= try_cast(le AS INTEGER)))
+  FROM b, (SELECT unnest([{_BOUNDS_SQL}]) AS le)),
+t AS (SELECT series, us, CAST(sum(c) OVER (PARTITION BY series ORDER BY us) AS DOUBLE) AS value FROM n),
+tf AS (SELECT * FROM t WHERE series = 'flags'), tb AS (SELECT * FROM t WHERE series <> 'flags'),
+{rate_sql('rf', 'tf', _RULE_RANGE, _DAY)}, {rate_sql('rb', 'tb', _RULE_RANGE, _DAY)},
+c AS (SELECT us, CASE WHEN series = '+Inf' THEN 'inf'::DOUBLE ELSE CAST(series AS DOUBLE) END AS le, value AS c FROM rb),
+{quantile_sql('p95', 'c', 0.95, 'us')}
+SELECT 'flag' AS part, session_id AS key, CAST(count(*) AS BIGINT) AS us, round(max(score), 6) AS value FROM fl GROUP BY 2
+UNION ALL SELECT 'bad', CASE event_id % 7 WHEN 0 THEN 'null_record' WHEN 1 THEN 'malformed' ELSE 'missing:event_id' END, count(*), 0 FROM events WHERE event_id % 7 < 3 GROUP BY 2
+UNION ALL SELECT 'counter', series, us, value FROM t
+UNION ALL SELECT 'rule', 'HighFraudFlagRate', us, round(value * 60, 6) FROM rf WHERE round(value * 60, 6) > 0.0001
+UNION ALL SELECT 'rule', 'PipelineLatencySLABreach', us, round(value, 6) FROM p95 WHERE round(value, 6) > 500""",
+)
+def session_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session scoring over four arrivals: flags, bad events, the counters its samples make, and the rules that read them."""
+    path = work_dir(spark, "session-job")
+    events = arrivals(table(spark, sf_dir, "events"))
+    for arrival in range(_ARRIVALS):
+        damaged_ui_records(events.filter(F.col("arrival") == arrival)).write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema("value string").parquet(f"{path}/in")
+        now = F.col("timestamp") + F.col("latency_ms")
+        score_stream(source, session_dimensions(spark, sf_dir), WEIGHTS, BIAS, f"{path}/job", now=now, available_now=True).awaitTermination()
+    parts = F.split("value", ",")
+    flags = spark.read.text(f"{path}/job/flags/batch_id=*").select(parts[0].alias("key"), parts[1].cast("double").alias("value"))
+    flags = flags.groupBy("key").agg(F.count(F.lit(1)).alias("us"), F.round(F.max("value"), 6).alias("value"))
+    bad = spark.read.schema("parse_error string").parquet(f"{path}/job/bad/batch_id=*").groupBy(F.col("parse_error").alias("key"))
+    bad = bad.agg(F.count(F.lit(1)).alias("us")).withColumn("value", F.lit(0.0))
+    counters = counter_totals(spark.read.schema(SCHEMA).parquet(f"{path}/job/samples/batch_id=*"))
+    totals = counters.select(F.coalesce(F.col("labels")["le"], F.lit("flags")).alias("key"), micros(F.col("ts")).alias("us"), "value")
+    ev = Evaluation(step_s=_DAY, range_s=_RULE_RANGE, hold_s=0, mode="simple", digits=6)
+    fired = evaluate_alert_rules(list(_SESSION_RULES.values()), counters, ev).select(F.col("rule").alias("key"), "us", "value")
+    found = {"flag": flags, "bad": bad, "counter": totals, "rule": fired}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("part"), "key", "us", "value") for name, df in found.items()])
+
+
 @query(
     "stream_counters",
     f"""{_DETECTED} SELECT 'total_flows_processed' AS name, CAST(count(*) AS DOUBLE) AS value FROM predicted

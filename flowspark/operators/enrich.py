@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.network import ipv4_number
 from ..functions.schema import SESSION_THRESHOLD
+from ..session import ship_package
 from .joins import BROADCAST_ROWS, HOT_ROWS, lookup_join
 
 _PREFIX_BITS = 16
@@ -39,6 +43,67 @@ def enrich_lookup(
     return joined.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
 
 
+def _prefix(number: Column) -> Column:
+    cell = F.lit(2**_PREFIX_BITS)
+    return ((number - F.pmod(number, cell)) / cell).cast("int")
+
+
+def disjoint_ranges(ranges: DataFrame) -> DataFrame:
+    """``_prefix, lo, hi, country``: each address in at most one piece, that of the narrowest range around it.
+
+    Among equally narrow ranges the lower one counts, among equal ones the first
+    country by name. Ranges are cut at the 65,536 address prefixes. Only the cells in
+    which some overlap are swept, each by itself; a cell holds at most one range per pair of
+    addresses in it. Ranges without a bound or with ``hi`` below ``lo`` hold nothing.
+    """
+    cell = F.lit(2**_PREFIX_BITS)
+    rows = ranges.filter(F.col("lo") <= F.col("hi")).select(
+        "lo", "hi", "country", F.explode(F.sequence(_prefix(F.col("lo")), _prefix(F.col("hi")))).alias("_prefix")
+    )
+    begin = F.col("_prefix").cast("bigint") * cell
+    rows = rows.select(
+        "_prefix",
+        F.greatest("lo", begin).alias("lo"),
+        F.least("hi", begin + cell - 1).alias("hi"),
+        F.struct((F.col("hi") - F.col("lo")).alias("width"), F.col("lo").alias("first"), F.col("country").alias("country")).alias("_of"),
+    )
+    cells = rows.groupBy("_prefix", "lo", "hi").agg(F.min("_of").alias("_of"))
+    before = W.partitionBy("_prefix").orderBy("lo", "hi").rowsBetween(W.unboundedPreceding, -1)
+    meets = F.max("hi").over(before) >= F.col("lo")
+    cells = cells.withColumn("_meets", F.max(F.coalesce(meets, F.lit(False))).over(W.partitionBy("_prefix")))
+    flat = cells.select("_prefix", "lo", "hi", F.col("_of.width").alias("width"), F.col("_of.first").alias("first"), F.col("_of.country").alias("country"), "_meets")
+    ship_package(ranges.sparkSession)
+    swept = flat.filter("_meets").drop("_meets").groupBy("_prefix").applyInPandas(_sweep, "_prefix int, lo bigint, hi bigint, country string")
+    return flat.filter("NOT _meets").select("_prefix", "lo", "hi", "country").unionByName(swept)
+
+
+def _sweep(ranges: pd.DataFrame) -> pd.DataFrame:
+    """Overlapping ranges of one cell -> disjoint pieces: the narrowest takes its places first, the others what is left."""
+    r = ranges.sort_values(["width", "first", "country"], kind="stable", na_position="last")
+    edges = np.unique(np.concatenate([r.lo, r.hi + 1]))
+    first, last = np.searchsorted(edges, r.lo), np.searchsorted(edges, r.hi + 1)
+    owner = np.full(len(edges) - 1, -1)
+    free = list(range(len(edges)))  # the next place at or after this one that nobody has
+
+    def find(i: int) -> int:
+        while free[i] != i:
+            free[i] = free[free[i]]
+            i = free[i]
+        return i
+
+    for number, (a, b) in enumerate(zip(first.tolist(), last.tolist())):
+        i = find(a)
+        while i < b:
+            owner[i] = number
+            free[i] = i + 1
+            i = find(i)
+    cuts = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+    begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(owner)]])
+    held = owner[begins] >= 0
+    begins, ends = begins[held], ends[held]
+    return pd.DataFrame({"_prefix": r["_prefix"].iloc[0], "lo": edges[begins], "hi": edges[ends] - 1, "country": r.country.iloc[owner[begins]].to_numpy()})
+
+
 def enrich_geo(
     df: DataFrame,
     ranges: DataFrame,
@@ -51,24 +116,12 @@ def enrich_geo(
 ) -> DataFrame:
     """Add the country of the address range ``(lo, hi, country)`` an IPv4 text lies in.
 
-    Ranges are listed under each of the 65,536 address prefixes they touch, which
-    makes the range condition an equi-join on the prefix. Disjoint ranges, as a geo
-    table has them, become at most their number plus 65,536 rows.
+    Of several ranges the narrowest counts, so a row never multiplies: see ``disjoint_ranges``.
+    Its pieces are listed by address prefix, which makes the range condition an equi-join on the prefix.
     """
-    shift = F.lit(2**_PREFIX_BITS)
-
-    def prefix(number: Column | str) -> Column:
-        n = F.col(number) if isinstance(number, str) else number
-        return ((n - F.pmod(n, shift)) / shift).cast("int")
-
-    listed = ranges.select(
-        F.col("lo").alias("_lo"),
-        F.col("hi").alias("_hi"),
-        F.col("country").alias(out),
-        F.explode(F.sequence(prefix("lo"), prefix("hi"))).alias("_prefix"),
-    )
+    listed = disjoint_ranges(ranges).select("_prefix", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("country").alias(out))
     numbered = df.withColumn("_ip", ipv4_number(F.col(ip)))
-    numbered = numbered.withColumn("_prefix", prefix("_ip"))
+    numbered = numbered.withColumn("_prefix", _prefix(F.col("_ip")))
     joined = lookup_join(
         numbered,
         listed,

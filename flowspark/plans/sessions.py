@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schema import SESSION_THRESHOLD
 from ..operators.alerts import event_latency_ms
@@ -16,7 +18,7 @@ from ..operators.enrich import (
     flag_text,
     score_binary,
 )
-from ..sources.records import write_text_records
+from ..sources.records import bad_ui_events, parse_ui_events, start, write_text_records
 
 
 def enrich_events(
@@ -52,24 +54,72 @@ def score_sessions(
 LATENCY_BOUNDS = (100, 250, 500, 1000)
 
 
+def _flag_counts(bounds: Sequence[float]) -> list[Column]:
+    latency = F.col("pipeline_latency_ms")
+    return [F.count(F.lit(1)).alias("all"), *[F.count_if(latency <= b).alias(f"b{i}") for i, b in enumerate(bounds)]]
+
+
+def _flag_samples(bounds: Sequence[float]) -> list[tuple[str, str, str | None]]:
+    """Name, count and bound ``le`` of each sample."""
+    buckets = [("latency_ms_bucket", f"b{i}", str(b)) for i, b in enumerate(bounds)]
+    return [("flagged_sessions_total", "all", None), *buckets, ("latency_ms_bucket", "all", "+Inf")]
+
+
 def flag_metrics(flagged: DataFrame, ts: Column, *, job: str, bounds: Sequence[float] = LATENCY_BOUNDS) -> DataFrame:
     """Samples of a batch of flags for the metrics table: their number and the latency buckets.
 
     ``flagged_sessions_total`` counts flags; ``latency_ms_bucket`` those of at most the
     bound ``le``, as the latency rule reads them. One aggregate of one row.
     """
-    latency = F.col("pipeline_latency_ms")
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("all"), *[F.count_if(latency <= b).alias(f"b{i}") for i, b in enumerate(bounds)]
-    )
 
-    def sample(name: str, value: str, **labels: str) -> Column:
-        pairs = [F.lit(x) for k, v in {"job": job, **labels}.items() for x in (k, v)]
+    def sample(name: str, value: str, le: str | None) -> Column:
+        pairs = [F.lit(x) for k, v in (("job", job), ("le", le)) if v is not None for x in (k, v)]
         return F.struct(F.lit(name).alias("name"), F.create_map(*pairs).alias("labels"), F.col(value).cast("double").alias("value"))
 
-    buckets = [sample("latency_ms_bucket", f"b{i}", le=str(b)) for i, b in enumerate(bounds)]
-    rows = F.array(sample("flagged_sessions_total", "all"), *buckets, sample("latency_ms_bucket", "all", le="+Inf"))
-    return counts.select(ts.alias("ts"), F.inline(rows))
+    rows = F.array(*[sample(*s) for s in _flag_samples(bounds)])
+    return flagged.agg(*_flag_counts(bounds)).select(ts.alias("ts"), F.inline(rows))
+
+
+def score_stream(
+    records: DataFrame,
+    dimensions: Mapping[str, DataFrame],
+    weights: Mapping[str, float],
+    bias: float,
+    path: str,
+    *,
+    job: str = "sessions",
+    threshold: float = SESSION_THRESHOLD,
+    now: Column | None = None,
+    bounds: Sequence[float] = LATENCY_BOUNDS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """The session job: topic records in; flags, bad events and metric samples out.
+
+    ``path/flags`` gets ``session,score`` texts, ``path/bad`` the records that are no event, with a
+    reason, and ``path/samples`` the batch's counts as rows of the metrics table, at the
+    newest event time of the batch; ``counter_totals`` makes counters of them, which the
+    session rules read. Counts are observed while the flags are written. A folder per batch:
+    a batch that is repeated replaces its three outputs.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen, counted = Observation(), Observation()
+        events = parse_ui_events(batch).observe(seen, F.max("timestamp").alias("newest"))
+        flagged = score_sessions(enrich_events(events, **dimensions), weights, bias, threshold=threshold, now=now)
+        flag_text(flagged.observe(counted, *_flag_counts(bounds))).write.mode("overwrite").text(f"{path}/flags/batch_id={batch_id}")
+        bad_ui_events(batch).write.mode("overwrite").parquet(f"{path}/bad/batch_id={batch_id}")
+        newest, rows = seen.get["newest"], []
+        if newest is not None:
+            for name, value, le in _flag_samples(bounds):
+                labels = {"job": job, "batch": str(batch_id), **({} if le is None else {"le": le})}
+                rows.append((newest, name, labels, float(counted.get[value])))
+        samples = spark.createDataFrame(rows, "ms bigint, name string, labels map<string,string>, value double")
+        samples.select(F.timestamp_millis("ms").alias("ts"), "name", "labels", "value").coalesce(1).write.mode("overwrite").parquet(
+            f"{path}/samples/batch_id={batch_id}"
+        )
+
+    return start(records.writeStream.foreachBatch(write), f"{path}/checkpoint", available_now=available_now)
 
 
 def write_flags(flagged: DataFrame, target: str, **sink: object):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.prefix import prefix_sum
+from ..operators.series import series_key
 
 SCHEMA = "ts timestamp, name string, labels map<string,string>, value double"
 
@@ -47,24 +48,25 @@ def metrics_from_progress(spark: SparkSession, query: StreamingQuery) -> DataFra
 
 
 def counter_totals(samples: DataFrame) -> DataFrame:
-    """Per-batch counts -> counters that only rise, per job and name; labels without the batch.
+    """Per-batch counts -> counters that only rise, per name and labels; labels without the run and the batch.
 
-    A batch is known by its run and number, so a restarted job counts on, from a new
-    checkpoint too. Running totals are cut by day: no task holds all batches of a job.
+    A sample is known by its name and all its labels, so a batch that is reported again
+    counts once, and each bucket of a histogram is a counter of its own. A batch
+    is known by its run and number: a restarted job counts on, from a new checkpoint
+    too. Running totals are cut by day: no task holds all batches of a job.
     """
+    labels = F.col("labels")
     rows = samples.select(
         "ts",
         "name",
-        F.col("labels")["job"].alias("job"),
-        F.coalesce(F.col("labels")["run"], F.lit("")).alias("run"),
-        F.col("labels")["batch"].cast("bigint").alias("batch"),
+        series_key(F.map_filter(labels, lambda k, _: ~k.isin("run", "batch"))).alias("series"),
+        F.coalesce(labels["run"], F.lit("")).alias("run"),
+        labels["batch"].cast("bigint").alias("batch"),
         "value",
     )
-    once = rows.dropDuplicates(["name", "job", "run", "batch"])  # a batch may be reported again
-    total = prefix_sum(once, ["name", "job"], ["ts", "run", "batch"], F.col("value"), F.to_date("ts"), "_total")
-    return total.select(
-        "ts", "name", F.create_map(F.lit("job"), F.col("job")).alias("labels"), F.col("_total").alias("value")
-    )
+    once = rows.dropDuplicates(["name", "series", "run", "batch"])
+    total = prefix_sum(once, ["name", "series"], ["ts", "run", "batch"], F.col("value"), F.to_date("ts"), "_total")
+    return total.select("ts", "name", F.from_json("series", "map<string,string>").alias("labels"), F.col("_total").alias("value"))
 
 
 class MetricsListener(StreamingQueryListener):
