@@ -6,15 +6,17 @@ import datetime as dt
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.schema import ALERT_SCHEMA
 from ..operators.alerts import alert_json
+from ..operators.evaluate import reconcile
 from ..operators.series import SECOND, micros
 from ..operators.windows import field_text
 from ..plans.alerting import Evaluation, evaluate_alert_rules, session_rules
-from ..plans.intrusions import detect_intrusions
+from ..plans.intrusions import detect_intrusions, predict_stream, predictions
 from ..plans.page_views import count_records, stream_page_view_counts
 from ..plans.sessions import LATENCY_BOUNDS, score_stream
 from ..session import work_dir
@@ -150,6 +152,58 @@ def stream_late_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("part", F.lit("counted")).unionByName(rest)
 
 
+@query(
+    "stream_reconciliation",
+    f"""{_DETECTED}, r AS (SELECT vec_id, vec_id % 13 = 1 AS bad FROM predicted),
+d AS (SELECT *, CASE WHEN vec_id % 10 = 1 THEN 'lost' WHEN vec_id % 10 = 2 THEN 'doubled' WHEN vec_id % 10 = 3 OR (vec_id % 10 = 4 AND NOT bad) THEN 'differing' ELSE 'same' END AS outcome FROM r)
+SELECT 'as run' AS side, 'same' AS outcome, count(*) AS n, 0.0::DOUBLE AS max_gap FROM r
+UNION ALL SELECT 'damaged', outcome, count(*), max(CASE WHEN outcome = 'lost' OR bad THEN NULL WHEN vec_id % 10 = 4 THEN 0.25::DOUBLE ELSE 0 END) FROM d GROUP BY 2
+UNION ALL SELECT 'damaged', 'extra', 1, NULL""",
+)
+def stream_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scoring stream that breaks down after writing a batch and is started again, record by record against the batch job.
+
+    The same with its results damaged on purpose: what was lost, doubled, changed or made up is named.
+    """
+    path = work_dir(spark, "reconcile")
+    raw = flow_records(spark, sf_dir).withColumn("value", F.when(F.col("vec_id") % 13 != 1, F.col("value")))
+    written: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")
+        written.append(batch_id)
+        if len(written) == 2:  # its results are there, but the checkpoint does not know
+            raise RuntimeError("stopped")
+
+    for half in (0, 1, 1):
+        if len(written) < 2:
+            raw.filter(F.col("vec_id") % 2 == half).write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema(raw.schema).parquet(f"{path}/in")
+        try:
+            predict_stream(source, scorer, write, f"{path}/checkpoint", available_now=True).awaitTermination()
+        except StreamingQueryException:
+            if len(written) != 2:
+                raise
+    online = spark.read.schema("vec_id bigint, label string, confidence double").parquet(f"{path}/out/batch_id=*")
+    offline = predictions(raw, scorer)
+    tenth = F.col("vec_id") % 10
+    damaged = online.filter(tenth != 1).unionByName(online.filter(tenth == 2)).withColumns(
+        {
+            "label": F.when(tenth == 3, "other").otherwise(F.col("label")),
+            "confidence": F.when(tenth == 4, F.col("confidence") + 0.25).otherwise(F.col("confidence")),
+        }
+    )
+    made_up = online.limit(1).select(F.lit(-1).cast("bigint").alias("vec_id"), "label", "confidence")
+    sides = {"as run": online, "damaged": damaged.unionByName(made_up)}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            reconcile(df, offline, "vec_id").groupBy(F.lit(name).alias("side"), "outcome").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("gap"), 6).alias("max_gap"))
+            for name, df in sides.items()
+        ],
+    )
+
+
 _RULE_RANGE, _DAY = 20 * 86_400, 86_400
 _SESSION_RULES = {r.name: replace(r, limit=limit) for r, limit in zip(session_rules(), (0.0001, 500))}
 _BOUNDS_SQL = ", ".join(f"'{b}'" for b in (*LATENCY_BOUNDS, "+Inf"))

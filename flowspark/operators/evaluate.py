@@ -164,3 +164,48 @@ def mismatches(compared: DataFrame, tolerance: float = 1e-5) -> DataFrame:
     """Keys on one side only, with other labels, or with confidences further apart."""
     apart = F.coalesce(F.col("gap") > tolerance, F.lit(True))
     return compared.filter((F.col("presence") != "both") | ~F.col("same_label") | apart)
+
+
+def reconcile(
+    online: DataFrame, offline: DataFrame, key: str, *, label: str = "label", confidence: str = "confidence", tolerance: float = 1e-5
+) -> DataFrame:
+    """``key, outcome, n_online, n_offline, gap``: what became of each record on the two sides.
+
+    ``lost`` is missing online, ``extra`` offline; ``doubled`` has other numbers of rows on the two sides;
+    ``differing`` another label or a confidence further apart than ``tolerance``, in
+    any of its rows; else ``same``. Each side is one row per key before they meet,
+    so a record that came a million times does not multiply. A NULL key is a record like any other.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        value = F.col(confidence).cast("double")
+        return df.groupBy(F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias(f"n_{name}"),
+            F.min(label).alias("first"),
+            F.max(label).alias("last"),
+            F.count(label).alias("labels"),
+            F.min(value).alias("least"),
+            F.max(value).alias("most"),
+            F.count(value).alias("values"),
+        )
+
+    a, b = side(online, "online").alias("a"), side(offline, "offline").alias("b")
+    both = a.join(b, F.col("a._key").eqNullSafe(F.col("b._key")), "full_outer")
+    n, m = F.coalesce("n_online", F.lit(0)), F.coalesce("n_offline", F.lit(0))
+    gap = F.greatest(F.abs(F.col("a.most") - F.col("b.least")), F.abs(F.col("b.most") - F.col("a.least")))
+
+    def equal(name: str) -> Column:
+        return F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}"))
+
+    labels = equal("first") & equal("last") & equal("labels")
+    close = equal("values") & (F.col("a.values").eqNullSafe(0) | F.coalesce(gap <= tolerance, F.lit(False)))
+    outcome = (
+        F.when(n == 0, "lost")
+        .when(m == 0, "extra")
+        .when(n != m, "doubled")
+        .when(~(labels & close), "differing")
+        .otherwise("same")
+    )
+    return both.select(
+        F.coalesce("a._key", "b._key").alias(key), outcome.alias("outcome"), n.alias("n_online"), m.alias("n_offline"), gap.alias("gap")
+    )

@@ -78,10 +78,17 @@ def detect_intrusions(
 def score_records(
     records: DataFrame, scorer: Scorer, *, scaler: str | tuple[Sequence[float], Sequence[float]] = "trained"
 ) -> DataFrame:
-    """All read records, scored where they parsed; ``parse_error`` is also ``bad_length`` where the scorer failed."""
-    good = score_flows(records.filter("parse_error IS NULL"), scorer, scaler=scaler)
-    good = good.withColumn("parse_error", bad_probabilities())
-    return good.unionByName(records.filter("parse_error IS NOT NULL"), allowMissingColumns=True)
+    """All read records, scored where they parsed; ``parse_error`` is also ``bad_length`` where the scorer failed.
+
+    One pass: a record that did not parse goes along with a NULL vector and gets no prediction.
+    """
+    mean, std = _constants(scaler)
+    vectors = scale(assemble(records), mean, std, guard_zero=True)
+    parsed = F.col("parse_error").isNull()
+    vectors = vectors.withColumn("features", F.when(parsed, F.col("features")))
+    scored = predict(scorer(vectors).drop("features"))
+    found = {c: F.when(parsed, F.col(c)) for c in ("probabilities", "class_index", "label", "confidence")}
+    return scored.withColumns({**found, "parse_error": F.coalesce("parse_error", bad_probabilities())})
 
 
 def set_aside(scored: DataFrame, kept: Sequence[str]) -> DataFrame:
@@ -139,6 +146,38 @@ def run_detection(
     return start(raw.writeStream.foreachBatch(both), checkpoint, available_now=available_now)
 
 
+def predict_stream(
+    raw: DataFrame,
+    scorer: Scorer,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    *,
+    scaler: str | tuple[Sequence[float], Sequence[float]] = "trained",
+    available_now: bool = False,
+    **parse,
+) -> StreamingQuery:
+    """Score a stream and keep who is who: every record goes out with its own columns besides ``value``.
+
+    ``write`` gets ``label`` (of a record set aside, the reason) and ``confidence`` of a batch, with its
+    number, under which it should replace what an earlier attempt wrote. ``reconcile``
+    holds the outcome against the same records scored at once.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write(predictions(batch, scorer, scaler=scaler, **parse), batch_id)
+
+    return start(raw.writeStream.foreachBatch(each), checkpoint, available_now=available_now)
+
+
+def predictions(
+    raw: DataFrame, scorer: Scorer, *, scaler: str | tuple[Sequence[float], Sequence[float]] = "trained", **parse
+) -> DataFrame:
+    """``label`` and ``confidence`` of each record, next to its columns besides ``value``."""
+    scored = score_records(read_all(raw, **parse), scorer, scaler=scaler)
+    kept = [c for c in raw.columns if c != "value"]
+    return scored.select(*kept, F.coalesce("parse_error", "label").alias("label"), F.col("confidence").cast("double").alias("confidence"))
+
+
 def counters(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
     """The two job counters over a table of records with ``label`` and ``confidence``.
 
