@@ -102,6 +102,22 @@ def alert_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_columns(back.select("vec_id", "a.*"))
 
 
+@query(
+    "alert_records",
+    f"""{_DETECTED}
+SELECT vec_id, {NOW_MS} AS timestamp, source_ip, destination_ip, CAST(raw[1] AS INTEGER) AS destination_port, attack_type,
+       round(conf, 4) AS confidence, {", ".join(f"round(p[{i + 1}], 4) AS p{i}" for i in range(len(CLASSES)))},
+       CAST(raw[2] AS BIGINT) AS flow_duration, CAST(raw[3] AS INTEGER) AS total_fwd_packets, {severity_sql('attack_type')} AS severity
+FROM predicted WHERE {_NOT_NORMAL}""",
+)
+def alert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of the alerts' JSON: detection time and all probabilities too."""
+    found = detect_intrusions(flow_records(spark, sf_dir), scorer, now=F.lit(NOW_MS), keep=["vec_id"])
+    a = alert_json(found.alerts).select("vec_id", F.from_json("value", ALERT_SCHEMA).alias("a")).select("vec_id", "a.*")
+    each = [F.col(f"all_probabilities.`{c}`").alias(f"p{i}") for i, c in enumerate(CLASSES)]
+    return a.select(*[c for c in a.columns if c != "all_probabilities"], *each)
+
+
 @query(
     "score_linear",
     f"""{_PREDICTED}

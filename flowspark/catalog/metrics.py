@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.histogram import exact_quantiles, histogram, histogram_quantile
+from ..operators.histogram import exact_quantiles, histogram, histogram_quantile, merged_quantile, rank_error, sketch_windows
 from ..operators.prefix import prefix_sum
 from ..operators.series import (
     SECOND,
@@ -43,6 +43,7 @@ from ..plans.alerting import (
     rule_table,
     session_rules,
 )
+from ..session import work_dir
 from .registry import query
 from .views import table
 
@@ -444,6 +445,29 @@ def approximate_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "merged_p95",
+    """WITH lat AS (SELECT event_type, week(ts) AS week, CAST(trunc(value * 10) AS BIGINT) AS ms FROM events)
+SELECT event_type, week, count(*) AS n, round(quantile_cont(ms, 0.95), 4) AS exact, true AS within_error FROM lat GROUP BY ALL""",
+)
+def merged_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of an hour each, stored and merged by week, against the exact percentile and the ranks of all values."""
+    e = _events(spark, sf_dir).withColumn("ms", _latency())
+    path = work_dir(spark, "sketches")
+    sketch_windows(e, "ms", "ts", "1 hour", ["event_type"]).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("week", F.weekofyear("start").cast("bigint"))
+    found = merged_quantile(stored, 0.95, ["event_type", "week"])
+    rows = e.select("event_type", F.weekofyear("ts").cast("bigint").alias("week"), "ms")
+    ranks = rows.join(F.broadcast(found), ["event_type", "week"]).groupBy("event_type", "week", "n").agg(
+        F.avg((F.col("ms") < F.col("value")).cast("double")).alias("below"), F.avg((F.col("ms") <= F.col("value")).cast("double")).alias("upto")
+    )
+    near = 2 * rank_error()  # far beyond the 99 of 100 cases
+    within = (F.col("below") <= 0.95 + near) & (F.col("upto") >= 0.95 - near)
+    exact = exact_quantiles(rows, "ms", [0.95], ["event_type", "week"], F.floor(F.col("v") / 100))
+    exact = exact.select("event_type", "week", F.round("value", 4).alias("exact"))
+    return ranks.select("event_type", "week", "n", within.alias("within_error")).join(exact, ["event_type", "week"])
+
+
 _RUN_RATES = f"{_RUNS}, {rate_sql('a', 'runs', HOUR, 300)}, {_FAILED}, {rate_sql('b', 'failed', HOUR, 300)}"
 
 

@@ -15,7 +15,7 @@ from ..operators.scoring import load_model, score_model, score_onnx, tune
 from ..plans.comparison import compare_online_offline
 from ..plans.training import prepare, train_and_evaluate
 from ..session import work_dir
-from ..sources.records import read_training_csv
+from ..sources.records import read_training_csv, split_training_csv
 from .flows import predicted_vectors, scorer
 from .registry import query
 from .views import BIAS, VECTORS_SQL, WEIGHTS, class_name_sql, raw_values, scored_sql, table, vectors
@@ -109,6 +109,38 @@ def class_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("label", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
 
 
+_CSV_REASONS = f"""CASE vec_id % 8 WHEN 0 THEN 'bad_cell:{FEATURES[1].key}' WHEN 1 THEN 'empty:{FEATURES[3].key}' WHEN 2 THEN 'bad_columns'
+  WHEN 3 THEN 'bad_columns' WHEN 4 THEN 'empty:{LABEL_COLUMN}' ELSE {class_name_sql('label % 7')} END"""
+
+
+@query(
+    "training_lines",
+    f"""SELECT {_CSV_REASONS} AS outcome, count(*) AS n,
+  CAST(sum(CASE WHEN vec_id % 8 > 4 THEN trunc(embedding[1]::DOUBLE * 4.0::DOUBLE * {FEATURES[0].scale!r}::DOUBLE + {FEATURES[0].mean!r}::DOUBLE) END) AS BIGINT) AS ports
+FROM embeddings GROUP BY 1""",
+)
+def training_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A training file with unreadable cells, empty ones and too many or few: every line is a row or set aside."""
+    e = table(spark, sf_dir, "embeddings")
+    label = decode_label((F.col("label") % 7).cast("int"))
+    kind = F.col("vec_id") % 8
+    cells = [c.cast("string") for c in raw_values("embedding").values()] + [label]
+    cells[1] = F.when(kind == 0, F.lit("1x")).otherwise(cells[1])
+    cells[3] = F.when(kind == 1, F.lit("")).otherwise(cells[3])
+    cells[-1] = F.when(kind == 4, F.lit("")).otherwise(cells[-1])
+    line = F.array_join(F.array(*cells), ",")
+    line = F.when(kind == 2, F.concat(line, F.lit(",more"))).when(kind == 3, F.substring_index(line, ",", 40)).otherwise(line)
+    path = work_dir(spark, "training-lines")
+    e.select(line.alias("value")).write.text(path)
+    header = ",".join([*(f.key for f in FEATURES), LABEL_COLUMN])
+    spark.createDataFrame([(header,)], "value string").write.mode("append").text(path)
+    rows, bad = split_training_csv(spark, path)
+    port = F.col(f"`{FEATURES[0].key}`").cast("bigint")
+    good = rows.groupBy(F.col(f"`{LABEL_COLUMN}`").alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.sum(port).alias("ports"))
+    rest = bad.groupBy(F.col("parse_error").alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("ports"))
+    return good.unionByName(rest)
+
+
 @query(
     "compare_predictions",
     f"""{_PREDICTED}, a AS (SELECT vec_id, attack_type FROM predicted WHERE class_index <> 0),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..functions.fence import once
 from ..functions.schema import TRAINING_SCHEMA, UI_EVENT_SCHEMA
 
 CHECKPOINT_INTERVAL = "10 seconds"
@@ -171,3 +172,26 @@ def _ui_records(df: DataFrame, avro_schema: str | None) -> DataFrame:
 def read_training_csv(spark: SparkSession, path: str) -> DataFrame:
     """Training table with a header and a fixed schema; nothing is inferred."""
     return spark.read.csv(path, header=True, schema=TRAINING_SCHEMA, enforceSchema=False)
+
+
+def split_training_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(rows, bad)``: typed training rows, and the raw ``value`` and ``parse_error`` of all other lines.
+
+    A line is bad with ``bad_columns`` if it has not as many cells as the schema, with ``empty:<heading>`` or
+    ``bad_cell:<heading>`` for its first cell that is empty or does not read as its type.
+    Header lines, one per file, are neither. Cells do not run over line ends.
+    """
+    names = [f.name for f in TRAINING_SCHEMA.fields]
+    cells = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    lines = spark.read.text(path).filter(F.col("value") != ",".join(names))
+    read = lines.withColumn("_row", F.from_csv("value", f"{cells}, _corrupt string", options))
+    texts = {f"c{i}": F.col(f"_row.c{i}") for i in range(len(names))}
+    read = read.select("value", F.col("_row._corrupt").isNotNull().alias("_odd"), *[c.alias(n) for n, c in texts.items()])
+    typed = {f.name: F.col(f"c{i}").try_cast(f.dataType) for i, f in enumerate(TRAINING_SCHEMA.fields)}
+    reasons = [
+        F.when(F.col(f"c{i}").isNull(), f"empty:{n}").when(typed[n].isNull(), f"bad_cell:{n}") for i, n in enumerate(names)
+    ]
+    checked = once(read, **{"parse_error": F.when(F.col("_odd"), "bad_columns").otherwise(F.coalesce(*reasons))})
+    rows = checked.filter(F.col("parse_error").isNull()).select(*[c.alias(n) for n, c in typed.items()])
+    return rows, checked.filter(F.col("parse_error").isNotNull()).select("value", "parse_error")
