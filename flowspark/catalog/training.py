@@ -204,6 +204,25 @@ def logistic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.metrics
 
 
+@query(
+    "model_quality",
+    f"""{_PREDICTED}, named AS (SELECT vec_id, attack_type AS label FROM predicted),
+s AS ({_SPLIT_SQL.format(id="vec_id", label="label", source="named")})
+SELECT kind, label, count(*) AS support, true AS beats_majority
+FROM s, (SELECT unnest(['random_forest', 'logistic']) AS kind) WHERE split = 'test' GROUP BY ALL""",
+)
+def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both baselines on the held-out part: its rows per class, and whether they do better than the most frequent class."""
+    parts = []
+    for kind in ("random_forest", "logistic"):
+        t = train_and_evaluate(_labelled(spark, sf_dir), columns=None, label="attack", by="vec_id", kind=kind)
+        m = t.metrics.filter("support > 0")
+        share = m.agg((F.max("support") / F.sum("support")).alias("share"))
+        beats = (F.col("accuracy") > F.col("share")).alias("beats_majority")
+        parts.append(m.join(F.broadcast(share)).select(F.lit(kind).alias("kind"), "label", "support", beats))
+    return parts[0].unionByName(parts[1])
+
+
 @query("reloaded_model", "SELECT CAST(0 AS BIGINT) AS n_different, count(*) AS n FROM embeddings")
 def reloaded_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved and reloaded model scores every row as the fitted one does."""

@@ -25,10 +25,13 @@ def read_text_records(
     starting: str | None = None,
     ending: str | None = None,
     servers: str | None = None,
+    binary: bool = False,
     **options: str,
 ) -> DataFrame:
     """Raw records as text in column ``value``: flows, page views or UI events.
 
+    With ``binary`` the value stays bytes, as Avro records need it.
+
     ``source`` is a topic for ``kafka``, else a path (``text``: one record per line;
     ``parquet``: a string column ``value``). A stream starts at the latest offsets
     and then goes on from its checkpoint; a batch reads from the earliest to the
@@ -46,8 +49,9 @@ def read_text_records(
         )
         if not stream:
             reader = reader.option("endingOffsets", ending or "latest")
-        return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
-    return reader.format(format).schema("value string").options(**options).load(source)
+        rows = reader.options(**options).load()
+        return rows.select("value" if binary else F.col("value").cast("string").alias("value"))
+    return reader.format(format).schema(f"value {'binary' if binary else 'string'}").options(**options).load(source)
 
 
 def _need(servers: str | None) -> str:

@@ -1,5 +1,6 @@
 """Stores, joins, splits, streams and their restarts."""
 
+import datetime as dt
 import json
 from types import SimpleNamespace
 
@@ -7,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowspark.catalog.metrics import all_metrics
-from flowspark.functions.schema import FEATURES
-from flowspark.operators.enrich import enrich_geo, enrich_lookup, flag_sessions
-from flowspark.operators.evaluate import class_metrics, compare_predictions, mismatches, stratified_split
+from flowspark.functions.schema import FEATURES, TRAINING_SCHEMA
+from flowspark.operators.enrich import disjoint_ranges, enrich_geo, enrich_lookup, flag_sessions
+from flowspark.operators.evaluate import class_metrics, compare_predictions, mismatches, reconcile, stratified_split
+from flowspark.operators.histogram import merged_quantile, rank_error, sketch_windows
 from flowspark.operators.prefix import prefix_sum
 from flowspark.operators.windows import require_nonempty, windowed_counts
 from flowspark.plans.alerting import (
@@ -26,7 +28,7 @@ from flowspark.plans.alerting import (
 from flowspark.plans.intrusions import detect_intrusions, run_detection
 from flowspark.session import work_dir
 from flowspark.sources.hash_store import read_hash, upsert_hash
-from flowspark.sources.records import read_text_records, to_json_records, write_text_records
+from flowspark.sources.records import read_text_records, split_training_csv, to_json_records, write_text_records
 from flowspark.streaming.metrics import SCHEMA, MetricsListener, counter_totals, progress_rows
 
 SECOND = 1_000_000
@@ -296,3 +298,60 @@ def test_default_rules_run(spark, sf_dir):
 def test_json_records_round_trip(spark):
     df = spark.createDataFrame([(1, "a\"b")], "x int, y string")
     assert json.loads(to_json_records(df).first()["value"]) == {"x": 1, "y": 'a"b'}
+
+
+def test_binary_records_keep_their_bytes(spark, tmp_path):
+    path = str(tmp_path / "avro")
+    spark.createDataFrame([(bytearray(b"\x00\xff\x80"),)], "value binary").write.parquet(path)
+    got = read_text_records(spark, path, format="parquet", stream=False, binary=True).first()
+    assert bytes(got["value"]) == b"\x00\xff\x80"
+
+
+def test_training_lines_are_rows_or_set_aside(spark, tmp_path):
+    names = TRAINING_SCHEMA.names
+    good = ["1"] * (len(names) - 1) + ["DoS"]
+    lines = [",".join(names), ",".join(good), ",".join(["x"] + good[1:]), ",".join(good[:-1]), ",".join(good + ["y"]), ",".join(good[:-1] + [""]), ",".join(["1.5"] + good[1:])]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "t"))
+    rows, bad = split_training_csv(spark, str(tmp_path / "t"))
+    assert [(r[0], r[-1]) for r in rows.collect()] == [(1, "DoS")]
+    assert sorted((r["parse_error"], lines.index(r["value"])) for r in bad.collect()) == sorted(
+        [(f"bad_cell:{names[0]}", 2), ("bad_columns", 3), ("bad_columns", 4), (f"empty:{names[-1]}", 5), (f"bad_cell:{names[0]}", 6)]
+    )
+
+
+def test_reconcile_names_every_case(spark):
+    schema = "k string, label string, confidence double"
+    online = [("a", "x", 0.5), ("b", "x", 0.5), ("b", "x", 0.5), ("c", "y", 0.5), ("d", "x", 0.6), ("e", "x", None), (None, "x", 0.1), ("g", None, None)]
+    offline = [("a", "x", 0.5 + 1e-7), ("b", "x", 0.5), ("c", "x", 0.5), ("d", "x", 0.5), ("e", "x", 0.5), (None, "x", 0.1), ("f", "x", 0.5), ("g", None, None)]
+    got = {r["k"]: r["outcome"] for r in reconcile(spark.createDataFrame(online, schema), spark.createDataFrame(offline, schema), "k").collect()}
+    assert got == {"a": "same", "b": "doubled", "c": "differing", "d": "differing", "e": "differing", None: "same", "f": "lost", "g": "same"}
+    back = {r["k"]: r["outcome"] for r in reconcile(spark.createDataFrame(offline, schema), spark.createDataFrame(online, schema), "k").collect()}
+    assert back["f"] == "extra"
+
+
+def test_narrowest_range_wins(spark):
+    ranges = [(0, 400_000, "w"), (100, 200, "n"), (150, 300, "m"), (150, 300, "l"), (0, 400_000, "v"), (70_000, 60_000, "never"), (None, 5, "x"), (200_000, 200_000, "one")]
+    df = spark.createDataFrame(ranges, "lo bigint, hi bigint, country string")
+    pieces = [tuple(r)[1:] for r in disjoint_ranges(df).orderBy("lo").collect()]
+    for (_, a, _), (b, _, _) in zip(pieces, pieces[1:]):
+        assert a < b  # disjoint
+    for n in (0, 99, 100, 150, 200, 201, 300, 301, 65_535, 65_536, 199_999, 200_000, 400_000, 400_001):
+        around = [(hi - lo, lo, c) for lo, hi, c in ranges if lo is not None and lo <= n <= hi]
+        assert [c for lo, hi, c in pieces if lo <= n <= hi] == ([min(around)[2]] if around else [])
+
+
+def test_counters_by_all_labels(spark):
+    ts = dt.datetime(2025, 6, 10)
+    rows = [(ts, "b", {"job": "j", "le": le, "batch": str(n)}, v) for n in (0, 1) for le, v in (("1", 2.0), ("+Inf", 3.0))]
+    df = spark.createDataFrame(rows + rows[:1], SCHEMA)
+    got = {(r["labels"]["le"], r["value"]) for r in counter_totals(df).collect()}
+    assert got == {("1", 2.0), ("1", 4.0), ("+Inf", 3.0), ("+Inf", 6.0)}
+    assert "batch" not in counter_totals(df).first()["labels"]
+
+
+def test_merged_sketches_are_near_the_rank(spark):
+    df = spark.range(20_000).select(F.timestamp_seconds("id").alias("ts"), (F.col("id") * 7919 % 20_000).alias("v"), (F.col("id") % 2).alias("g"))
+    s = sketch_windows(df, "v", "ts", "10 minutes", ["g"], k=200)
+    assert s.count() == 2 * 34
+    for r in merged_quantile(s, 0.9, ["g"], k=200).collect():
+        assert r["n"] == 10_000 and abs(r["value"] / 20_000 - 0.9) < 3 * rank_error(200)
