@@ -1,8 +1,9 @@
-"""Near-duplicate documents through MinHash bands of fixed depth, in place of an LSH forest."""
+"""Near-duplicate documents through an LSH forest: sorted orders of MinHash signatures, searched to the depth each region calls for."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,9 +17,11 @@ from .shingles import class_key, normal, shingle_sets, signatures
 
 #: 12 orders of 64 values: a pair of similarity 0.85 shares the first three values of at
 #: least one order but for one case in 90,000.
-HASHES, TREES, DEPTH = 64, 12, 3
-#: Members that are compared in one task; a larger region is cut into blocks and all
-#: pairs of its blocks are compared.
+HASHES, TREES = 64, 12
+#: A region of documents that share their first value in an order is compared whole up to so many
+#: members; a more crowded one is parted by the second value, then by the third.
+SPARSE = (16, 64)
+#: Members that are compared at a time; a region of three values that is larger is cut into blocks along its order.
 BLOCK = 512
 #: A pair goes on to the full sets if so many standard errors above its signatures' share reach the bound.
 ERRORS = 5.0
@@ -108,7 +111,7 @@ def near_duplicates(
     text_col: str = "text",
     shingle: int = 5,
     trees: int = TREES,
-    depth: int = DEPTH,
+    sparse: tuple[int, ...] = SPARSE,
 ) -> DataFrame:
     """``doc_id`` (named ``id_col``), ``n_shingles``, ``component_id`` and ``kept`` for each row of ``docs``.
 
@@ -116,13 +119,18 @@ def near_duplicates(
     the sequence as one; none: empty, linked with nothing). Two texts are linked if
     ``den * intersection >= num * union``; ``component_id`` is the smallest id reachable.
 
-    Equal word sequences are one class, stood for by its smallest id. Each class has
-    ``trees`` keys, the first ``depth`` values of a rotation of its signature. Classes
-    that share a key form a region; it is sorted by the rotated signature, which only
-    numbers its members, and a large one is cut along that order into blocks. A pair
-    without a common key is never compared. Blocks compare signatures; what could reach the bound is compared on
-    full sets, and of the links found only a star per group leaves the task. No region,
-    block or partner is capped: the pairs of all blocks of a region are compared.
+    Equal word sequences are one class, stood for by its smallest id. Each of ``trees`` orders sorts
+    the classes by a rotation of their signatures; neighbours with a long common prefix are
+    candidates. How long depends on the region: those who share the first value are compared whole
+    if they are at most ``sparse[0]``, else parted by the second, and so on; after the last there is no limit.
+    Members are compared by signature, and what could reach the bound on full sets; of
+    the links found only a star per group leaves the task.
+
+    A crowded region is cut along its order into blocks. First only members of one block, and the
+    blocks' first members, are compared: copies of one text are connected by that. Then the region's members
+    are sorted by what they are connected with, and all pairs of blocks are compared but those
+    that lie wholly in one component. So no pair between components is left out, and a group
+    of n near copies costs about n. No region, block or partner is capped.
 
     Null ids: such a row is part of its class, but never stands for it; alone it has a
     null ``component_id``. ``kept``: the id is the component's (null with null). Rows
@@ -156,33 +164,45 @@ def near_duplicates(
     classes = rows.filter("k1 is not null").groupBy("k1", "k2").agg(F.min("_id").alias("rid"), F.first("sig").alias("sig"))
     classes = stored(classes.filter("rid is not null"), "near-classes")
 
+    depth = len(sparse) + 1
+
     def keys_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             sig = np.frombuffer(b"".join(batch), np.uint32).reshape(len(batch), HASHES)
-            out = np.zeros((len(batch), trees), np.uint64)
+            out = np.zeros((len(batch), trees, depth), np.uint64)
             for t in range(trees):
-                for d in range(depth):
-                    out[:, t] = (out[:, t] ^ sig[:, (t * step + d) % HASHES]) * np.uint64(0x9E3779B97F4A7C15)
-                    out[:, t] ^= out[:, t] >> np.uint64(29)
-            yield pd.Series(list(out.view(np.int64)))
-
-    keyed = classes.select("rid", F.posexplode(F.pandas_udf(keys_of, "array<bigint>")("sig")).alias("tree", "key"))
-    keyed = stored(keyed, "near-keys")
-    shared = keyed.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = stored(shared.withColumnsRenamed({"tree": "_t", "key": "_k"}), "near-shared")
-    members = keyed.join(shared, (F.col("tree") == F.col("_t")) & (F.col("key") == F.col("_k"))).select("tree", "key", "n", "rid")
+                key = np.zeros(len(batch), np.uint64)
+                for d in range(depth):  # a key for each length of the prefix
+                    key = (key ^ sig[:, (t * step + d) % HASHES]) * np.uint64(0x9E3779B97F4A7C15)
+                    key ^= key >> np.uint64(29)
+                    out[:, t, d] = key
+            yield pd.Series([list(x) for x in out.view(np.int64)])
+
+    keyed = classes.select("rid", F.posexplode(F.pandas_udf(keys_of, "array<array<bigint>>")("sig")).alias("tree", "keys"))
+    rest, regions = stored(keyed, "near-keys"), []
+    for d in range(depth):
+        at = rest.withColumn("key", F.get("keys", F.lit(d)))
+        shared = at.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        shared = stored(shared.withColumnsRenamed({"tree": "_t", "key": "_k"}), "near-shared")
+        found = at.join(shared, (F.col("tree") == F.col("_t")) & (F.col("key") == F.col("_k"))).drop("_t", "_k")
+        crowded = F.col("n") > (sparse[d] if d < len(sparse) else F.lit(1 << 62))
+        found = stored(found, "near-found") if d + 1 < depth else found
+        # regions of each depth are numbered as orders of their own
+        regions.append(found.filter(~crowded).select((F.col("tree") + d * trees).alias("tree"), "key", "n", "rid"))
+        rest = found.filter(crowded).select("rid", "tree", "keys")
+    members = reduce(DataFrame.unionByName, regions)
     sig = classes.select(F.col("rid").alias("_r"), "sig")
     members = members.join(sig, F.col("rid") == F.col("_r")).drop("_r")
-    order = F.concat(F.expr(f"substring(sig, tree * {4 * step} + 1, {4 * HASHES})"), F.expr(f"substring(sig, 1, tree * {4 * step})"))
+    turn = f"(tree % {trees}) * {4 * step}"
+    order = F.concat(F.expr(f"substring(sig, {turn} + 1, {4 * HASHES})"), F.expr(f"substring(sig, 1, {turn})"))
     placed = global_rank(members.withColumn("_order", order), ["tree", "key", "_order", "rid"], "at", "near-members").drop("_order")
-    starts = placed.groupBy("tree", "key").agg(F.min("at").alias("start")).withColumnsRenamed({"tree": "_t", "key": "_k"})
-    large = stored(starts.join(shared.filter(F.col("n") > BLOCK), ["_t", "_k"]), "near-large")
-    small = placed.filter(F.col("n") <= BLOCK).select("tree", "key", F.lit(0).alias("i"), F.lit(0).alias("j"), "rid", "sig")
-    hot = placed.filter(F.col("n") > BLOCK).join(large.drop("n"), (F.col("tree") == F.col("_t")) & (F.col("key") == F.col("_k")))
-    hot = hot.withColumn("b", F.floor((F.col("at") - F.col("start")) / BLOCK).cast("int")).withColumn("last", F.floor((F.col("n") - 1) / BLOCK).cast("int"))
-    hot = hot.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    hot = hot.select("tree", "key", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "rid", "sig")
-    blocks = small.unionByName(hot)
+    small = placed.filter(F.col("n") <= BLOCK).select("tree", "key", F.lit(0).alias("i"), F.lit(0).alias("j"), "rid", "sig", F.col("rid").alias("root"))
+    hot = _blocks(placed.filter(F.col("n") > BLOCK), "near-hot").withColumn("root", F.col("rid"))
+    inside = hot.select("tree", "key", F.col("b").alias("i"), F.col("b").alias("j"), "rid", "sig", "root")
+    # the first members of so many blocks meet, and the last of these those of the next blocks
+    group = F.floor(F.col("b") / (BLOCK - 1)).cast("int")
+    groups = F.when((F.col("b") > 0) & (F.col("b") % (BLOCK - 1) == 0), F.array(group - 1, group)).otherwise(F.array(group))
+    firsts = hot.filter("first").select("tree", "key", F.lit(-1).alias("i"), F.explode(groups).alias("j"), "rid", "sig", "root")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Groups of members that signatures do not tell apart, from rows sorted by block."""
@@ -198,13 +218,13 @@ def near_duplicates(
             end = len(held) if batch is None else int(starts[-1])
             if end == 0:
                 continue
-            rids = held.rid.to_numpy(np.int64)[:end]
+            rids, roots = (held[c].to_numpy(np.int64)[:end] for c in ("rid", "root"))
             s = np.frombuffer(b"".join(held.sig[:end]), np.uint32).reshape(end, HASHES)
             block = np.cumsum(new[:end]) - 1
             size = np.bincount(block)
             near_a, near_b = [], []
             for delta in range(1, int(size.max())):
-                a = np.flatnonzero(block[:-delta] == block[delta:])
+                a = np.flatnonzero((block[:-delta] == block[delta:]) & (roots[:-delta] != roots[delta:]))
                 ok = _alike(s, a, a + delta, least)
                 near_a.append(a[ok])
                 near_b.append(a[ok] + delta)
@@ -218,15 +238,6 @@ def near_duplicates(
                 yield pd.DataFrame({"name": names.to_numpy(np.int64), "rid": out.rid.to_numpy()})
             held = held.iloc[end:].reset_index(drop=True) if batch is not None else None
 
-    sort = ["tree", "key", "i", "j", "rid"]
-    groups = blocks.repartition("tree", "key", "i", "j").sortWithinPartitions(*sort).mapInPandas(compare, "name bigint, rid bigint")
-    groups = stored(groups.distinct(), "near-groups")
-
-    wanted = groups.groupBy("rid").agg(F.collect_list("name").alias("names"))
-    # the same exchange at every size, so that what a run needs grows with its input
-    texts = base.select("_id", "_text").filter("_id is not null").join(wanted.hint("merge"), F.col("_id") == F.col("rid"))
-    texts = texts.select(F.explode("names").alias("name"), "rid", "_text")
-
     def confirm(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["rid", "_text"], kind="stable").drop_duplicates()
         rids = group.rid.to_numpy(np.int64)
@@ -235,8 +246,21 @@ def near_duplicates(
         other = np.flatnonzero(root != np.arange(len(rids)))
         return pd.DataFrame({"a": rids[other], "b": rids[root[other]]})
 
-    links = stored(texts.groupBy("name").applyInPandas(confirm, "a bigint, b bigint"), "near-links")
-    roots = connected(links, "near-roots")
+    def links_of(blocks: DataFrame) -> DataFrame:
+        by_block = blocks.repartition("tree", "key", "i", "j").sortWithinPartitions("tree", "key", "i", "j", "rid")
+        groups = stored(by_block.mapInPandas(compare, "name bigint, rid bigint").distinct(), "near-groups")
+        wanted = groups.groupBy("rid").agg(F.collect_list("name").alias("names"))
+        # the same exchange at every size, so that what a run needs grows with its input
+        texts = base.select("_id", "_text").filter("_id is not null").join(wanted.hint("merge"), F.col("_id") == F.col("rid"))
+        texts = texts.select(F.explode("names").alias("name"), "rid", "_text")
+        return stored(texts.groupBy("name").applyInPandas(confirm, "a bigint, b bigint"), "near-links")
+
+    links = links_of(small.unionByName(inside).unionByName(firsts))
+    roots = stored(connected(links, "near-roots"), "near-roots")
+    left = _apart(hot, roots)
+    if left is not None:
+        links = links.unionByName(links_of(left))
+        roots = connected(links, "near-roots")
     of_class = classes.select("k1", "k2", "rid").join(roots, F.col("rid") == F.col("node"), "left")
     of_class = of_class.select(F.col("k1").alias("_c1"), F.col("k2").alias("_c2"), F.coalesce("root", "rid").alias("component_id"))
     of_class = stored(of_class, "near-components")
@@ -248,6 +272,39 @@ def near_duplicates(
     )
 
 
+def _blocks(members: DataFrame, name: str) -> DataFrame:
+    """Members of large regions, ranked in ``at``, with their block ``b`` and whether they are its first."""
+    members = stored(members, name)
+    starts = members.groupBy("tree", "key").agg(F.min("at").alias("start")).withColumnsRenamed({"tree": "_t", "key": "_k"})
+    rows = members.join(starts, (F.col("tree") == F.col("_t")) & (F.col("key") == F.col("_k"))).drop("_t", "_k")
+    place = F.col("at") - F.col("start")
+    return rows.withColumn("b", F.floor(place / BLOCK).cast("int")).withColumn("first", place % BLOCK == 0).drop("start", "at")
+
+
+def _apart(hot: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """Pairs of blocks of large regions that still hold members of several components; None without any.
+
+    The members are sorted by component, so that a large one fills blocks of its own:
+    two blocks of one component are no pair.
+    """
+    hot = hot.drop("root", "b", "first").join(roots, F.col("rid") == F.col("node"), "left")
+    hot = stored(hot.withColumn("root", F.coalesce("root", "rid")).drop("node"), "near-apart")
+    ends = [F.min("root").alias("lo"), F.max("root").alias("hi")]
+    several = hot.groupBy("tree", "key").agg(*ends).filter("lo <> hi").select(F.col("tree").alias("_t"), F.col("key").alias("_k"))
+    several = stored(several, "near-several")
+    if several.isEmpty():
+        return None
+    rows = hot.join(several, (F.col("tree") == F.col("_t")) & (F.col("key") == F.col("_k"))).drop("_t", "_k")
+    rows = _blocks(global_rank(rows, ["tree", "key", "root", "rid"], "at", "near-by-root"), "near-left")
+    rows = stored(rows, "near-left")
+    blocks = stored(rows.groupBy("tree", "key", "b").agg(*ends), "near-blocks")
+    one, other = (blocks.withColumnsRenamed({"b": x, "lo": f"lo_{x}", "hi": f"hi_{x}"}) for x in ("i", "j"))
+    pairs = one.join(other, ["tree", "key"]).filter("i <= j")
+    pairs = pairs.filter("NOT (lo_i = hi_i AND lo_j = hi_j AND lo_i = lo_j)").select("tree", "key", "i", "j")
+    both = pairs.withColumn("b", F.explode(F.array_distinct(F.array("i", "j"))))
+    return rows.join(both, ["tree", "key", "b"]).select("tree", "key", "i", "j", "rid", "sig", "root")
+
+
 def _with_end(batches):
     yield from batches
     yield None

@@ -244,6 +244,42 @@ def test_large_region_is_compared_whole(docs):
     assert got == {i: c for i, (_, c) in brute_components(rows, 85, 100).items()}
 
 
+def test_crowded_regions_of_several_groups(docs, monkeypatch):
+    from flowspark.llm import near_dup
+
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    seen = []
+    monkeypatch.setattr(near_dup, "_apart", lambda *a, f=near_dup._apart: seen.append(f(*a)) or seen[-1])
+    rng, common, rows = random.Random(12), [f"c{i}" for i in range(150)], []
+    for g in range(12):  # the groups share most words, so that they meet in crowded regions, but are no copies of each other
+        base = [*common, *(f"g{g}x{i}" for i in range(40))]
+        for _ in range(rng.choice([1, 3, 30])):
+            w = list(base)
+            for _ in range(rng.randint(0, 2)):
+                w[rng.randrange(len(w))] = f"n{rng.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(rows), num=85, sparse=(2, 4)).collect()}
+    want = {i: c for i, (_, c) in brute_components(rows, 85, 100).items()}
+    assert got == want and len(set(want.values())) > 5
+    assert seen[0] is not None and seen[0].count() > 0  # what blocks and their first members left open
+
+
+def test_recall_of_pairs_at_the_bound(docs):
+    rng, rows, pairs = random.Random(13), [], 0
+    for g in range(250):
+        w = [f"g{g}w{i}" for i in range(104)]  # 100 shingles; two words of the ends' sides changed leave 0.85 to 0.9 in common
+        other = list(w)
+        for at in rng.sample(range(10, 94), 1) + [0, 103][: rng.randint(1, 2)]:
+            other[at] = f"n{rng.randint(0, 10**6)}"
+        rows += [(2 * g, " ".join(w)), (2 * g + 1, " ".join(other))]
+    want = {i: c for i, (_, c) in brute_components(rows, 85, 100).items()}
+    pairs = sum(want[2 * g + 1] == 2 * g for g in range(250))
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(rows), num=85).collect()}
+    found = sum(got[2 * g + 1] == want[2 * g + 1] == 2 * g for g in range(250))
+    assert pairs > 100 and found >= 0.99 * pairs and all(got[i] in (i, want[i]) for i in got)
+
+
 def test_near_duplicates_of_odd_rows(docs):
     rows = [(None, "one two three four five six"), (3, "one two three four five six"), (3, "one two three four five six"), (2, "x " * 30_000), (None, "all alone in this world here")]
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs(rows).withColumn("kept", F.lit(1))).collect()), key=str)
