@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.session import ship_package
@@ -19,7 +19,8 @@ from .common import stored, text_key
 TRAIN_ROWS, TRAIN_WORDS, OTHER_WORDS, LANDMARKS = 20_000, 500, 6_000, 400
 #: Subsequences of 4 characters within 6, each character beyond 4 costing this factor.
 GAP, SPAN, ORDER, BITS = 0.5, 6, 4, 5
-WORD_CHARS, CACHE_WORDS = 40, 500_000
+#: Longer runs of letters are looked at in windows of so many, each of which begins so many after the last.
+WORD_CHARS, WINDOW_STEP, CACHE_WORDS = 40, 20, 500_000
 #: A training word in at least so many texts is marked if toxic texts hold it so much more often that
 #: chance would hardly show it for one of all words tested: a likelihood ratio of twice the
 #: log of their number, and this margin.
@@ -39,6 +40,15 @@ def cleaned(token: str) -> str:
     return token if token.isalpha() else "".join(_CUT.findall(token))
 
 
+def pieces(token: str) -> list[str]:
+    """What the kernel sees of a token: its letters, of a long one each run of letters and each window of them all."""
+    word = cleaned(token)
+    if len(word) <= WORD_CHARS:
+        return [word]
+    runs = [r for r in _CUT.findall(token) if len(r) > 2]
+    return [w[i : i + WORD_CHARS] for w in (word, *runs) for i in range(0, max(len(w) - WINDOW_STEP, 1), WINDOW_STEP)]
+
+
 def _codes() -> np.ndarray:
     table = np.full(0x3000, _OTHER, np.uint8)
     for i in range(26):
@@ -161,6 +171,20 @@ def train_words(marked: list[str], others: list[str], ridge: float = 1e-4, steps
     return WordModel(weights, float(w[-1]))
 
 
+def _trained(spark: SparkSession, marked: list[str], others: list[str]) -> WordModel:
+    """``train_words`` in a task: the driver holds the words and the weights only."""
+    rows = [(i, w, i < len(marked)) for i, w in enumerate(marked + others)]
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = pd.concat(list(batches)).sort_values("place")
+        model = train_words(words.word[words.marked].tolist(), words.word[~words.marked].tolist())
+        yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    words = spark.createDataFrame(rows, "place int, word string, marked boolean").coalesce(1)
+    found = words.mapInPandas(fit, "weights binary, bias double").collect() if rows else []
+    return WordModel(np.frombuffer(found[0].weights, np.float32), found[0].bias) if found else train_words([], [])
+
+
 class Scorer:
     """Features of whole texts; margins of words are kept for the worker."""
 
@@ -174,8 +198,9 @@ class Scorer:
         if len(self.cold) + len(new) > CACHE_WORDS:
             self.cold, self.hot = set(), {}
             new = list(tokens)
-        words = [cleaned(t) for t in new]
-        for t, m in zip(new, self.model.margins(words)):
+        parts = [pieces(t) for t in new]
+        margins = self.model.margins([w for p in parts for w in p])
+        for t, m in zip(new, np.maximum.reduceat(margins, np.cumsum([0, *map(len, parts[:-1])]))):
             if m > 0:
                 self.hot[t] = float(m)
             else:
@@ -265,12 +290,15 @@ def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxi
     label = F.col(label_col).cast("int")
     rows = labelled.filter(label.isin(0, 1)).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), label.alias("y"))
     h = text_key(F.col("text"))
-    rows = rows.groupBy(h[0].alias("h1"), h[1].alias("h2")).agg(F.max("y").alias("y"), F.first("text").alias("text"))
-    rows = stored(rows.orderBy("h1", "h2").limit(max_rows), "toxicity-rows")
+    # the keys are chosen first, so that only texts that train are moved
+    keys = rows.groupBy(h[0].alias("h1"), h[1].alias("h2")).agg(F.max("y").alias("y")).orderBy("h1", "h2").limit(max_rows)
+    keys = stored(keys, "toxicity-keys")
+    texts = rows.select(h[0].alias("h1"), h[1].alias("h2"), "text").join(F.broadcast(keys), ["h1", "h2"])
+    rows = stored(texts.groupBy("h1", "h2").agg(F.first("y").alias("y"), F.first("text").alias("text")), "toxicity-rows")
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            w = [sorted({cleaned(t)[:WORD_CHARS] for t in text.lower().split()} - {""}) for text in b.text]
+            w = [sorted({p for t in text.lower().split() for p in pieces(t)} - {""}) for text in b.text]
             yield pd.DataFrame({"word": [x for ws in w for x in ws], "y": np.repeat(b.y.to_numpy(), [len(ws) for ws in w])})
 
     counts = rows.repartition("h1").select("text", "y").mapInPandas(words, "word string, y int").groupBy("word").agg(F.sum("y").alias("p"), F.count(F.lit(1)).alias("n"))
@@ -287,7 +315,7 @@ def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxi
     marked = [x[0] for x in counts.filter(is_tested & (F.col("z") >= float(bound))).orderBy(F.desc("z"), "word").limit(TRAIN_WORDS).collect()]
     plain = counts.filter((F.col("z") < 3.0) & (F.col("n") > F.col("p")))
     others = [x[0] for x in plain.orderBy(F.desc(F.col("n") - F.col("p")), F.xxhash64("word"), "word").limit(OTHER_WORDS).collect()]
-    model = train_words(marked, others)
+    model = _trained(spark, marked, others)
     shared = spark.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -380,6 +380,16 @@ def test_gapped_insults(spark, docs, toxic_model):
     assert all(got[i] < 0.5 for i in (5, 6, 7, 8)), got
 
 
+def test_every_letter_of_long_tokens_is_looked_at():
+    from flowspark.llm.toxicity import WINDOW_STEP, WORD_CHARS, pieces
+
+    word = "".join(chr(97 + i % 26) for i in range(500))
+    parts = pieces(word)
+    assert all(len(p) <= WORD_CHARS for p in parts) and pieces("short") == ["short"] and pieces("s.h-o*rt") == ["short"]
+    assert all(any(word[i : i + WINDOW_STEP] in p for p in parts) for i in range(len(word) - WINDOW_STEP + 1))
+    assert "insult" in pieces("-".join(["harmless"] * 20 + ["insult"]))
+
+
 def test_scores_without_anything_to_learn(spark, docs):
     model = train(spark.createDataFrame([], "text string, toxic int"))
     table = docs([(1, "a"), (2, None)])
