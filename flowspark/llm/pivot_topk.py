@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +20,18 @@ PIVOTS, PIVOT_SAMPLE = 64, 4096
 CHUNK_ROWS, GROUP_QUERIES = 1024, 4096
 _CHUNK = "chunk bigint, pivot int, low double, high double, ids binary, dists binary, vectors binary"
 _FOUND = "query_id bigint, vec_id bigint, score bigint"
+#: Vectors whose squared length (after scaling) reaches this are compared in Python integers.
+WIDE = float(1 << 58)
+_ROWS, _BLOCK = 256, 2048
 
 
-def scaled(vector: Column) -> Column:
-    """floor(256 * x) of each component; null if one is null or does not fit 31 bits (or is not finite)."""
-    x = F.transform(vector, lambda v: v.cast("double") * 256)
-    fits = F.forall(x, lambda v: F.coalesce(F.abs(v) < float(1 << 31), F.lit(False)) & ~F.isnan(v))
-    return F.when(vector.isNotNull() & fits, F.transform(x, lambda v: F.floor(F.when(F.abs(v) < float(1 << 31), v)).cast("bigint")))
+def _finite(vector: Column) -> Column:
+    return F.coalesce(F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
+
+
+def whole(x: float) -> int:
+    """floor(256 * x)."""
+    return math.floor(256 * x) if abs(x) < float(1 << 52) else int(x) * 256
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -100,27 +106,74 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, *, id_col: str = "ve
     chunk it lies in; the k-th distance found there is its radius. It then visits the
     chunks that the triangle inequality and the pivots' bisectors cannot rule out.
 
-    Vectors that are null, hold null or non-finite components, have no id, or have
-    not the table's usual length (``dim``, else the most frequent one) take no part.
-    Rows of one id are one vector (the least of them). Fewer than k others: all of them.
+    Vectors that are null, empty, or hold null or non-finite components, or have no id, take
+    no part. Rows of one id are one vector (the least of them). Fewer than k others: all of
+    them. Vectors of another length than usual (``dim``, else the most frequent one; shorter
+    ones count as filled with zeros) or with a squared length of ``WIDE`` or more are
+    not in the index: as queries and as candidates they are compared with every vector, in
+    blocks and in exact integers. A score that no long holds is null, in its right rank.
     """
     spark = vectors.sparkSession
     ship_package(spark)
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), scaled(F.col(vector_col)).alias("v"), is_query.alias("q"))
-    rows = rows.filter(F.col("v").isNotNull() & F.col("id").isNotNull() & (F.size("v") > 0))
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"), F.max("q").alias("q"))
-    rows = stored(rows, "topk-vectors")
+    v = F.col(vector_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), v.alias("x"), is_query.alias("q"))
+    rows = rows.filter(F.col("x").isNotNull() & F.col("id").isNotNull() & (F.size("x") > 0)).filter(_finite(F.col("x")))
+    rows = rows.groupBy("id").agg(F.min("x").alias("x"), F.max("q").alias("q"))
+    square = F.aggregate("x", F.lit(0.0), lambda s, x: s + (x * 256) * (x * 256))
+    rows = stored(rows.withColumn("square", square), "topk-vectors")
     if dim is None:
-        usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+        usual = rows.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
         dim = usual["n"] if usual else 0
-    rows = rows.filter(F.size("v") == dim)
-    norm = F.aggregate("v", F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x.cast("decimal(19,0)") * x.cast("decimal(19,0)")).cast("decimal(38,0)"))
+    indexed = (F.size("x") == dim) & (F.col("square") < WIDE)
+    odd, all_rows = rows.filter(~indexed), rows
+    rows = rows.filter(indexed).select("id", F.transform("x", lambda x: F.floor(x * 256).cast("bigint")).alias("v"), "q")
+    found = _indexed(rows, k)
+    if odd.isEmpty():
+        rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    more = _all_scores(odd.filter("q"), all_rows, k).unionByName(_all_scores(all_rows.filter(F.col("q") & indexed), odd, k))
+    lines = more.unionByName(found.withColumn("score", F.col("score").cast("string")))
+
+    def best(group: pd.DataFrame) -> pd.DataFrame:
+        hits = sorted({(-int(s), i) for s, i in zip(group.score, group.vec_id)})[:k]
+        fit = [-s if -(1 << 63) <= -s < 1 << 63 else None for s, _ in hits]
+        return pd.DataFrame(
+            {"query_id": group.query_id.iloc[0], "rank": range(1, len(hits) + 1), "vec_id": [i for _, i in hits], "score": pd.array(fit, "Int64")}
+        )
+
+    return lines.groupBy("query_id").applyInPandas(best, "query_id bigint, rank int, vec_id bigint, score bigint")
+
+
+def _all_scores(queries: DataFrame, others: DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score`` (as text): the k best of ``others`` per query and block, by plain comparison."""
+    groups, blocks = (max(1, -(-df.count() // n)) for df, n in ((queries, _ROWS), (others, _BLOCK)))
+
+    def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        at = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+        return df.select("id", "x", at.alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        width = max((len(x) for x in [*left.x, *right.x]), default=0)
+        q, c = (np.array([[whole(v) for v in x] + [0] * (width - len(x)) for x in side.x], object).reshape(len(side), width) for side in (left, right))
+        out, ids = [], right.id.tolist()
+        for me, row in zip(left.id, q):
+            scores = c @ row if len(ids) else []
+            hits = sorted((-s, i) for s, i in zip(scores, ids) if i != me)[:k]
+            out += [(me, i, str(-s)) for s, i in hits]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    one = dealt(queries, "g", groups, "b", blocks).groupBy("g", "b")
+    other = dealt(others, "b", blocks, "g", groups).groupBy("g", "b")
+    return one.cogroup(other).applyInPandas(compare, "query_id bigint, vec_id bigint, score string")
+
+
+def _indexed(rows: DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: what the index finds, the k best of each query among it."""
+    spark = rows.sparkSession
+    norm = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x * x)
     top = rows.agg(F.max(norm)).first()[0]
     if top is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    top = int(top)
-    if top >= 1 << 60:
-        raise ValueError("inner products would not fit 64 bits")
+        return spark.createDataFrame([], _FOUND)
     exact = top >= 1 << 51
 
     sample = np.array([r[0] for r in rows.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("v").collect()], np.int64)
@@ -204,6 +257,4 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, *, id_col: str = "ve
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     more = visits.groupBy("chunk", "part").cogroup(targets.drop("queries").groupBy("chunk", "part")).applyInPandas(visit, _FOUND)
-    found = first.filter("chunk < 0").select("query_id", "vec_id", "score").unionByName(more)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return first.filter("chunk < 0").select("query_id", "vec_id", "score").unionByName(more)

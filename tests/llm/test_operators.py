@@ -149,10 +149,11 @@ def test_top_k_is_exact(spark):
     rows = [(i, v) for i, v in enumerate(vectors)] + [(1000, None), (1001, [1.0, None] + [0.0] * 4), (1002, [float("nan")] * 6), (1003, [float("inf")] * 6), (None, vectors[0]), (5, vectors[5]), (1004, [1.0])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
     got = sorted(tuple(r) for r in top_k(table, F.col("vec_id") % 10 == 0, 5).collect())
-    ints = np.floor(256 * np.array(vectors)).astype(np.int64)
+    ints = np.floor(256 * np.array([*vectors, [1.0] + [0.0] * 5])).astype(np.int64)  # the short one counts as filled with zeros
+    ids = [*range(400), 1004]
     want = []
     for q in range(0, 400, 10):
-        scores = sorted((-int(s), i) for i, s in enumerate(ints @ ints[q]) if i != q)[:5]
+        scores = sorted((-int(s), i) for i, s in zip(ids, ints @ ints[q]) if i != q)[:5]
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
     assert got == sorted(want)
     assert top_k(table.limit(0), F.col("vec_id") % 10 == 0, 5).collect() == []
@@ -160,6 +161,23 @@ def test_top_k_is_exact(spark):
     assert len(few) == 2
 
 
+def test_top_k_of_large_and_unequal_vectors(spark):
+    from flowspark.llm.pivot_topk import whole
+
+    rng = random.Random(2)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(120)]
+    rows += [(i, [rng.uniform(-1, 1) * 10 ** rng.choice([6, 7, 9, 15]) for _ in range(3)]) for i in range(200, 230)]
+    rows += [(300, [9e6, 1.0]), (310, [4.2e6, 4.2e6]), (320, [1.0] * 5), (330, [1e300, -1e300, 0.0]), (340, [0.5]), (341, [])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in top_k(table, F.col("vec_id") % 10 == 0, 4).collect())
+    ints = {i: [whole(x) for x in v] for i, v in rows if v}
+    want = []
+    for q in (i for i in ints if i % 10 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q)[:4]
+        want += [(q, k + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for k, (s, i) in enumerate(scores)]
+    assert got == sorted(want) and any(r[3] is None for r in got) and any(abs(r[3] or 0) > 1 << 40 for r in got)
+
+
 # url filter
 
 
