@@ -1,4 +1,9 @@
-"""From raw documents to token ids, in five stages, each stored before the next reads it."""
+"""From raw documents to token ids, in five stages, each stored before the next reads it.
+
+Of every stage: an empty table gives an empty one; rows without an id stay, unless they are rejected
+for their text; repeated rows are rows of their own; other columns of ``docs`` go along unchanged whatever
+they are called, up to the last stage, which has columns of its own.
+"""
 
 from __future__ import annotations
 
@@ -23,17 +28,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject. Null and empty texts are scored too."""
     labels = labels_of(table(spark, sf_dir, "labels"))
     model = train(docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("text", "toxic"))
-    scored = docs.withColumn("_score", model.score(docs))
-    return scored.filter(F.col("_score") < TOXIC).select(*docs.columns)
+    return docs.filter(model.score(docs) < TOXIC)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that a document before holds; ``n_chars`` follows. Null texts stay null."""
-    kept = dedup_lines(docs)
+    # the row goes along as one column, so that no name of it can clash with an added one
+    kept = dedup_lines(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")))
     text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
-    changed = F.col("n_dropped") > 0
-    columns = {"text": text, "n_chars": F.when(changed, F.length("kept_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)}
-    return kept.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+    columns = {"text": text}
+    if "n_chars" in docs.columns:
+        changed = F.col("n_dropped") > 0
+        columns["n_chars"] = F.when(changed, F.length("kept_text")).otherwise(F.col("_row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[columns.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +49,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are not alike. Rows without an id are never another's copy.
     """
     found = near_duplicates(docs, num=80, den=100)
-    gone = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(stored(gone, "near-gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = stored(found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "near-gone")
+    return docs.alias("d").join(gone.alias("gone"), F.col("d.doc_id") == F.col("gone.doc_id"), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    found = docs.withColumn("_passages", find_passages(docs, table(spark, sf_dir, "benchmark")))
-    return found.filter(F.size("_passages") == 0).select(*docs.columns)
+    return docs.filter(F.size(find_passages(docs, table(spark, sf_dir, "benchmark"))) == 0)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
