@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from flowspark.session import ship_package
 
-#: Characters of a q-gram; share of an item's characters that may differ; items shorter than this are ignored.
+#: Characters of a q-gram; share of an item's characters that may differ; items shorter than this are matched exactly.
 #: With these, the lemma promises at least one shared q-gram at the full budget for every length.
 Q, ERROR_RATE, MIN_CHARS = 8, 0.1, 40
+#: Longer items are also searched by region: stretches of so many characters, each beginning so many after the last.
+REGION, REGION_STEP = 240, 120
 #: Benchmark text that is sent to every task, at most; a larger benchmark is worked through in parts of this size.
 PART_BYTES = 8 << 20
 _FOUND = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
@@ -54,17 +56,23 @@ _PRIME = np.array([0x9E3779B97F4A7C15], np.uint64)
 
 @dataclass
 class Index:
-    """Items of a benchmark part: q-grams sorted by value, with item and place."""
+    """Items of a benchmark part, whole and by region: q-grams sorted by value, with item and place."""
 
     ids: list[int]
     texts: list[np.ndarray]
+    region: list[bool]
     grams: np.ndarray
     item: np.ndarray
     place: np.ndarray
     filter: np.ndarray
 
     @classmethod
-    def build(cls, items: list[tuple[int, np.ndarray]]) -> Index:
+    def build(cls, whole: list[tuple[int, np.ndarray]]) -> Index:
+        items, region = [], []
+        for i, t in whole:
+            starts = sorted({*range(0, len(t) - REGION, REGION_STEP), len(t) - REGION}) if len(t) > REGION else []
+            items += [(i, t), *((i, t[a : a + REGION]) for a in starts)]
+            region += [False] + [True] * len(starts)
         grams = [_grams(t) for _, t in items]
         value = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(items)), [len(g) for g in grams])
@@ -72,7 +80,7 @@ class Index:
         order = np.argsort(value, kind="stable")
         bits = np.zeros(1 << 22, bool)
         bits[(value >> np.uint64(42)).astype(np.int64)] = True
-        return cls([i for i, _ in items], [t for _, t in items], value[order], item[order], place[order], bits)
+        return cls([i for i, _ in items], [t for _, t in items], region, value[order], item[order], place[order], bits)
 
 
 def _banded(a: np.ndarray, b: np.ndarray, shift: int, band: int, limit: int) -> tuple[int, int, int] | None:
@@ -113,9 +121,14 @@ def _banded(a: np.ndarray, b: np.ndarray, shift: int, band: int, limit: int) ->
     return None if cost[at] > limit else (int(cost[at]), max(0, int(start[at])), int(end[at]))
 
 
+def _budget(n: int) -> int:
+    """Edits that an item of n characters may have."""
+    return int(n * ERROR_RATE) if n >= MIN_CHARS else 0
+
+
 def _least(n: int) -> int:
     """Shared q-grams that the lemma promises for an item of n characters with its full edit budget."""
-    return max(1, n + 1 - Q * (int(n * ERROR_RATE) + 1))
+    return max(1, n + 1 - Q * (_budget(n) + 1))
 
 
 def _masks(want: np.ndarray) -> dict[int, int]:
@@ -149,12 +162,12 @@ class Finder:
     def __init__(self, index: Index):
         self.x = index
         self.least = np.array([_least(len(t)) for t in index.texts], np.int64)
-        self.edits = np.array([int(len(t) * ERROR_RATE) for t in index.texts], np.int64)
+        self.edits = np.array([_budget(len(t)) for t in index.texts], np.int64)
         self.masks: dict[int, dict[int, int]] = {}
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """``(item id, start, end, edits)`` of every stretch of the text that holds a whole item within its edit budget."""
-        found = []
+        """``(item id, start, end, edits)`` of every stretch that holds a whole item, or regions of one, within the edit budget."""
+        found, parts = [], []
         if not text or not len(self.x.grams):
             return found
         points, place = folded(text)
@@ -184,8 +197,12 @@ class Finder:
         near = np.searchsorted(key, key + self.edits[item], "right") - np.arange(len(key))
         for k in np.unique(item[near >= self.least[item]]):
             a, b = np.searchsorted(item, [k, k + 1])
-            found += self._item(int(k), diagonal[a:b], at[a:b], points, place)
-        return sorted(set(found), key=lambda f: (f[1], f[2], f[0]))
+            hits = self._item(int(k), diagonal[a:b], at[a:b], points, place)
+            if self.x.region[k]:
+                parts += hits
+            else:
+                found += hits
+        return sorted({*found, *_joined(parts, found)}, key=lambda f: (f[1], f[2], f[0]))
 
     def _item(self, k: int, diagonal: np.ndarray, at: np.ndarray, points: np.ndarray, place: np.ndarray):
         """Bands of one item: 2e wide, each overlapping the next by half, as the lemma needs.
@@ -214,6 +231,10 @@ class Finder:
                 if d >= 0 and np.array_equal(points[d : d + len(want)], want):
                     aligned = (0, d, d + len(want))  # the diagonal itself is a match
                     done.append(d)
+                    if len(want) < MIN_CHARS and not _stands_alone(points, d, d + len(want)):
+                        aligned = None
+                elif not e:
+                    aligned = None
                 else:  # the band's own diagonals and an edit budget on both sides
                     side = span // 2 + e + 1
                     window = points[max(0, middle - side) : max(0, middle + side + len(want) + 1)].tolist()
@@ -227,6 +248,25 @@ class Finder:
         return _best_of(found)
 
 
+def _stands_alone(points: np.ndarray, start: int, end: int) -> bool:
+    """Whether a stretch begins and ends with a word."""
+    return (start == 0 or points[start - 1] == 32) and (end >= len(points) or points[end] == 32)
+
+
+def _joined(parts, whole):
+    """Regions of one item that overlap as one stretch, with the most edits of one; without those inside a whole find."""
+    out = []
+    for f in sorted(parts):
+        if any(w[0] == f[0] and f[1] < w[2] and w[1] < f[2] for w in whole):
+            continue
+        if out and out[-1][0] == f[0] and f[1] <= out[-1][2]:
+            last = out[-1]
+            out[-1] = (f[0], last[1], max(last[2], f[2]), max(last[3], f[3]))
+        else:
+            out.append(f)
+    return out
+
+
 def _best_of(found):
     """Of overlapping finds of one item, the one with fewest edits."""
     out = []
@@ -246,7 +286,7 @@ def _parts(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tu
         points = points[np.flatnonzero(points != 32)[0] :] if (points != 32).any() else points[:0]
         if len(points) and points[-1] == 32:
             points = points[:-1]
-        if len(points) < MIN_CHARS:
+        if len(points) < Q:
             continue
         part.append((row["i"], points))
         size += 4 * len(points)
@@ -261,8 +301,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     """Column of the benchmark items found in ``text_col``: item, start, end (code points), edits.
 
     Case, punctuation and white space do not count. An item is found where a stretch of
-    the text equals all of it but for at most ``ERROR_RATE`` of its characters. Items of
-    fewer than ``MIN_CHARS`` folded characters, without id or text are ignored. Null
+    the text equals all of it but for at most ``ERROR_RATE`` of its characters, or so
+    equals a region of it: any ``REGION`` characters that begin at a multiple of ``REGION_STEP`` or are its
+    last, so that ``REGION + REGION_STEP`` characters in a row always hold one. Items of fewer than ``MIN_CHARS``
+    folded characters are found where their words stand unchanged. Items of fewer than ``Q``,
+    which chance would find anywhere, and those without id or text are ignored. Null
     and empty texts hold nothing. The benchmark reaches the tasks in parts of at most
     ``PART_BYTES``, one pass per part; documents are never exchanged.
     """

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowspark.llm.bpe_queries import RANKS
 from flowspark.llm.byte_bpe import ByteRanks, encode_bytes, heap_encode
-from flowspark.llm.decontaminate import ERROR_RATE, MIN_CHARS, Finder, Index, decontaminate, folded
+from flowspark.llm.decontaminate import ERROR_RATE, MIN_CHARS, REGION, REGION_STEP, Finder, Index, decontaminate, folded
 from flowspark.llm.line_dedup import dedup_lines
 from flowspark.llm.near_dup import connected, linked_pairs, near_duplicates
 from flowspark.llm.piece_count import PieceCounter, count_pieces, load_pieces
@@ -368,10 +368,35 @@ def test_copies_at_the_full_edit_budget():
                 text = f"{made(300)} {''.join(copy)} {made(300)}"
                 want = plain_distance(item, text)
                 found = finder.find(text)
+                if want > budget and n > REGION:  # a region may still be within its own budget
+                    ends = {*range(0, n - REGION, REGION_STEP), n - REGION}
+                    assert bool(found) == any(plain_distance(item[a : a + REGION], text) <= int(REGION * ERROR_RATE) for a in ends)
+                    continue
                 assert [f[3] for f in found] == ([want] if want <= budget else []), (n, kind, edits)
                 assert edits > budget or found
 
 
+def test_regions_and_short_items():
+    rng = random.Random(5)
+    words = [f"{''.join(rng.choice('abcdefgh') for _ in range(5))}{i}" for i in range(120)]
+    item, short = " ".join(words), "two plus two is four"
+    finder = Finder(Index.build([(7, folded(item)[0]), (8, folded(short)[0])]))
+    for a in range(0, 70, 7):  # any stretch that is long enough, wherever in the item it begins
+        quote = " ".join(words[a : a + 54])
+        assert len(quote) >= REGION + REGION_STEP
+        (found,) = finder.find(f"before {quote} after")
+        slack = int(REGION * ERROR_RATE)  # a region that reaches beyond the quote may still be within its budget
+        assert found[0] == 7 and found[3] <= slack and 7 - slack <= found[1] and found[2] <= 7 + len(quote) + slack
+        assert found[2] - found[1] >= len(quote) - 2 * REGION_STEP
+    assert finder.find(" ".join(words[3:20])) == []
+    (found,) = finder.find("x " + item + " y")  # the whole item is one find, not its regions
+    assert found[1:] == (2, 2 + len(item), 0)
+    text = "So: Two plus  TWO, is four! But not twotwo plus two is fourteen."
+    (found,) = finder.find(text)
+    assert found[0] == 8 and text[found[1] : found[2]] == "Two plus  TWO, is four"
+    assert finder.find("two plus two is forty") == [] and finder.find("untwo plus two is four") == []
+
+
 # toxicity
 
 
