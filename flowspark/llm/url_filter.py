@@ -14,7 +14,10 @@ from flowspark.session import ship_package
 
 from .common import lower_ascii, stored, text_key
 
-WORD_CHARS = 20
+#: Longest known word. Longer stretches, and whole names of any length, can only stand as unknown ones.
+WORD_CHARS = 40
+#: A known word of two letters counts so much less than its occurrences say; single letters are no words.
+SHORT_WORD = 1 / 50
 #: Log odds are summed as whole millionths, so that no order of summing changes a verdict.
 _UNIT = 1_000_000
 
@@ -53,15 +56,25 @@ def names_of(text: Column) -> Column:
 
 
 def _viterbi(name: str, log: dict[tuple[int, int], float], unknown: float) -> list[str]:
-    """Most likely split; a stretch that is no known word costs more the longer it is."""
-    best, back = [0.0] + [-math.inf] * len(name), [0] * (len(name) + 1)
+    """Most likely split into known stretches ``log[start, end]`` and unknown ones of any length.
+
+    An unknown stretch costs ``unknown`` and as much as ten letters to choose from per letter. Its best
+    start does not depend on its end, so one running maximum serves for all.
+    """
+    letter = math.log(10)
+    ending: dict[int, list[tuple[int, float]]] = {}
+    for (start, end), cost in sorted(log.items()):
+        ending.setdefault(end, []).append((start, cost))
+    best, back, lead, lead_at = [0.0], [0], -math.inf, 0
     for end in range(1, len(name) + 1):
-        for start in range(max(0, end - WORD_CHARS), end):
-            cost = log.get((start, end))
-            if cost is None:
-                cost = unknown - (end - start) * math.log(10)
-            if best[start] + cost > best[end]:
-                best[end], back[end] = best[start] + cost, start
+        if best[end - 1] + (end - 1) * letter > lead:
+            lead, lead_at = best[end - 1] + (end - 1) * letter, end - 1
+        top, at = lead + unknown - end * letter, lead_at
+        for start, cost in ending.get(end, ()):
+            if best[start] + cost > top:
+                top, at = best[start] + cost, start
+        best.append(top)
+        back.append(at)
     words, end = [], len(name)
     while end:
         words.append(name[back[end] : end])
@@ -74,13 +87,13 @@ def segmented(names: DataFrame, unigrams: DataFrame) -> DataFrame:
 
     ``bare`` counts the word's own standing as a name; it helps to split other names, never itself.
 
-    The stretches of a name, at most ``WORD_CHARS`` long, meet the counts in a join, so
+    The stretches of a name, two to ``WORD_CHARS`` long, meet the counts in a join, so
     that the word list is never held by one task.
     """
     ship_package(names.sparkSession)
     total = unigrams.agg(F.sum(F.col("n") + F.col("bare"))).first()[0] or 1
-    begin = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("start"))
-    length = F.explode(F.sequence(F.lit(1), F.least(F.lit(WORD_CHARS), F.length("name") - F.col("start") + 1)))
+    begin = names.filter(F.length("name") > 1).select("name", F.explode(F.sequence(F.lit(1), F.length("name") - 1)).alias("start"))
+    length = F.explode(F.sequence(F.lit(2), F.least(F.lit(WORD_CHARS), F.length("name") - F.col("start") + 1)))
     parts = begin.select("name", "start", length.alias("n_chars"))
     parts = parts.withColumn("word", F.substr("name", F.col("start"), F.col("n_chars")))
     others = F.col("n") + F.when(F.col("word") != F.col("name"), F.col("bare")).otherwise(0)
@@ -92,7 +105,7 @@ def segmented(names: DataFrame, unigrams: DataFrame) -> DataFrame:
         for name, rows in batches:
             out = []
             for text, found in zip(name, rows):
-                log = {(r["start"] - 1, r["start"] - 1 + r["n_chars"]): math.log(r["n"] / total) for r in ([] if found is None else found)}
+                log = {(r["start"] - 1, r["start"] - 1 + r["n_chars"]): math.log(r["n"] / total * (SHORT_WORD if r["n_chars"] == 2 else 1)) for r in ([] if found is None else found)}
                 out.append(_viterbi(text, log, unknown))
             yield pd.Series(out)
 

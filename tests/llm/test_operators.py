@@ -210,6 +210,41 @@ def test_frequent_concatenated_names_are_split(spark):
     assert {r["name"]: r.words for r in segmented(names, evidence).collect()} == {"cheappills": ["cheap", "pills"], "cheap": ["cheap"], "zzz": ["zzz"]}
 
 
+def test_segmentation_equals_all_splits():
+    import itertools
+    import math
+
+    from flowspark.llm.url_filter import _viterbi
+
+    rng, letter = random.Random(4), math.log(10)
+    for _ in range(300):
+        name = "".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))
+        n = len(name)
+        log = {(a, b): -rng.random() * 12 for a in range(n) for b in range(a + 2, n + 1) if rng.random() < 0.4}
+        unknown = -rng.random() * 6
+        cost = lambda a, b: max(log.get((a, b), -math.inf), unknown - (b - a) * letter)
+        cuts = (
+            [0, *c, n] for k in range(n) for c in itertools.combinations(range(1, n), k)
+        )
+        top = max(sum(cost(a, b) for a, b in zip(c, c[1:])) for c in cuts)
+        words = _viterbi(name, log, unknown)
+        ends = list(itertools.accumulate(map(len, words), initial=0))
+        assert "".join(words) == name and abs(sum(cost(a, b) for a, b in zip(ends, ends[1:])) - top) < 1e-9
+
+
+def test_joined_words_are_found_and_single_ones_left(spark):
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(150)})
+    counts = [(w, rng.randint(2, 50), 1) for w in words] + [("n", 500, 1), ("et", 400, 1), ("net", 0, 1)]
+    joined = {"".join(p): list(p) for p in (rng.sample(words, rng.choice([2, 3])) for _ in range(200))}
+    long = "".join(words[:30])
+    names = spark.createDataFrame([(n,) for n in [*joined, *words, "net", "x" * 3000, long]], "name string")
+    got = {r["name"]: r.words for r in segmented(names, spark.createDataFrame(counts, "word string, n long, bare long")).collect()}
+    assert sum(got[n] == p for n, p in joined.items()) >= 0.9 * len(joined)  # some have other splits as likely
+    assert sum(got[w] == [w] for w in words) >= 0.95 * len(words)
+    assert got["net"] == ["net"] and got["x" * 3000] == ["x" * 3000] and "".join(got[long]) == long and len(got[long]) > 20
+
+
 # near duplicates
 
 
