@@ -17,13 +17,11 @@ from ..operators.prefix import prefix_sum
 from ..operators.series import (
     SECOND,
     agg_by,
-    difference,
     hold,
     instant,
     label,
     mapped,
     rate,
-    ratio,
     retain,
     select_series,
     threshold,
@@ -32,6 +30,8 @@ from ..plans.alerting import (
     LATENCY_P95,
     MEMORY_USAGE,
     Evaluation,
+    Expression,
+    Reading,
     evaluate_rule,
     evaluate_together,
     expression_points,
@@ -471,12 +471,12 @@ def merged_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RUN_RATES = f"{_RUNS}, {rate_sql('a', 'runs', HOUR, 300)}, {_FAILED}, {rate_sql('b', 'failed', HOUR, 300)}"
 
 
-def _run_rates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    names = ("airflow_dag_run_total", "airflow_dag_run_failed_total")
-    a, b = (
-        rate(_samples(spark, sf_dir, n), range_s=HOUR, step_s=300, mode="simple") for n in names
-    )
-    return a, b
+_RUN_NAMES = ("airflow_dag_run_total", "airflow_dag_run_failed_total")
+_RUN_EV = Evaluation(step_s=300, range_s=HOUR, mode="simple")
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [metric(spark, sf_dir, n) for n in _RUN_NAMES])
 
 
 @query(
@@ -484,7 +484,8 @@ def _run_rates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     f"WITH {_RUN_RATES} SELECT series, us, round(a.value - b.value, 6) AS value FROM a JOIN b USING (series, us)",
 )
 def rate_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(difference(*_run_rates(spark, sf_dir)))
+    total, failed = (Reading(n, HOUR) for n in _RUN_NAMES)
+    return _rounded(expression_points(Expression(total, failed, combine="difference"), _runs(spark, sf_dir), _RUN_EV))
 
 
 @query(
@@ -493,8 +494,8 @@ def rate_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM a JOIN b USING (series, us) WHERE a.value <> 0""",
 )
 def run_success_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total, failed = _run_rates(spark, sf_dir)
-    return _rounded(mapped(ratio(failed, total), lambda v: F.lit(1.0) - v))
+    total, failed = (Reading(n, HOUR) for n in _RUN_NAMES)
+    return _rounded(expression_points(Expression(failed, total, scale=-1.0, offset=1.0), _runs(spark, sf_dir), _RUN_EV))
 
 
 _MEMORY = f"""{_FREE}, {instant_sql('f', 'free', HOUR, 300)}, {_TOTAL}, {instant_sql('t', 'total', HOUR, 300)},

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.network import ipv4_number, ipv4_text
 from ..operators.enrich import enrich_geo, enrich_lookup, flag_text
-from ..plans.sessions import LATENCY_BOUNDS, enrich_events, flag_metrics, score_sessions, write_flags
+from ..plans.sessions import LATENCY_BOUNDS, enrich_events, flag_metrics, prepare_dimensions, score_sessions, write_flags
 from ..session import work_dir
 from ..sources.records import bad_ui_events, parse_ui_events, to_json_records
 from .registry import query
@@ -139,7 +139,7 @@ def enrich_geo_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = enrich_events(_events(spark, sf_dir), **session_dimensions(spark, sf_dir))
+    enriched = enrich_events(_events(spark, sf_dir), prepare_dimensions(**session_dimensions(spark, sf_dir)))
     return score_sessions(enriched, WEIGHTS, BIAS, now=F.lit(NOW_MS))
 
 

@@ -18,7 +18,7 @@ from ..operators.windows import field_text
 from ..plans.alerting import Evaluation, evaluate_alert_rules, session_rules
 from ..plans.intrusions import detect_intrusions, predict_stream, predictions
 from ..plans.page_views import count_records, stream_page_view_counts
-from ..plans.sessions import LATENCY_BOUNDS, score_stream
+from ..plans.sessions import LATENCY_BOUNDS, prepare_dimensions, score_stream
 from ..session import work_dir
 from ..sources.hash_store import read_hash
 from ..sources.records import start, write_text_records
@@ -232,11 +232,12 @@ def session_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session scoring over four arrivals: flags, bad events, the counters its samples make, and the rules that read them."""
     path = work_dir(spark, "session-job")
     events = arrivals(table(spark, sf_dir, "events"))
+    dimensions = prepare_dimensions(**session_dimensions(spark, sf_dir))
     for arrival in range(_ARRIVALS):
         damaged_ui_records(events.filter(F.col("arrival") == arrival)).write.mode("append").parquet(f"{path}/in")
         source = spark.readStream.schema("value string").parquet(f"{path}/in")
         now = F.col("timestamp") + F.col("latency_ms")
-        score_stream(source, session_dimensions(spark, sf_dir), WEIGHTS, BIAS, f"{path}/job", now=now, available_now=True).awaitTermination()
+        score_stream(source, dimensions, WEIGHTS, BIAS, f"{path}/job", now=now, available_now=True).awaitTermination()
     parts = F.split("value", ",")
     flags = spark.read.text(f"{path}/job/flags/batch_id=*").select(parts[0].alias("key"), parts[1].cast("double").alias("value"))
     flags = flags.groupBy("key").agg(F.count(F.lit(1)).alias("us"), F.round(F.max("value"), 6).alias("value"))

@@ -27,6 +27,7 @@ def enrich_lookup(
     *,
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add the columns named in ``defaults`` from ``dim``, one row per key there.
 
@@ -39,6 +40,7 @@ def enrich_lookup(
         keys,
         max_broadcast_rows=max_broadcast_rows,
         hot_rows=hot_rows,
+        small=small,
     )
     return joined.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
 
@@ -104,22 +106,28 @@ def _sweep(ranges: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"_prefix": r["_prefix"].iloc[0], "lo": edges[begins], "hi": edges[ends] - 1, "country": r.country.iloc[owner[begins]].to_numpy()})
 
 
-def enrich_geo(
+def enrich_geo(df: DataFrame, ranges: DataFrame, ip: str = "ip", **options: Any) -> DataFrame:
+    """Add the country of the address range ``(lo, hi, country)`` an IPv4 text lies in.
+
+    Of several ranges the narrowest counts, so a row never multiplies: see ``disjoint_ranges``, and
+    ``enrich_pieces`` for the options.
+    """
+    return enrich_pieces(df, disjoint_ranges(ranges), ip, **options)
+
+
+def enrich_pieces(
     df: DataFrame,
-    ranges: DataFrame,
+    pieces: DataFrame,
     ip: str = "ip",
     *,
     out: str = "country",
     default: str = "unknown",
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Add the country of the address range ``(lo, hi, country)`` an IPv4 text lies in.
-
-    Of several ranges the narrowest counts, so a row never multiplies: see ``disjoint_ranges``.
-    Its pieces are listed by address prefix, which makes the range condition an equi-join on the prefix.
-    """
-    listed = disjoint_ranges(ranges).select("_prefix", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("country").alias(out))
+    """The same for ranges that ``disjoint_ranges`` has cut: listed by prefix, they make an equi-join of the range condition."""
+    listed = pieces.select("_prefix", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("country").alias(out))
     numbered = df.withColumn("_ip", ipv4_number(F.col(ip)))
     numbered = numbered.withColumn("_prefix", _prefix(F.col("_ip")))
     joined = lookup_join(
@@ -129,6 +137,7 @@ def enrich_geo(
         (F.col("_ip") >= F.col("_lo")) & (F.col("_ip") <= F.col("_hi")),
         max_broadcast_rows=max_broadcast_rows,
         hot_rows=hot_rows,
+        small=small,
     )
     found = joined.withColumn(out, F.coalesce(out, F.lit(default)))
     return found.drop("_ip", "_prefix", "_lo", "_hi")

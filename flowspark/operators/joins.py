@@ -16,13 +16,19 @@ PINNED_ROWS = 10_000
 NULL_SALTS = 4096
 
 
+def are_small(dfs: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> list[bool]:
+    """Which of some batch tables are at most so many rows and bytes: sums per task in one job, no row is moved."""
+    sums = []
+    for i, df in enumerate(dfs):
+        texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+        size = reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns)))
+        sums.append(df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("rows"), F.sum(size.cast("bigint")).alias("held")))
+    found = {r["i"]: r["rows"] <= max_rows and (r["held"] or 0) <= max_bytes for r in reduce(DataFrame.unionByName, sums).collect()}
+    return [found[i] for i in range(len(dfs))]
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a batch table is at most so many rows and bytes: sums per task, no row is moved."""
-    fixed = 16 * len(df.columns)
-    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
-    size = reduce(lambda a, b: a + b, texts, F.lit(0))
-    rows, held = df.agg(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
-    return rows <= max_rows and (held or 0) + rows * fixed <= max_bytes
+    return are_small([df], max_rows, max_bytes)[0]
 
 
 def pinned(df: DataFrame, max_rows: int) -> DataFrame:
@@ -45,17 +51,18 @@ def lookup_join(
     *,
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left equi-join on ``keys``, with a further condition if given.
 
-    A dimension counted to be small is broadcast. Beyond that both sides are
+    A dimension counted to be small is broadcast; ``small`` says what was counted before. Beyond that both sides are
     exchanged by key, and keys with more than ``hot_rows`` facts are split: their
     facts get a salt out of as many as their count calls for, and only their
     dimension rows are copied per salt. The hottest ``PINNED_ROWS`` such keys are
     split; any other has less than that share of the facts. A stream cannot be
     counted ahead; there all facts are salted.
     """
-    if is_small(dim, max_broadcast_rows):
+    if is_small(dim, max_broadcast_rows) if small is None else small:
         return _left(fact, F.broadcast(dim), list(keys), residual)
     if fact.isStreaming:
         salted = _salted(fact, F.lit(STREAM_SALTS))

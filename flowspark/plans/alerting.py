@@ -60,9 +60,9 @@ class Reading:
 
 @dataclass(frozen=True)
 class Expression:
-    """``offset + scale * x``; x is ``left``, its aggregate by labels, its quantile over the label ``le``, or ``left / right``.
+    """``offset + scale * x``; x is ``left``, its aggregate by labels, its quantile over the label ``le``, or ``left`` and ``right`` combined.
 
-    ``by=None`` keeps the series as they are; both sides of a ratio have equal labels. A
+    ``by=None`` keeps the series as they are; both sides of a ratio or difference have equal labels. A
     quantile is taken over the buckets' sums by ``le`` and by the labels in ``by``.
     """
 
@@ -73,6 +73,11 @@ class Expression:
     quantile: float | None = None
     scale: float = 1.0
     offset: float = 0.0
+    combine: str = "ratio"  # or "difference"
+
+    def __post_init__(self) -> None:
+        if self.combine not in ("ratio", "difference"):
+            raise ValueError(f"unknown combination {self.combine!r}")
 
 
 @dataclass(frozen=True)
@@ -269,7 +274,9 @@ def combined_points(
         F.max(F.when(side == 1, F.col("value"))).alias("_right"),
         *([F.collect_list(F.when(F.col("le").isNotNull(), F.struct("le", F.col("value").alias("count")))).alias("_buckets")] if any(quantiles) else []),
     )
-    x = F.when(_choice(rule, [e.right is not None for e, _ in asked], "boolean"), F.try_divide("_left", "_right")).otherwise(F.col("_left"))
+    ratios, differences = ([e.right is not None and e.combine == c for e, _ in asked] for c in ("ratio", "difference"))
+    x = F.when(_choice(rule, ratios, "boolean"), F.try_divide("_left", "_right"))
+    x = x.when(_choice(rule, differences, "boolean"), F.col("_left") - F.col("_right")).otherwise(F.col("_left"))
     if any(quantiles):
         rank = _choice(rule, [e.quantile for e, _ in asked], "double")
         x = F.when(_choice(rule, quantiles, "boolean"), bucket_quantile(F.col("_buckets"), rank)).otherwise(x)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,27 +13,47 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.schema import SESSION_THRESHOLD
 from ..operators.alerts import event_latency_ms
 from ..operators.enrich import (
-    enrich_geo,
+    disjoint_ranges,
     enrich_lookup,
+    enrich_pieces,
     flag_sessions,
     flag_text,
     score_binary,
 )
+from ..operators.joins import are_small
+from ..session import work_dir
 from ..sources.records import bad_ui_events, parse_ui_events, start, write_text_records
 
 
-def enrich_events(
-    events: DataFrame,
-    device_risk: DataFrame,
-    account_status: DataFrame,
-    login_failures: DataFrame,
-    geo_ranges: DataFrame,
-) -> DataFrame:
+class Dimensions(NamedTuple):
+    """What sessions are looked up in, with address ranges cut to pieces, and which of them are small."""
+
+    device_risk: DataFrame
+    account_status: DataFrame
+    login_failures: DataFrame
+    pieces: DataFrame
+    small: tuple[bool, bool, bool, bool]
+
+
+def prepare_dimensions(
+    device_risk: DataFrame, account_status: DataFrame, login_failures: DataFrame, geo_ranges: DataFrame
+) -> Dimensions:
+    """Cut the ranges, store the pieces and count all four in one job, for any number of batches."""
+    spark = geo_ranges.sparkSession
+    path = work_dir(spark, "geo-pieces")
+    pieces = disjoint_ranges(geo_ranges)
+    pieces.write.parquet(path)
+    tables = (device_risk, account_status, login_failures, spark.read.schema(pieces.schema).parquet(path))
+    return Dimensions(*tables, tuple(are_small(tables)))
+
+
+def enrich_events(events: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Add ``risk``, ``status``, ``failures`` and ``country``; unknown keys get defaults."""
-    df = enrich_lookup(events, device_risk, "device_fingerprint", {"risk": 0.0})
-    df = enrich_lookup(df, account_status, "user_id", {"status": "unknown"})
-    df = enrich_lookup(df, login_failures, "user_id", {"failures": 0})
-    return enrich_geo(df, geo_ranges)
+    d = dimensions
+    df = enrich_lookup(events, d.device_risk, "device_fingerprint", {"risk": 0.0}, small=d.small[0])
+    df = enrich_lookup(df, d.account_status, "user_id", {"status": "unknown"}, small=d.small[1])
+    df = enrich_lookup(df, d.login_failures, "user_id", {"failures": 0}, small=d.small[2])
+    return enrich_pieces(df, d.pieces, small=d.small[3])
 
 
 def score_sessions(
@@ -82,7 +103,7 @@ def flag_metrics(flagged: DataFrame, ts: Column, *, job: str, bounds: Sequence[f
 
 def score_stream(
     records: DataFrame,
-    dimensions: Mapping[str, DataFrame],
+    dimensions: Dimensions,
     weights: Mapping[str, float],
     bias: float,
     path: str,
@@ -106,7 +127,7 @@ def score_stream(
         spark = batch.sparkSession
         seen, counted = Observation(), Observation()
         events = parse_ui_events(batch).observe(seen, F.max("timestamp").alias("newest"))
-        flagged = score_sessions(enrich_events(events, **dimensions), weights, bias, threshold=threshold, now=now)
+        flagged = score_sessions(enrich_events(events, dimensions), weights, bias, threshold=threshold, now=now)
         flag_text(flagged.observe(counted, *_flag_counts(bounds))).write.mode("overwrite").text(f"{path}/flags/batch_id={batch_id}")
         bad_ui_events(batch).write.mode("overwrite").parquet(f"{path}/bad/batch_id={batch_id}")
         newest, rows = seen.get["newest"], []

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowspark.operators.histogram import bucket_quantile, histogram_quantile
-from flowspark.operators.series import SECOND, agg_by, hold, instant, mapped, rate, ratio, select_series, threshold
+from flowspark.operators.series import SECOND, agg_by, difference, hold, instant, mapped, rate, ratio, select_series, threshold
 from flowspark.plans.alerting import Evaluation, Expression, Reading, Rule, evaluate_rule, evaluate_together
 
 METRICS = "name string, labels map<string,string>, s bigint, value double"
@@ -46,6 +46,7 @@ def test_one_pass_equals_the_operators(metrics):
         (rule(Expression(idle, by=("host",), aggregate="avg", scale=-100.0, offset=100.0), ">", 99.0, 45), fast),
         (rule(Expression(Reading("cpu", 300, regex=(("mode", "id.*|b.sy"),)), by=(), aggregate="max"), ">", 0.1, 120), slow),
         (rule(Expression(Reading("free"), Reading("all")), ">=", 0.5, 0), fast),
+        (rule(Expression(Reading("free"), Reading("all"), combine="difference"), "<", -1.0, 20), fast),
         (rule(Expression(Reading("up")), "==", 0.0, 60), fast),
         (rule(Expression(Reading("up", equal=(("job", "a"),))), "==", 0.0, 30), fast),
     ]
@@ -54,6 +55,7 @@ def test_one_pass_equals_the_operators(metrics):
         (mapped(agg_by(rate(s("cpu", equal={"mode": "idle"})), ["host"], "avg"), lambda v: 100 - 100 * v), 15),
         (mapped(rate(s("cpu"), range_s=600, step_s=60, mode="simple"), lambda v: v).groupBy("us").agg(F.max("value").alias("value")).withColumn("series", F.lit("{}")), 60),
         (ratio(instant(s("free"), lookback_s=60), instant(s("all"), lookback_s=60)), 15),
+        (difference(instant(s("free"), lookback_s=60), instant(s("all"), lookback_s=60)), 15),
         (instant(s("up"), lookback_s=60), 15),
         (instant(s("up", equal={"job": "a"}), lookback_s=60), 15),
     ]
