@@ -17,7 +17,7 @@ from .common import stored
 
 #: Pivots, drawn farthest-first from at most so many vectors; the index itself holds every vector.
 PIVOTS, PIVOT_SAMPLE = 64, 4096
-CHUNK_ROWS, GROUP_QUERIES = 1024, 4096
+CHUNK_ROWS = 1024
 _CHUNK = "chunk bigint, pivot int, low double, high double, ids binary, dists binary, vectors binary"
 _FOUND = "query_id bigint, vec_id bigint, score bigint"
 #: Vectors whose squared length (after scaling) reaches this are compared in Python integers.
@@ -240,21 +240,25 @@ def _indexed(rows: DataFrame, k: int) -> DataFrame:
                     yield pd.DataFrame(found + visits, columns=["query_id", "vec_id", "score", "chunk", "radius", "query"]).astype({"vec_id": "Int64", "score": "Int64"})
 
     first = stored(chunks.filter(F.length("queries") > 0).mapInPandas(at_home, _FOUND + ", chunk bigint, radius double, query binary"), "topk-first")
-    groups = max(1, -(-rows.filter("q").count() // GROUP_QUERIES))
-    group = F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")
-    visits = first.filter("chunk >= 0").select("chunk", group.alias("part"), "query_id", "radius", "query")
-    targets = chunks.select("*", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
-
-    def visit(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for c in right.itertuples():
-            ids, dists = np.frombuffer(c.ids, np.int64), np.frombuffer(c.dists)
-            m = np.frombuffer(c.vectors, np.int64).reshape(len(ids), -1)
-            for x in left.itertuples():
-                q = np.frombuffer(x.query, np.int64)
-                at = _distances(q[None], pivots[c.pivot : c.pivot + 1], top, exact)[0, 0]
-                out += _annuli(q, x.query_id, at, ids, dists, m, x.radius, k, top, exact)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+    visits = first.filter("chunk >= 0").select("chunk", F.lit(1).alias("kind"), "query_id", "radius", "query")
+    held = chunks.select("chunk", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("query_id"), "pivot", "ids", "dists", "vectors")
+    meet = held.unionByName(visits, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
 
-    more = visits.groupBy("chunk", "part").cogroup(targets.drop("queries").groupBy("chunk", "part")).applyInPandas(visit, _FOUND)
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Queries stream past the chunk they visit, which comes first."""
+        now, ids, dists, m, pivot = None, None, None, None, 0
+        for b in batches:
+            out = []
+            for x in b.itertuples():
+                if x.kind == 0:
+                    now, pivot = x.chunk, int(x.pivot)
+                    ids, dists = np.frombuffer(x.ids, np.int64), np.frombuffer(x.dists)
+                    m = np.frombuffer(x.vectors, np.int64).reshape(len(ids), -1)
+                elif x.chunk == now:
+                    q = np.frombuffer(x.query, np.int64)
+                    at = _distances(q[None], pivots[pivot : pivot + 1], top, exact)[0, 0]
+                    out += _annuli(q, int(x.query_id), at, ids, dists, m, x.radius, k, top, exact)
+            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    more = meet.mapInPandas(visit, _FOUND)
     return first.filter("chunk < 0").select("query_id", "vec_id", "score").unionByName(more)
