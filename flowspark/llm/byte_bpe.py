@@ -60,9 +60,8 @@ def _displaced(pairs: Iterable[tuple[int, int, int]]) -> tuple[np.ndarray, np.nd
     """The rank map as two flat arrays in which a pair is found in one probe.
 
     The pairs of one left id are a row, placed at a shift of its own where none of its
-    cells is taken: pair (a, b) has slot ``shifts[a] + b``. A slot holds the left id
-    and the rank, of 16 bits each, above the bits of a place; an empty one a left id
-    that does not exist.
+    cells is taken: pair (a, b) has slot ``shifts[a] + b``. A slot holds one more than the left id,
+    and the rank of 16 bits, above the bits of a place; an empty one holds 0, which keeps the literal's text short.
     """
     rows: dict[int, list[tuple[int, int]]] = {}
     for a, b, rank in pairs:
@@ -70,7 +69,7 @@ def _displaced(pairs: Iterable[tuple[int, int, int]]) -> tuple[np.ndarray, np.nd
             raise ValueError("ids above 16 bits")
         rows.setdefault(a, []).append((b, rank))
     size = 8 * _IDS + 2 * sum(map(len, rows.values()))
-    shifts, slots, lowest, span = np.zeros(_IDS, np.int64), np.full(size, (_IDS - 1) << 16 + _PLACE_BITS), 0, 4096
+    shifts, slots, lowest, span = np.zeros(_IDS, np.int64), np.zeros(size, np.int64), 0, 4096
     free = np.ones(size, bool)
     for a, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
         row.sort()
@@ -84,7 +83,7 @@ def _displaced(pairs: Iterable[tuple[int, int, int]]) -> tuple[np.ndarray, np.nd
                 break
             start += span
         shifts[a] = at[0]
-        slots[at[0] + cells] = (a << 16 | np.array([rank for _, rank in row])) << _PLACE_BITS
+        slots[at[0] + cells] = (a + 1 << 16 | np.array([rank for _, rank in row])) << _PLACE_BITS
         free[at[0] + cells] = False
         lowest += int(np.argmax(free[lowest:]))
     return shifts, slots[: shifts.max() + _IDS]
@@ -130,7 +129,7 @@ class Codec:
             def key(x: Column, i: Column) -> Column:
                 slot = F.get(self._slots, F.get(self._shifts, x) + F.get(p, i + 1))
                 # a slot of this left id leaves its rank, any other something above all ranks
-                return slot.bitwiseXOR(F.shiftleft(x, 16 + _PLACE_BITS)).bitwiseOR(i)
+                return slot.bitwiseXOR(F.shiftleft(x + 1, 16 + _PLACE_BITS)).bitwiseOR(i)
 
             return F.array_min(F.transform(p, key))
 
@@ -230,7 +229,7 @@ class Encoder:
             begins = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             # the rank of each symbol with the next, above its place in the word
             follow = np.append(symbols[1:], 0)
-            rank = self.slots[self.shifts[symbols] + follow] ^ (symbols << 16 + _PLACE_BITS)
+            rank = self.slots[self.shifts[symbols] + follow] ^ (symbols + 1 << 16 + _PLACE_BITS)
             rank[np.append(begins[1:], len(symbols)) - 1] = none
             counts = np.diff(np.append(begins, len(symbols)))
             place = np.arange(len(symbols)) - np.repeat(begins, counts)
