@@ -48,15 +48,6 @@ def select_series(
     )
 
 
-def within(metrics: DataFrame, start: int | None, end: int | None, lookback: int) -> DataFrame:
-    """Samples that can matter between ``start`` and ``end`` (microseconds): plain bounds on ``ts``, which reach the scan."""
-    if start is not None:
-        metrics = metrics.filter(F.col("ts") >= F.timestamp_micros(F.lit(start - lookback)))
-    if end is not None:
-        metrics = metrics.filter(F.col("ts") <= F.timestamp_micros(F.lit(end)))
-    return metrics
-
-
 def retain(metrics: DataFrame, hours: float = 200, as_of: Column | None = None) -> DataFrame:
     """Samples of the last ``hours``: a plain range filter, so date partitions are pruned."""
     end = as_of if as_of is not None else F.current_timestamp()
