@@ -7,6 +7,7 @@ import heapq
 import json
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ DICTIONARY_WORDS, DICTIONARY_BYTES = 200_000, 32
 #: Other words above this many bytes take a heap: merging the rest side by side costs the square of the longest.
 SIDE_BYTES = 64
 #: Words put together at a time; a text with more is taken whole.
-SLICE_WORDS = 1_000_000
+SLICE_WORDS = 250_000
 _IDS = 1 << 16
 _PLACE_BITS = 10
 
@@ -108,10 +109,13 @@ class Codec:
         self.shifts, self.slots = _displaced(ranks.pairs())
         self._shifts, self._slots = _literal(self.shifts.tolist(), "array<bigint>"), _literal(self.slots.tolist(), "array<bigint>")
         self._bytes = _literal([ranks.tokens[bytes([b])] for b in range(256)], "array<bigint>")
-        hexes = [""] * (max(ranks.tokens.values()) + 1)
-        for token, rank in ranks.tokens.items():
+
+    @cached_property
+    def _hex(self) -> Column:
+        hexes = [""] * (max(self.ranks.tokens.values()) + 1)
+        for token, rank in self.ranks.tokens.items():
             hexes[rank] = token.hex()
-        self._hex = _literal(hexes, "array<string>")
+        return _literal(hexes, "array<string>")
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
@@ -147,7 +151,7 @@ class Codec:
         return F.aggregate(steps, start, step)
 
     def decode(self, ids: Column) -> Column:
-        """The bytes of ids: their pieces one after another. Null for an id that does not exist."""
+        """The bytes of a column of ids: their pieces one after another. Null for an id that does not exist."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._hex, i.cast("int"))), ""))
 
 
@@ -183,15 +187,31 @@ class Encoder:
     def __init__(self, codec: Codec, words: pa.Array, ids: pa.ListArray) -> None:
         self.tokens, self.shifts, self.slots = codec.ranks.tokens, codec.shifts, codec.slots
         self.bytes = np.array([self.tokens[bytes([b])] for b in range(256)])
-        self.words, self.lengths = words, pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.words, self.lengths = words, pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int32)
+        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        pieces = [b""] * (max(self.tokens.values()) + 1)
+        for token, rank in self.tokens.items():
+            pieces[rank] = token
+        self.pieces, self.piece_lengths = np.frombuffer(b"".join(pieces), np.uint8), np.array([len(p) for p in pieces], np.int32)
 
     def texts(self, words: pa.ListArray) -> pa.Array:
-        """The ids of each text from its words, so many words at a time."""
+        """``ids`` and ``decoded`` of each text from its words, so many words at a time."""
         ends, cuts = words.offsets.to_numpy(), [0]
         while cuts[-1] < len(words):
             cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, ends[cuts[-1]] + SLICE_WORDS, "right")) - 1))
-        return pa.concat_arrays([self.some_texts(words[a:b]) for a, b in zip(cuts, cuts[1:])] or [pa.array([], pa.list_(pa.int64()))])
+        parts = [self.some_texts(words[a:b]) for a, b in zip(cuts, cuts[1:])]
+        both = [pa.StructArray.from_arrays([ids, self.decoded(ids)], names=["ids", "decoded"]) for ids in parts]
+        return pa.concat_arrays(both or [pa.array([], pa.struct({"ids": pa.list_(pa.int64()), "decoded": pa.binary()}))])
+
+    def decoded(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids: their pieces one after another."""
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        lengths = self.piece_lengths[flat].astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        begins = np.cumsum(self.piece_lengths, dtype=np.int64) - self.piece_lengths
+        data = self.pieces[np.arange(ends[-1]) + np.repeat(begins[flat] - ends[:-1], lengths)]
+        offsets = ends[ids.offsets.to_numpy() - ids.offsets[0].as_py()].astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
     def some_texts(self, words: pa.ListArray) -> pa.ListArray:
         """Every distinct word is looked up, or merged, once."""
@@ -203,7 +223,7 @@ class Encoder:
         # the ids of all distinct words lie in the dictionary's, then the new words'
         starts, lengths = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
         place = known.filter(pa.array(~new)).to_numpy(zero_copy_only=False)
-        starts[~new], lengths[~new] = (np.cumsum(self.lengths) - self.lengths)[place], self.lengths[place]
+        starts[~new], lengths[~new] = (np.cumsum(self.lengths, dtype=np.int64) - self.lengths)[place], self.lengths[place]
         starts[new], lengths[new] = len(self.ids) + np.cumsum(fresh_lengths) - fresh_lengths, fresh_lengths
         pool = np.concatenate([self.ids, fresh])
         per_word = lengths[at]
@@ -284,10 +304,10 @@ def encode_bytes(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: st
     words, ids = (known.column(c).combine_chunks() for c in ("w", "ids"))
     encoder = spark.sparkContext.broadcast(Encoder(codec, words.cast(pa.string()), ids))
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("ids array<bigint>, decoded binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield encoder.value.texts(batch)
 
-    rows = rows.select("_row", encode(codec.words(F.col("_text"))).alias("ids"))
-    return rows.select("_row.*", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    rows = rows.select("_row", encode(codec.words(F.col("_text"))).alias("_found"))
+    return rows.select("_row.*", "_found.ids", "_found.decoded")

@@ -62,6 +62,10 @@ def test_bpe_round_trip_of_odd_texts(docs):
     for r in got:
         text = texts[r.doc_id] or ""
         assert list(r.ids) == enc.encode_ordinary(text) and bytes(r.decoded) == text.encode()
+    from flowspark.llm.byte_bpe import Codec
+
+    back = docs([(0, "x")]).select(Codec(ByteRanks.read(RANKS), "x").decode(F.array(*[F.lit(i) for i in enc.encode_ordinary("naïve 日本")])).alias("b"))
+    assert bytes(back.first().b).decode() == "naïve 日本"
     assert heap_encode(b"aaaa bb", ranks) == enc.encode_single_piece("aaaa bb") if hasattr(enc, "encode_single_piece") else True
     assert encode_bytes(docs([]), RANKS, public_tokenizers.PATTERN).collect() == []
 
