@@ -59,3 +59,30 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str, name: str) -> Dat
         before += n
     offsets = df.sparkSession.createDataFrame(offsets, "_part int, _before bigint")
     return rows.join(F.broadcast(offsets), "_part").withColumn(out, F.col("_place") + F.col("_before")).drop("_part", "_place", "_before")
+
+
+#: Bits of one row of a bitmap, as ``bitmap_construct_agg`` makes it.
+_MAP_BITS = 1 << 15
+
+
+def among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is among ``ids`` (one column of the same type), and few others; no row of ``df`` is exchanged.
+
+    The ids are hashed into a bitmap that every task holds: at least 16 bits an id, so that one other row in 16 stays,
+    up to 16 MiB in all. A join has to follow; this only spares it the rows that it would drop.
+    """
+    n = ids.count()
+    bits = min(max(1 << (16 * n).bit_length(), _MAP_BITS), 1 << 27)
+
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    (name,) = ids.columns
+    marks = ids.filter(F.col(name).isNotNull()).select(F.shiftright(place(name), 15).alias("_map"), (place(name) % _MAP_BITS).alias("_bit"))
+    # the marks move before they become maps, as a map of each task would be larger
+    maps = marks.repartition("_map").groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    at = place(column) % _MAP_BITS
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.getbit(byte, (at % 8).cast("int")) == 1
+    found = df.join(F.broadcast(maps), F.shiftright(place(column), 15) == F.col("_map"))
+    return found.filter(marked).select(*df.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowspark.session import ship_package
 
-from .common import global_rank, stored
+from .common import among, global_rank, stored
 from .shingles import class_key, normal, shingle_sets, signatures
 
 #: 12 orders of 64 values: a pair of similarity 0.85 shares the first three values of at
@@ -124,7 +124,7 @@ def near_duplicates(
     candidates. How long depends on the region: those who share the first value are compared whole
     if they are at most ``sparse[0]``, else parted by the second, and so on; after the last there is no limit.
     Members are compared by signature, and what could reach the bound on full sets; of
-    the links found only a star per group leaves the task.
+    the links found only a star per group leaves the task. Texts that are in no such pair are not exchanged.
 
     A crowded region is cut along its order into blocks. First only members of one block, and the
     blocks' first members, are compared: copies of one text are connected by that. Then the region's members
@@ -250,8 +250,9 @@ def near_duplicates(
         by_block = blocks.repartition("tree", "key", "i", "j").sortWithinPartitions("tree", "key", "i", "j", "rid")
         groups = stored(by_block.mapInPandas(compare, "name bigint, rid bigint").distinct(), "near-groups")
         wanted = groups.groupBy("rid").agg(F.collect_list("name").alias("names"))
+        texts = among(base.select("_id", "_text").filter("_id is not null"), "_id", groups.select("rid"))
         # the same exchange at every size, so that what a run needs grows with its input
-        texts = base.select("_id", "_text").filter("_id is not null").join(wanted.hint("merge"), F.col("_id") == F.col("rid"))
+        texts = texts.join(wanted.hint("merge"), F.col("_id") == F.col("rid"))
         texts = texts.select(F.explode("names").alias("name"), "rid", "_text")
         return stored(texts.groupBy("name").applyInPandas(confirm, "a bigint, b bigint"), "near-links")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowspark.llm.bpe_queries import RANKS
 from flowspark.llm.byte_bpe import ByteRanks, encode_bytes, heap_encode
+from flowspark.llm.common import among
 from flowspark.llm.decontaminate import ERROR_RATE, MIN_CHARS, REGION, REGION_STEP, Finder, Index, decontaminate, folded
 from flowspark.llm.line_dedup import dedup_lines
 from flowspark.llm.near_dup import connected, linked_pairs, near_duplicates
@@ -337,6 +338,17 @@ def test_recall_of_pairs_at_the_bound(docs):
     assert pairs > 100 and found >= 0.99 * pairs and all(got[i] in (i, want[i]) for i in got)
 
 
+@pytest.mark.parametrize("n", [0, 1, 5, 3000])
+def test_rows_among_ids_are_told_before_an_exchange(docs, n):
+    rows = [(i * 7 - 90_000, "x") for i in range(30_000)] + [(None, "x")]
+    ids = docs([(i * 70 - 90_000, None) for i in range(n)] + [(None, None)]).select("doc_id")
+    wanted = {i * 70 - 90_000 for i in range(n)}
+    found = among(docs(rows), "doc_id", ids.withColumnRenamed("doc_id", "rid"))
+    assert "Exchange hashpartitioning(doc_id" not in found._jdf.queryExecution().executedPlan().toString()
+    got = [r.doc_id for r in found.collect()]
+    assert wanted <= set(got) and len(got) == len(set(got)) and len(got) <= n + 30_000 / 16 * 1.3
+
+
 def test_near_duplicates_of_odd_rows(docs):
     rows = [(None, "one two three four five six"), (3, "one two three four five six"), (3, "one two three four five six"), (2, "x " * 30_000), (None, "all alone in this world here")]
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs(rows).withColumn("kept", F.lit(1))).collect()), key=str)
