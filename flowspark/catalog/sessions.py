@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.network import ipv4_number, ipv4_text
 from ..operators.enrich import enrich_geo, enrich_lookup, flag_text
+from ..operators.joins import HotKeys
 from ..plans.sessions import LATENCY_BOUNDS, enrich_events, flag_metrics, prepare_dimensions, score_sessions, write_flags
 from ..session import work_dir
 from ..sources.records import bad_ui_events, parse_ui_events, to_json_records
@@ -85,9 +86,11 @@ scored AS (SELECT *, 1 / (1 + exp(-(2.0::DOUBLE * risk + 0.3::DOUBLE * failures
 @query("enrich_lookup", f"WITH {_UI} SELECT event_id, round(risk, 6) AS risk, status, failures FROM enriched")
 def enrich_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = session_dimensions(spark, sf_dir)
-    df = enrich_lookup(_events(spark, sf_dir), d["device_risk"], "device_fingerprint", {"risk": 0.0})
-    df = enrich_lookup(df, d["account_status"], "user_id", {"status": "unknown"})
-    df = enrich_lookup(df, d["login_failures"], "user_id", {"failures": 0})
+    events = _events(spark, sf_dir)
+    hot = HotKeys(events)
+    df = enrich_lookup(events, d["device_risk"], "device_fingerprint", {"risk": 0.0}, hot=hot)
+    df = enrich_lookup(df, d["account_status"], "user_id", {"status": "unknown"}, hot=hot)
+    df = enrich_lookup(df, d["login_failures"], "user_id", {"failures": 0}, hot=hot)
     return df.select("event_id", F.round("risk", 6).alias("risk"), "status", "failures")
 
 

@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.fence import once
 from ..functions.network import ipv4_number
 from ..functions.schema import SESSION_THRESHOLD
 from ..session import ship_package
-from .joins import BROADCAST_ROWS, HOT_ROWS, lookup_join
+from .joins import BROADCAST_ROWS, HOT_ROWS, HotKeys, lookup_join
 
 _PREFIX_BITS = 16
 
@@ -28,10 +29,11 @@ def enrich_lookup(
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add the columns named in ``defaults`` from ``dim``, one row per key there.
 
-    A row without a match is kept, with the defaults.
+    A row without a match is kept, with the defaults. ``hot``: counts that several lookups share.
     """
     keys = [key] if isinstance(key, str) else list(key)
     joined = lookup_join(
@@ -41,6 +43,7 @@ def enrich_lookup(
         max_broadcast_rows=max_broadcast_rows,
         hot_rows=hot_rows,
         small=small,
+        hot=hot,
     )
     return joined.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
 
@@ -125,19 +128,23 @@ def enrich_pieces(
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The same for ranges that ``disjoint_ranges`` has cut: listed by prefix, they make an equi-join of the range condition."""
     listed = pieces.select("_prefix", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("country").alias(out))
-    numbered = df.withColumn("_ip", ipv4_number(F.col(ip)))
-    numbered = numbered.withColumn("_prefix", _prefix(F.col("_ip")))
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        return once(rows, _ip=ipv4_number(F.col(ip))).withColumn("_prefix", _prefix(F.col("_ip")))
+
     joined = lookup_join(
-        numbered,
+        numbered(df),
         listed,
         ["_prefix"],
         (F.col("_ip") >= F.col("_lo")) & (F.col("_ip") <= F.col("_hi")),
         max_broadcast_rows=max_broadcast_rows,
         hot_rows=hot_rows,
         small=small,
+        hot=hot and HotKeys(numbered(hot.facts), hot.hot_rows),
     )
     found = joined.withColumn(out, F.coalesce(out, F.lit(default)))
     return found.drop("_ip", "_prefix", "_lo", "_hi")

@@ -43,6 +43,29 @@ def pinned(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+class HotKeys:
+    """Keys of more than ``hot_rows`` facts in a batch, counted when first asked for and once for each set of keys.
+
+    Lookups that follow each other neither add nor drop facts, so one count over the plain facts serves
+    all of them, and none evaluates the lookups before it to count them again.
+    """
+
+    def __init__(self, facts: DataFrame, hot_rows: int = HOT_ROWS):
+        self.facts, self.hot_rows = facts, hot_rows
+        self._found: dict[tuple[str, ...], DataFrame | None] = {}
+
+    def of(self, keys: Sequence[str]) -> DataFrame | None:
+        """The keys with the ``_salts`` their count calls for, the hottest ``PINNED_ROWS`` of them; None without any."""
+        at = tuple(keys)
+        if at not in self._found:
+            counts = self.facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > self.hot_rows)
+            salts = F.ceil(F.col("_n") / self.hot_rows).cast("int").alias("_salts")
+            hot = counts.select(*keys, salts).orderBy(F.desc("_salts"), *keys).limit(PINNED_ROWS)
+            rows = hot.collect()
+            self._found[at] = F.broadcast(self.facts.sparkSession.createDataFrame(rows, hot.schema)) if rows else None
+        return self._found[at]
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -52,6 +75,7 @@ def lookup_join(
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
     small: bool | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left equi-join on ``keys``, with a further condition if given.
 
@@ -59,7 +83,8 @@ def lookup_join(
     exchanged by key, and keys with more than ``hot_rows`` facts are split: their
     facts get a salt out of as many as their count calls for, and only their
     dimension rows are copied per salt. The hottest ``PINNED_ROWS`` such keys are
-    split; any other has less than that share of the facts. A stream cannot be
+    split; any other has less than that share of the facts. Without such keys the join is a plain one, so that
+    lookups by one key share their exchange. ``hot`` holds the counts of lookups that share them. A stream cannot be
     counted ahead; there all facts are salted.
     """
     if is_small(dim, max_broadcast_rows) if small is None else small:
@@ -68,22 +93,16 @@ def lookup_join(
         salted = _salted(fact, F.lit(STREAM_SALTS))
         copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
     else:
-        hot = (
-            fact.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > hot_rows)
-            .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
-            .orderBy(F.desc("_salts"), *keys)
-            .limit(PINNED_ROWS)
-        )
-        hot = pinned(hot, PINNED_ROWS)
+        hottest = (hot or HotKeys(fact, hot_rows)).of(keys)
+        if hottest is None:
+            return _left(fact, dim, list(keys), residual)
         salts = F.coalesce("_salts", F.lit(1))
         # rows without a key match nothing, and must not all meet in one task
         unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
         spread = F.when(unkeyed, F.lit(NULL_SALTS)).otherwise(salts)
-        salted = _salted(fact.join(hot, list(keys), "left"), spread).drop("_salts")
+        salted = _salted(fact.join(hottest, list(keys), "left"), spread).drop("_salts")
         copies = (
-            dim.join(hot, list(keys), "left")
+            dim.join(hottest, list(keys), "left")
             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
             .drop("_salts")
         )

@@ -120,13 +120,22 @@ def parse_ui_events(df: DataFrame, *, avro_schema: str | None = None) -> DataFra
 
     The rest is what ``bad_ui_events`` gives: no record is in neither.
     """
-    events = _ui_records(df, avro_schema).select("_event.*")
-    return events.filter(F.col("event_id").isNotNull())
+    return ui_events_of(ui_records(df, avro_schema))
 
 
 def bad_ui_events(df: DataFrame, *, avro_schema: str | None = None) -> DataFrame:
     """``value`` and ``parse_error`` of records that are no event: null, unreadable or without an id."""
-    rows = _ui_records(df, avro_schema).filter(F.col("_event.event_id").isNull())
+    return bad_events_of(ui_records(df, avro_schema))
+
+
+def ui_events_of(records: DataFrame) -> DataFrame:
+    """The events among what ``ui_records`` has read."""
+    return records.select("_event.*").filter(F.col("event_id").isNotNull())
+
+
+def bad_events_of(records: DataFrame) -> DataFrame:
+    """The others, with the reason."""
+    rows = records.filter(F.col("_event.event_id").isNull())
     empty = F.forall(F.array(*[F.col(f"_event.{f}").isNull() for f in UI_EVENT_SCHEMA.names]), lambda x: x)
     reason = F.when(F.col("value").isNull(), "null_record").when(empty, "malformed").otherwise("missing:event_id")
     return rows.select("value", reason.alias("parse_error"))
@@ -163,14 +172,15 @@ def bad_page_views(df: DataFrame) -> DataFrame:
     return rows.select("value", reason.alias("parse_error"))
 
 
-def _ui_records(df: DataFrame, avro_schema: str | None) -> DataFrame:
+def ui_records(df: DataFrame, avro_schema: str | None = None) -> DataFrame:
+    """``df`` with the ``_event`` its ``value`` holds, read once."""
     if avro_schema:
         from pyspark.sql.avro.functions import from_avro
 
         record = from_avro(F.col("value"), avro_schema, {"mode": "PERMISSIVE"})
     else:
         record = F.from_json(F.col("value").cast("string"), UI_EVENT_SCHEMA)
-    return df.withColumn("_event", record)
+    return once(df, _event=record)
 
 
 def read_training_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -355,3 +355,41 @@ def test_merged_sketches_are_near_the_rank(spark):
     assert s.count() == 2 * 34
     for r in merged_quantile(s, 0.9, ["g"], k=200).collect():
         assert r["n"] == 10_000 and abs(r["value"] / 20_000 - 0.9) < 3 * rank_error(200)
+
+
+def test_lookups_that_follow_each_other_count_facts_once(spark):
+    from flowspark.operators.joins import HotKeys
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def key(i):
+        seen.add(1)
+        return None if i % 5 == 0 else f"k{i % 5 % 3}"
+
+    fact = spark.range(400).withColumn("key", key.asNondeterministic()("id")).repartition(4)
+    dim = spark.createDataFrame([("k0", 1.0, "x"), ("k1", 2.0, "y")], "key string, risk double, status string")
+
+    def looked_up(hot_rows):
+        hot = HotKeys(fact, hot_rows)
+        df = enrich_lookup(fact, dim, "key", {"risk": 0.0}, small=False, hot=hot)
+        return enrich_lookup(df, dim, "key", {"status": "none"}, small=False, hot=hot)
+
+    found = [sorted(tuple(r) for r in looked_up(n).collect()) for n in (1000, 100, 10)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 400
+    assert {r[1:] for r in found[0]} == {(None, 0.0, "none"), ("k0", 1.0, "x"), ("k1", 2.0, "y"), ("k2", 0.0, "none")}
+    seen.value = 0
+    looked_up(1000).collect()
+    assert seen.value == 2 * 400  # one count, one join; each lookup counted before
+    plan = looked_up(1000)._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in plan
+
+
+def test_ui_events_are_read_once(spark):
+    from flowspark.sources.records import bad_ui_events, parse_ui_events
+
+    records = spark.createDataFrame([('{"event_id": "a", "user_id": "u"}',), ("{",), (None,), ('{"user_id": "u"}',)], "value string")
+    events, bad = parse_ui_events(records), bad_ui_events(records)
+    assert [(r.event_id, r.user_id) for r in events.collect()] == [("a", "u")]
+    assert sorted(r.parse_error for r in bad.collect()) == ["malformed", "missing:event_id", "null_record"]
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
