@@ -20,9 +20,9 @@ from ..operators.enrich import (
     flag_text,
     score_binary,
 )
-from ..operators.joins import are_small
-from ..session import work_dir
-from ..sources.records import bad_ui_events, parse_ui_events, start, write_text_records
+from ..operators.joins import HotKeys, are_small
+from ..session import remove_folder, work_dir
+from ..sources.records import bad_events_of, start, ui_events_of, ui_records, write_text_records
 
 
 class Dimensions(NamedTuple):
@@ -49,11 +49,11 @@ def prepare_dimensions(
 
 def enrich_events(events: DataFrame, dimensions: Dimensions) -> DataFrame:
     """Add ``risk``, ``status``, ``failures`` and ``country``; unknown keys get defaults."""
-    d = dimensions
-    df = enrich_lookup(events, d.device_risk, "device_fingerprint", {"risk": 0.0}, small=d.small[0])
-    df = enrich_lookup(df, d.account_status, "user_id", {"status": "unknown"}, small=d.small[1])
-    df = enrich_lookup(df, d.login_failures, "user_id", {"failures": 0}, small=d.small[2])
-    return enrich_pieces(df, d.pieces, small=d.small[3])
+    d, hot = dimensions, HotKeys(events)
+    df = enrich_lookup(events, d.device_risk, "device_fingerprint", {"risk": 0.0}, small=d.small[0], hot=hot)
+    df = enrich_lookup(df, d.account_status, "user_id", {"status": "unknown"}, small=d.small[1], hot=hot)
+    df = enrich_lookup(df, d.login_failures, "user_id", {"failures": 0}, small=d.small[2], hot=hot)
+    return enrich_pieces(df, d.pieces, small=d.small[3], hot=hot)
 
 
 def score_sessions(
@@ -120,16 +120,21 @@ def score_stream(
     reason, and ``path/samples`` the batch's counts as rows of the metrics table, at the
     newest event time of the batch; ``counter_totals`` makes counters of them, which the
     session rules read. Counts are observed while the flags are written. A folder per batch:
-    a batch that is repeated replaces its three outputs.
+    a batch that is repeated replaces its three outputs. Its records are read once and kept
+    in ``path/read`` while the batch lasts, as hot keys, flags and bad events all start from them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         seen, counted = Observation(), Observation()
-        events = parse_ui_events(batch).observe(seen, F.max("timestamp").alias("newest"))
+        kept = f"{path}/read/batch_id={batch_id}"
+        records = ui_records(batch).select("value", "_event")
+        records.withColumn("value", F.when(F.col("_event.event_id").isNull(), F.col("value"))).write.mode("overwrite").parquet(kept)
+        records = spark.read.schema(records.schema).parquet(kept)
+        events = ui_events_of(records).observe(seen, F.max("timestamp").alias("newest"))
         flagged = score_sessions(enrich_events(events, dimensions), weights, bias, threshold=threshold, now=now)
         flag_text(flagged.observe(counted, *_flag_counts(bounds))).write.mode("overwrite").text(f"{path}/flags/batch_id={batch_id}")
-        bad_ui_events(batch).write.mode("overwrite").parquet(f"{path}/bad/batch_id={batch_id}")
+        bad_events_of(records).write.mode("overwrite").parquet(f"{path}/bad/batch_id={batch_id}")
         newest, rows = seen.get["newest"], []
         if newest is not None:
             for name, value, le in _flag_samples(bounds):
@@ -139,6 +144,7 @@ def score_stream(
         samples.select(F.timestamp_millis("ms").alias("ts"), "name", "labels", "value").coalesce(1).write.mode("overwrite").parquet(
             f"{path}/samples/batch_id={batch_id}"
         )
+        remove_folder(spark, kept)
 
     return start(records.writeStream.foreachBatch(write), f"{path}/checkpoint", available_now=available_now)
 
