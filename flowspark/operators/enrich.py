@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.fence import once
 from ..functions.network import ipv4_number
 from ..functions.schema import SESSION_THRESHOLD
-from ..session import ship_package
+from ..session import ship_package, work_dir
 from .joins import BROADCAST_ROWS, HOT_ROWS, HotKeys, lookup_join
 
 _PREFIX_BITS = 16
+_CELLS = 250_000
 
 
 def enrich_lookup(
@@ -60,11 +61,15 @@ def disjoint_ranges(ranges: DataFrame) -> DataFrame:
     country by name. Ranges are cut at the 65,536 address prefixes. Only the cells in
     which some overlap are swept, each by itself; a cell holds at most one range per pair of
     addresses in it. Ranges without a bound or with ``hi`` below ``lo`` hold nothing.
+
+    However few files hold the ranges, their cells are dealt so that a task cuts about ``_CELLS`` of them.
     """
     cell = F.lit(2**_PREFIX_BITS)
-    rows = ranges.filter(F.col("lo") <= F.col("hi")).select(
-        "lo", "hi", "country", F.explode(F.sequence(_prefix(F.col("lo")), _prefix(F.col("hi")))).alias("_prefix")
-    )
+    ends = _prefix(F.col("lo")), _prefix(F.col("hi"))
+    whole = ranges.filter(F.col("lo") <= F.col("hi")).select("lo", "hi", "country").distinct()
+    total = whole.agg(F.sum((ends[1] - ends[0] + 1).cast("bigint"))).first()[0] or 0
+    dealt = whole.repartition(-(-total // _CELLS), "lo", "hi", "country") if total > _CELLS else whole
+    rows = dealt.select("lo", "hi", "country", F.explode(F.sequence(*ends)).alias("_prefix"))
     begin = F.col("_prefix").cast("bigint") * cell
     rows = rows.select(
         "_prefix",
@@ -115,7 +120,15 @@ def enrich_geo(df: DataFrame, ranges: DataFrame, ip: str = "ip", **options: Any)
     Of several ranges the narrowest counts, so a row never multiplies: see ``disjoint_ranges``, and
     ``enrich_pieces`` for the options.
     """
-    return enrich_pieces(df, disjoint_ranges(ranges), ip, **options)
+    return enrich_pieces(df, stored_pieces(ranges), ip, **options)
+
+
+def stored_pieces(ranges: DataFrame) -> DataFrame:
+    """``disjoint_ranges``, cut once however often they are read."""
+    pieces, spark = disjoint_ranges(ranges), ranges.sparkSession
+    path = work_dir(spark, "geo-pieces")
+    pieces.write.parquet(path)
+    return spark.read.schema(pieces.schema).parquet(path)
 
 
 def enrich_pieces(

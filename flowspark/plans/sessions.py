@@ -13,15 +13,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.schema import SESSION_THRESHOLD
 from ..operators.alerts import event_latency_ms
 from ..operators.enrich import (
-    disjoint_ranges,
     enrich_lookup,
     enrich_pieces,
     flag_sessions,
     flag_text,
     score_binary,
+    stored_pieces,
 )
 from ..operators.joins import HotKeys, are_small
-from ..session import remove_folder, work_dir
+from ..session import remove_folder
 from ..sources.records import bad_events_of, start, ui_events_of, ui_records, write_text_records
 
 
@@ -39,11 +39,7 @@ def prepare_dimensions(
     device_risk: DataFrame, account_status: DataFrame, login_failures: DataFrame, geo_ranges: DataFrame
 ) -> Dimensions:
     """Cut the ranges, store the pieces and count all four in one job, for any number of batches."""
-    spark = geo_ranges.sparkSession
-    path = work_dir(spark, "geo-pieces")
-    pieces = disjoint_ranges(geo_ranges)
-    pieces.write.parquet(path)
-    tables = (device_risk, account_status, login_failures, spark.read.schema(pieces.schema).parquet(path))
+    tables = (device_risk, account_status, login_failures, stored_pieces(geo_ranges))
     return Dimensions(*tables, tuple(are_small(tables)))
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -393,3 +394,18 @@ def test_ui_events_are_read_once(spark):
     assert [(r.event_id, r.user_id) for r in events.collect()] == [("a", "u")]
     assert sorted(r.parse_error for r in bad.collect()) == ["malformed", "missing:event_id", "null_record"]
     assert events._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_cells_of_one_file_of_ranges_are_cut_by_many_tasks(spark, monkeypatch):
+    from flowspark.operators import enrich
+
+    def ranges():
+        lo = F.col("id") * 40_000
+        return spark.range(60).coalesce(1).select(lo.alias("lo"), (lo + 500_000 + F.col("id") % 7).alias("hi"), F.concat(F.lit("c"), "id").alias("country"))
+
+    plain = sorted(tuple(r) for r in disjoint_ranges(ranges()).collect())
+    monkeypatch.setattr(enrich, "_CELLS", 50)
+    cut = disjoint_ranges(ranges())
+    assert sorted(tuple(r) for r in cut.collect()) == plain
+    # 60 ranges of 8 or 9 cells
+    assert re.search(r"hashpartitioning\(lo#\d+L, hi#\d+L, country#\d+, (9|1[01])\)", cut._jdf.queryExecution().executedPlan().toString())
