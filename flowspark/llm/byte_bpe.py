@@ -12,7 +12,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.session import ship_package
@@ -21,6 +21,8 @@ from .common import stored
 
 #: The dictionary that every task holds: at most so many of the most frequent words, of at most so many bytes each.
 DICTIONARY_WORDS, DICTIONARY_BYTES = 200_000, 32
+#: Frequent words are folded in so many groups, each beside one copy of the rank map.
+FOLD_GROUPS = 96
 #: Other words above this many bytes take a heap: merging the rest side by side costs the square of the longest.
 SIDE_BYTES = 64
 #: Words put together at a time; a text with more is taken whole.
@@ -62,7 +64,7 @@ def _displaced(pairs: Iterable[tuple[int, int, int]]) -> tuple[np.ndarray, np.nd
 
     The pairs of one left id are a row, placed at a shift of its own where none of its
     cells is taken: pair (a, b) has slot ``shifts[a] + b``. A slot holds one more than the left id,
-    and the rank of 16 bits, above the bits of a place; an empty one holds 0, which keeps the literal's text short.
+    and the rank of 16 bits, above the bits of a place; an empty one holds 0.
     """
     rows: dict[int, list[tuple[int, int]]] = {}
     for a, b, rank in pairs:
@@ -107,7 +109,6 @@ class Codec:
     def __init__(self, ranks: ByteRanks, pattern: str):
         self.ranks, self.pattern = ranks, java_pattern(pattern)
         self.shifts, self.slots = _displaced(ranks.pairs())
-        self._shifts, self._slots = _literal(self.shifts.tolist(), "array<bigint>"), _literal(self.slots.tolist(), "array<bigint>")
         self._bytes = _literal([ranks.tokens[bytes([b])] for b in range(256)], "array<bigint>")
 
     @cached_property
@@ -120,7 +121,26 @@ class Codec:
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
 
-    def fold(self, word: Column) -> Column:
+    def maps(self, spark: SparkSession) -> DataFrame:
+        """The rank map as a table of one row.
+
+        As literals its arrays would stand in every text of the plan, which the driver makes and keeps for each
+        query and again for each adaptive step, as boxed numbers and as digits.
+        """
+        columns = {"_shifts": self.shifts, "_slots": self.slots}
+        return spark.createDataFrame(pa.table({c: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for c, x in columns.items()}))
+
+    def folded(self, words: DataFrame) -> DataFrame:
+        """``w, ids`` for each row of ``words`` (its column ``w``): many words meet one copy of the rank map."""
+        group = F.pmod(F.xxhash64("w"), F.lit(FOLD_GROUPS)).alias("_group")
+        groups = words.groupBy(group).agg(F.collect_list("w").alias("_words")).crossJoin(F.broadcast(self.maps(words.sparkSession)))
+
+        def each(shifts: Column, slots: Column) -> Column:
+            return F.transform("_words", lambda w: F.struct(w.alias("w"), self.fold(w, shifts, slots).alias("ids")))
+
+        return groups.select(F.inline(_let(F.col("_shifts"), lambda shifts: _let(F.col("_slots"), lambda slots: each(shifts, slots)))))
+
+    def fold(self, word: Column, shifts: Column, slots: Column) -> Column:
         """Ids of one pre-token: its bytes, with the lowest-ranked pair merged again and again.
 
         The leftmost goes first among equals. A step finds the least rank with its place;
@@ -131,7 +151,7 @@ class Codec:
 
         def best(p: Column) -> Column:
             def key(x: Column, i: Column) -> Column:
-                slot = F.get(self._slots, F.get(self._shifts, x) + F.get(p, i + 1))
+                slot = F.get(slots, F.get(shifts, x) + F.get(p, i + 1))
                 # a slot of this left id leaves its rank, any other something above all ranks
                 return slot.bitwiseXOR(F.shiftleft(x + 1, 16 + _PLACE_BITS)).bitwiseOR(i)
 
@@ -282,7 +302,7 @@ def _dictionary(docs: DataFrame, codec: Codec, words: int) -> DataFrame:
             break
         least = row["count"]
     frequent = counts.filter(F.col("count") >= least if least is not None else F.lit(False))
-    return frequent.repartition("w").select("w", codec.fold(F.col("w")).alias("ids"))
+    return codec.folded(frequent)
 
 
 def encode_bytes(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: str = "text", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:

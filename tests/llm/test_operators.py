@@ -71,6 +71,19 @@ def test_bpe_round_trip_of_odd_texts(docs):
     assert encode_bytes(docs([]), RANKS, public_tokenizers.PATTERN).collect() == []
 
 
+def test_bpe_rank_map_is_in_no_plan(docs):
+    from flowspark.llm.byte_bpe import Codec
+
+    codec = Codec(ByteRanks.read(RANKS), public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    texts = ["lower", "日本語", "x", "x", *("".join(rng.choice("etaoinsé ") for _ in range(rng.randint(2, 30))) for _ in range(300))]
+    folded = codec.folded(docs(list(enumerate(texts))).select(F.col("text").alias("w")))
+    assert len(folded._jdf.queryExecution().toString()) < 100_000  # what the driver keeps for each query
+    got = folded.collect()
+    assert sorted(r.w for r in got) == sorted(texts)
+    assert all(list(r.ids) == heap_encode(r.w.encode(), codec.ranks.tokens) for r in got)
+
+
 # line deduplication
 
 
